@@ -18,21 +18,53 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import queries as oq  # noqa: E402
+from oracle.etl import ETL_ORACLE  # noqa: E402
+from vigia.plans import etl  # noqa: E402
 from vigia.plans import dashboard as dash  # noqa: E402
 from vigia.plans import flat as flat_plan  # noqa: E402
 from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
-from vigia.sources.fixture import domain_tables  # noqa: E402
+from vigia.sources.fixture import raw_notifications, session_tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return domain_tables(spark, sf_dir)
+    return session_tables(spark, sf_dir)
+
+
+_FLAT: dict[tuple, DataFrame] = {}
 
 
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_plan.flat_dataset(_tables(spark, sf_dir))
+    """The feature table's (lazy) definition, built once per session/folder."""
+    t = _tables(spark, sf_dir)
+    key = (id(t), sf_dir)
+    if key not in _FLAT:
+        _FLAT.clear()
+        _FLAT[key] = flat_plan.flat_dataset(t)
+    return _FLAT[key]
+
+
+_ETL: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _etl(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Q1 over the raw-file view of the test data, once per session/folder
+    (the loader checkpoints its numbered raw frame once)."""
+    key = (id(spark), id(spark.sparkContext), sf_dir)
+    if key not in _ETL or spark.sparkContext._jsc is None:
+        _ETL.clear()
+        _ETL[key] = etl.etl_normalise(spark, raw_notifications(spark, sf_dir))
+    return _ETL[key]
+
+
+def _etl_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: _etl(spark, sf)[name]
+
+
+def q_etl_name_map(spark: SparkSession, sf: str) -> DataFrame:
+    return etl.recovery_map(etl.number_rows(raw_notifications(spark, sf)))
 
 
 def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:
@@ -109,8 +141,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risk_score": _on_flat(dash.score_risk),
         "facet_municipalities": _on_flat(dash.facet_municipalities),
         "facet_date_range": _on_flat(dash.facet_date_range),
+        # raw-file loader (Q1)
+        "etl_name_map": q_etl_name_map,
+        "etl_municipio": _etl_table("municipio"),
+        "etl_notificacao": _etl_table("notificacao"),
+        "etl_demograficos": _etl_table("dados_demograficos"),
+        "etl_clinicos": _etl_table("dados_clinicos"),
+        "etl_gestao": _etl_table("dados_gestao_estrategia"),
+        "etl_epidemiologicos": _etl_table("dados_epidemiologicos"),
+        "etl_sintoma": _etl_table("sintoma"),
+        "etl_notificacao_sintoma": _etl_table("notificacao_sintoma"),
+        "etl_testes": _etl_table("teste_laboratorial"),
+        "etl_vacinas": _etl_table("vacina_aplicada"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oq.ORACLE)
+    return {**oq.ORACLE, **ETL_ORACLE}

@@ -24,8 +24,8 @@ def parse_date(c) -> Column:
     """
     s = F.trim(_c(c))
     return F.coalesce(
-        F.try_to_date(s, F.lit(ISO_DATE)),
-        F.try_to_date(s, F.lit(DAY_FIRST)),
+        F.try_to_date(s, ISO_DATE),
+        F.try_to_date(s, DAY_FIRST),
         F.when(s.rlike(_ISO_DATETIME_PREFIX),
                F.to_date(F.try_to_timestamp(s))),
     )

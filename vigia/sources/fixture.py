@@ -38,6 +38,23 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Table definitions are lazy plans; defining them once per session and folder
+# avoids re-listing files and re-analysing the same expressions for every
+# query (the data itself is read by each query, nothing is cached).
+_DEFINED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def session_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """``domain_tables`` defined once per (live session, folder)."""
+    key = (id(spark), id(spark.sparkContext), sf_dir.rstrip("/"))
+    got = _DEFINED.get(key)
+    if got is None or spark.sparkContext._jsc is None:
+        got = domain_tables(spark, sf_dir)
+        _DEFINED.clear()
+        _DEFINED[key] = got
+    return got
+
+
 def _map(col, mapping: dict, default=None):
     out = None
     for k, v in mapping.items():
@@ -169,3 +186,112 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "teste_laboratorial": teste_laboratorial,
         "vacina_aplicada": vacina_aplicada,
     }
+
+
+# --- fixed values: how the raw-file view of the test data is written ----------
+UF_BY_REGION = [15, 13, 29, 35, 43]   # region key -> a federative-unit code
+UNKNOWN_PLACE = "Desconhecido"
+# ------------------------------------------------------------------------------
+
+
+def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notification table as a raw file would carry it: one wide row of
+    57 text fields per order, in order-key order (the "file order").
+
+    Values are written the way real exports mix them, by fixed rules on the
+    order key: three date layouts, codes as '1.0' floats, blank municipality
+    codes to be recovered from the name, an unknown municipality that the
+    loader must reject, half-units of age, a trailing comma in the symptom
+    list.  Test and dose slots are the line items pivoted wide (one shuffle
+    by order key); symptoms are the part-name words per order.
+    """
+    rd = lambda n: read_source(spark, sf_dir, n)
+    orders, customer, nation = rd("orders"), rd("customer"), rd("nation")
+    lineitem, part = rd("lineitem"), rd("part")
+
+    ln = F.col("l_linenumber")
+    slot_values = {
+        "codigoTipoTeste{i}": F.concat((F.col("l_suppkey") % 5).cast("string"), F.lit(".0")),
+        "codigoFabricanteTeste{i}": (F.col("l_suppkey") % 3).cast("string"),
+        "codigoResultadoTeste{i}": _map(F.col("l_returnflag"), RESULT_CODE_BY_FLAG),
+        "codigoEstadoTeste{i}": F.col("l_linestatus"),
+        "dataColetaTeste{i}": F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"),
+    }
+    dose_values = {
+        "data{d}": F.date_format(F.col("l_shipdate").cast("date"), "dd/MM/yyyy"),
+        "codigoLaboratorio{d}": F.concat(F.lit("LAB"), (F.col("l_partkey") % 4).cast("string")),
+        "lote{d}": F.col("l_partkey").cast("string"),
+    }
+    aggs = [F.count_if(ln <= TEST_SLOTS_MAX_LINE).alias("_n_tests")]
+    for i in range(1, TEST_SLOTS_MAX_LINE + 1):
+        aggs += [F.max(F.when(ln == i, v)).alias(p.format(i=i)) for p, v in slot_values.items()]
+    for line, d in zip(DOSE_LINES, ("PrimeiraDose", "SegundaDose")):
+        aggs += [F.max(F.when(ln == line, v)).alias(p.format(d=d)) for p, v in dose_values.items()]
+    wide = (lineitem.filter(ln <= max(DOSE_LINES)).groupBy(F.col("l_orderkey").alias("_k")).agg(*aggs))
+
+    words = (lineitem.filter(ln == SYMPTOM_LINE)
+             .join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+             .select(F.col("l_orderkey").alias("_k"), F.explode(F.split("p_name", " ")).alias("w"))
+             .select("_k", F.coalesce(_map(F.col("w"), SYMPTOM_WORDS, None), F.col("w")).alias("nome")))
+    symptoms = words.groupBy("_k").agg(F.array_join(F.array_sort(F.collect_set("nome")), ", ").alias("_s"))
+
+    base = (orders.join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"),
+                        F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(wide, F.col("o_orderkey") == F.col("_k"), "left").drop("_k")
+            .join(symptoms, F.col("o_orderkey") == F.col("_k"), "left"))
+
+    key = F.col("o_orderkey")
+    d = F.col("o_orderdate").cast("date")
+    iso = F.date_format(d, "yyyy-MM-dd")
+    code = (_map(F.col("n_regionkey"), dict(enumerate(UF_BY_REGION)), None).cast("int") * 100000
+            + F.col("n_nationkey") + 1).cast("string")
+    unknown = key % 50 == 13
+    age = (key % 130).cast("int") - 5
+    prio, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    null = F.lit(None).cast("string")
+    fields = {
+        "dataNotificacao": F.when(key % 3 == 0, iso)
+                            .when(key % 3 == 1, F.date_format(d, "dd/MM/yyyy"))
+                            .otherwise(F.concat(iso, F.lit("T08:30:00.000Z"))),
+        "dataInicioSintomas": F.date_format(F.date_sub(d, (key % 15).cast("int")), "dd/MM/yyyy"),
+        "dataEncerramento": null,
+        "municipio": F.col("n_name"),
+        "municipioIBGE": F.when(key % 10 == 3, null).otherwise(code),
+        "municipioNotificacao": F.when(unknown, F.lit(UNKNOWN_PLACE)).otherwise(F.col("n_name")),
+        "municipioNotificacaoIBGE": F.when(unknown, F.lit("0"))
+                                     .when(key % 10 == 7, F.concat(code, F.lit(".0")))
+                                     .when(key % 20 == 11, null).otherwise(code),
+        "excluido": F.when(prio == "5-LOW", F.lit("Sim")).when(prio == "4-NOT SPECIFIED", null)
+                     .otherwise(F.lit("Não")),
+        "validado": F.when(prio == "1-URGENT", F.lit("1")).otherwise(F.lit("0")),
+        "source_id": F.col("o_custkey").cast("string"),
+        "idade": F.when(key % 9 == 4, F.concat(age.cast("string"), F.lit(".5")))
+                  .otherwise(age.cast("string")),
+        "sexo": _map(F.col("o_custkey") % 3, dict(enumerate(SEX_BY_CUSTKEY_MOD3))),
+        "racaCor": F.col("c_mktsegment"),
+        "profissionalSaude": _map(F.col("c_mktsegment"), SEGMENT_HEALTH_WORKER, HEALTH_WORKER_OTHER),
+        "profissionalSeguranca": F.lit(HEALTH_WORKER_OTHER),
+        "cbo": null,
+        "codigoContemComunidadeTradicional": F.when(F.col("o_custkey") % 3 == 0, F.lit("1.0"))
+                                              .when(F.col("o_custkey") % 3 == 1, F.lit("2")),
+        "classificacaoFinal": F.when(st == "F", F.lit(STATUS_CLASSIFICATION["F"]))
+                               .when(st == "O", F.lit(STATUS_CLASSIFICATION["O"]))
+                               .when((st == "P") & (key % 2 == 0), F.lit(PENDING_EVEN_CLASSIFICATION)),
+        "evolucaoCaso": _map(key % 7, OUTCOME_BY_KEY_MOD7),
+        "totalTestesRealizados": F.when(F.col("_n_tests") > 0, F.col("_n_tests").cast("string")),
+        "outrosSintomas": null,
+        "outrasCondicoes": null,
+        "codigoEstrategiaCovid": F.concat(F.substring("o_orderpriority", 1, 1), F.lit(".0")),
+        "codigoBuscaAtivaAssintomatico": F.when(key % 2 == 0, F.lit("2")),
+        "outroBuscaAtivaAssintomatico": null,
+        "codigoTriagemPopulacaoEspecifica": null,
+        "outroTriagemPopulacaoEspecifica": null,
+        "codigoLocalRealizacaoTestagem": F.when(key % 4 == 1, F.lit("1e1")),
+        "outroLocalRealizacaoTestagem": null,
+        "origem": F.lit(ORIGIN),
+        "sintomas": F.when(key % 8 == 5, F.concat(F.col("_s"), F.lit(","))).otherwise(F.col("_s")),
+    }
+    from .raw import RAW_COLUMNS
+    cols = [fields[c].cast("string").alias(c) if c in fields else F.col(c) for c in RAW_COLUMNS]
+    return base.orderBy("o_orderkey").select(*cols)
