@@ -19,6 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import queries as oq  # noqa: E402
 from oracle.etl import ETL_ORACLE  # noqa: E402
+from oracle.quality import QUALITY_ORACLE  # noqa: E402
+from vigia.operators import quality  # noqa: E402
 from vigia.plans import etl  # noqa: E402
 from vigia.plans import dashboard as dash  # noqa: E402
 from vigia.plans import flat as flat_plan  # noqa: E402
@@ -67,6 +69,19 @@ def q_etl_name_map(spark: SparkSession, sf: str) -> DataFrame:
     return etl.recovery_map(etl.number_rows(raw_notifications(spark, sf)))
 
 
+def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """Q32: purge soft-deleted notifications with their children (cascade);
+    remaining rows per table."""
+    from functools import reduce
+    t = _tables(spark, sf)
+    ids = t["notificacao"].filter(F.col("excluido") == F.lit(True)).select("notificacao_id")
+    kept = quality.delete_notifications(t, ids)
+    names = ["notificacao"] + [c for c in quality.CASCADE_CHILDREN if c in kept]
+    parts = [kept[n].agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(n).alias("tabela"), "linhas")
+             for n in names]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: fn(_flat(spark, sf))
 
@@ -141,6 +156,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risk_score": _on_flat(dash.score_risk),
         "facet_municipalities": _on_flat(dash.facet_municipalities),
         "facet_date_range": _on_flat(dash.facet_date_range),
+        # constraints and cascade
+        "quality_report": lambda s, sf: quality.quality_report(_tables(s, sf)),
+        "dq_test_slot_duplicates": lambda s, sf: quality.dq_unique(
+            _tables(s, sf)["teste_laboratorial"], ["notificacao_id", "numero_sequencial"]),
+        "purge_excluded": q_purge_excluded,
         # raw-file loader (Q1)
         "etl_name_map": q_etl_name_map,
         "etl_municipio": _etl_table("municipio"),
@@ -157,4 +177,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oq.ORACLE, **ETL_ORACLE}
+    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE}
