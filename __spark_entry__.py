@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import queries as oq  # noqa: E402
+from oracle.cdc import AUDIT_CUTOFF, CDC_ORACLE  # noqa: E402
 from oracle.etl import ETL_ORACLE  # noqa: E402
 from oracle.quality import QUALITY_ORACLE  # noqa: E402
 from vigia.operators import quality  # noqa: E402
 from vigia.plans import etl  # noqa: E402
+from vigia.plans import cdc  # noqa: E402
 from vigia.plans import dashboard as dash  # noqa: E402
 from vigia.plans import flat as flat_plan  # noqa: E402
 from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
-from vigia.sources.fixture import raw_notifications, session_tables  # noqa: E402
+from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
+from vigia.streaming.audit_stream import run_audit_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +85,21 @@ def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def q_audit_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of the user table between the cutoff and the end."""
+    return cdc.audit_snapshots(read_source(spark, sf, "events"), AUDIT_CUTOFF)
+
+
+def q_audit_events_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Trigger-style log of every change event (old and new images)."""
+    return cdc.audit_events(read_source(spark, sf, "events"))
+
+
+def q_audit_stream_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same log produced by the streaming audit over the event files."""
+    return run_audit_stream(spark, sf, glob="events.parquet")
+
+
 def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: fn(_flat(spark, sf))
 
@@ -161,6 +179,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_test_slot_duplicates": lambda s, sf: quality.dq_unique(
             _tables(s, sf)["teste_laboratorial"], ["notificacao_id", "numero_sequencial"]),
         "purge_excluded": q_purge_excluded,
+        # change audit (Q30: U2, U3)
+        "audit_snapshots": q_audit_snapshots,
+        "audit_events_log": q_audit_events_log,
+        "audit_stream_events": q_audit_stream_events,
         # raw-file loader (Q1)
         "etl_name_map": q_etl_name_map,
         "etl_municipio": _etl_table("municipio"),
@@ -177,4 +199,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE}
+    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE}
