@@ -85,9 +85,13 @@ def test_stream_equals_batch_over_many_files(spark, tmpdir_path):
     from vigia.streaming.audit_stream import run_audit_stream
     ev = spark.read.parquet(f"{SF_MID}/events.parquet")
     src = f"{tmpdir_path}/events"
-    # four arrival files by week of the month
-    (ev.withColumn("w", F.weekofyear("ts")).repartition(4, "w").drop("w")
-       .write.parquet(src))
+    # one arrival file per week, appended in time order (the stream, like a
+    # trigger, logs changes in arrival order)
+    import time
+    weeks = sorted(r[0] for r in ev.select(F.weekofyear("ts")).distinct().collect())
+    for wk in weeks:
+        ev.filter(F.weekofyear("ts") == wk).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
     streamed = run_audit_stream(spark, src, max_files_per_trigger=1)
     batch = cdc.audit_events(ev)
     key = lambda r: tuple("" if x is None else str(x) for x in r)
