@@ -13,9 +13,10 @@ Steps, all as DataFrame transformations over the whole file:
 6. satellites, symptom vocabulary with ids by first appearance (K1) and the
    notification-symptom bridge (R3, J6, W2), test and dose slots (R1, R2).
 
-The raw frame is checkpointed once (reliable, in the shared checkpoint
-folder); eleven outputs read it, and row ids must not change if a task is
-re-run after an executor loss.
+Materialised (reliable checkpoint in the shared checkpoint folder): the
+provisional row positions before numbering, then the small municipality
+dimension and the accepted rows, which ten outputs read.  Row ids must not
+change if a task is re-run after an executor loss.
 """
 
 from __future__ import annotations
@@ -94,17 +95,29 @@ def municipality_dim(rec: DataFrame) -> DataFrame:
     return dim.filter(valid_ibge("municipio_ibge") & F.col("estado_ibge").isin(*UF_CODES))
 
 
-def etl_normalise(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dict[str, DataFrame]:
-    """Q1: every curated table from one raw frame (lazy, except the row-id
-    checkpoint).  ``raw`` holds the 57 raw text columns in file order."""
+def etl_stages(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dict[str, DataFrame]:
+    """The loader's intermediate frames: numbered/typed rows, recovery map,
+    municipality dimension and the accepted rows (materialised once: ten
+    outputs read them, and the ids in them must not change on a re-run)."""
     typed = number_rows(raw, stable=stable)
-    rec = recover_codes(typed, recovery_map(typed))
-    municipio = municipality_dim(rec)
+    name_map = recovery_map(typed)
+    rec = recover_codes(typed, name_map)
+    municipio = municipality_dim(rec).checkpoint(eager=True)
     valid_ids = municipio.select("municipio_ibge").distinct()
-
     not_code = _code_as_int("municipioNotificacaoIBGE")
     accepted = (rec.withColumn("_mun_not", not_code)
-                .join(valid_ids, F.col("_mun_not") == F.col("municipio_ibge"), "left_semi"))
+                .join(valid_ids, F.col("_mun_not") == F.col("municipio_ibge"), "left_semi")
+                .checkpoint(eager=True))
+    return {"typed": typed, "name_map": name_map, "municipio": municipio, "accepted": accepted}
+
+
+def etl_normalise(spark: SparkSession, raw: DataFrame, stable: bool = False,
+                  stages: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Q1: every curated table from one raw frame.  ``raw`` holds the 57 raw
+    text columns in file order."""
+    st = stages or etl_stages(spark, raw, stable)
+    municipio, accepted = st["municipio"], st["accepted"]
+    valid_ids = municipio.select("municipio_ibge").distinct()
 
     notificacao = accepted.select(
         "notificacao_id", "source_id", F.col("dataNotificacao").alias("data_notificacao"),
