@@ -69,6 +69,27 @@ CASCADE_CHILDREN = ["dados_demograficos", "dados_clinicos", "dados_epidemiologic
 REPORT_COLUMNS = ["verificacao", "tabela", "colunas", "violacoes"]
 
 
+def column_defaults() -> dict[str, dict[str, Column]]:
+    """Declared column defaults of the model."""
+    return {
+        "notificacao": {"excluido": F.lit(False), "validado": F.lit(False)},
+        "log_alteracoes": {"usuario_db": F.expr("current_user()"), "data_hora": F.current_timestamp()},
+        "indicadores_regionais": {"data_processamento": F.current_timestamp()},
+    }
+
+
+def with_defaults(df: DataFrame, table: str) -> DataFrame:
+    """A column the writer did not provide gets its declared default.
+
+    As in SQL, a default applies only to an absent column: an explicit null
+    stays null (the loader writes unknown ``excluido`` as null)."""
+    out = df
+    for c, expr in column_defaults().get(table, {}).items():
+        if c not in out.columns:
+            out = out.withColumn(c, expr)
+    return out
+
+
 def dq_unique(df: DataFrame, keys: list[str], nulls: str = "equal") -> DataFrame:
     """Key values that occur more than once, with their count.
 

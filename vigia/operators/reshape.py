@@ -78,3 +78,8 @@ def explode_list(df: DataFrame, key: str, c: str, sep: str, out: str = "nome",
         return ex.select(key, "pos", strip("_item").alias(out))
     ex = src.select(key, F.explode(parts).alias("_item"))
     return ex.select(key, strip("_item").alias(out))
+
+
+def rename_select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Keep and rename columns by a {source: target} mapping, in its order."""
+    return df.select(*[F.col(f"`{a}`").alias(b) for a, b in mapping.items()])

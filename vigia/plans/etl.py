@@ -30,7 +30,7 @@ from ..functions.geo import UF_CODES, dim_estado, uf_from_ibge, valid_ibge
 from ..functions.labels import tradicional
 from ..operators.joins import merge_maps, name_code_map, recover_code
 from ..operators.keys import dense_ids_by_first_appearance, distinct_pairs, first_by
-from ..operators.reshape import explode_list, unpivot_doses, unpivot_tests
+from ..operators.reshape import explode_list, rename_select, unpivot_doses, unpivot_tests
 from ..sources.raw import with_file_order_id
 
 # --- fixed values: raw date columns and curated column names --------------------
@@ -139,7 +139,7 @@ def etl_normalise(spark: SparkSession, raw: DataFrame, stable: bool = False,
         F.col("outrasCondicoes").alias("outras_condicoes"),
         as_int("totalTestesRealizados").alias("total_testes_realizados"))
 
-    gestao = accepted.select("notificacao_id", *[F.col(a).alias(b) for a, b in MANAGEMENT_COLUMNS.items()])
+    gestao = rename_select(accepted, {"notificacao_id": "notificacao_id", **MANAGEMENT_COLUMNS})
     dados_gestao_estrategia = gestao.select(
         "notificacao_id", *[clean_code(c).alias(c) if c in MANAGEMENT_CODES else F.col(c)
                             for c in MANAGEMENT_COLUMNS.values()])
