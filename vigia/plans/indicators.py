@@ -3,16 +3,11 @@
 The stored procedure loops over municipalities and issues four aggregate
 queries per municipality.  Here the loop disappears: the four measures are
 computed for every municipality (and, optionally, every calendar month) in
-one plan, as conditional sums over a union of three per-row streams sharing
-the group key:
-
-* one row per test joined to its notification (+ symptom onset date),
-* one row per notification (+ clinical and demographic satellites),
-* one row per notification's dose count.
-
-The union feeds a single hash aggregation by (municipality[, period]), which
-Spark runs partially on each input partition before the shuffle, so a
-municipality with a third of all notifications is not a hot reduce task.
+one plan: tests and doses are reduced per notification, merged with the
+notification and its satellites on notificacao_id, and one hash aggregation
+by (municipality[, period]) produces all counts.  Spark runs it partially on
+each input partition before the shuffle, so a municipality with a third of
+all notifications is not a hot reduce task.
 
 Scoping of the soft-delete flag follows the procedure exactly: only the
 positivity counts require ``excluido = FALSE``; onset-to-test time, health
@@ -51,7 +46,16 @@ def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
 
 
 def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bool = False) -> DataFrame:
-    """Integer numerators/denominators of the four indicators per group."""
+    """Integer numerators/denominators of the four indicators per group.
+
+    Plan shape: tests (left-joined to the symptom-onset date) and doses are
+    reduced to one row per notification first; the notification of the
+    period, its two satellites and those two per-notification aggregates are
+    then merged on notificacao_id, which every input is hash-partitioned on
+    once (the clinical projection is shared, so its exchange is reused); the
+    result feeds a single aggregation by (municipality[, month]).  Rows that
+    reach the final shuffle are per notification, partially aggregated per
+    task, so a hot municipality costs one partial row per task."""
     n = _period_notifications(t, inicio, fim, monthly)
     clin = t["dados_clinicos"].select(
         "notificacao_id", "data_inicio_sintomas",
@@ -59,43 +63,34 @@ def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bo
     demo = t["dados_demograficos"].select(
         "notificacao_id", is_sim_ci("is_profissional_saude").alias("_saude"),
         F.lit(True).alias("_has_demo"))
-    # One row per notification of the period with its satellites (1:1 joins on
-    # the same key: a single co-partitioned merge).
-    per_notif = n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
 
     zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    flag = lambda p: F.when(p, one).otherwise(zero)
-
-    tests = t["teste_laboratorial"].select("notificacao_id", "resultado_teste", "data_coleta")
-    valid = F.col("excluido") == F.lit(False)
     timed = F.col("_has_clin") & (F.col("data_coleta") >= F.col("data_inicio_sintomas"))
-    test_rows = tests.join(per_notif, "notificacao_id").select(
-        *KEYS,
-        flag(valid).alias("n_testes"),
-        flag(valid & positive_by_code("resultado_teste")).alias("n_positivos"),
-        F.when(timed, days_between("data_coleta", "data_inicio_sintomas").cast("bigint"))
-         .otherwise(zero).alias("soma_dias"),
-        flag(timed).alias("n_dias"),
-        zero.alias("n_confirmados"), zero.alias("n_saude"), zero.alias("n_doses"),
-        zero.alias("n_notificacoes"))
-
+    per_test = (t["teste_laboratorial"].select("notificacao_id", "resultado_teste", "data_coleta")
+                .join(clin, "notificacao_id", "left")
+                .groupBy("notificacao_id").agg(
+                    F.count(F.lit(1)).alias("_t"),
+                    F.count_if(positive_by_code("resultado_teste")).alias("_p"),
+                    F.coalesce(F.sum(F.when(timed, days_between("data_coleta", "data_inicio_sintomas"))
+                                     .cast("bigint")), zero).alias("_dias"),
+                    F.count_if(timed).alias("_nd")))
+    per_dose = (t["vacina_aplicada"].groupBy("notificacao_id")
+                .agg(F.count(F.lit(1)).alias("_doses")))
+
+    j = (n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
+          .join(per_test, "notificacao_id", "left").join(per_dose, "notificacao_id", "left"))
+    valid = F.col("excluido") == F.lit(False)
     confirmed = F.col("_has_clin") & F.col("_has_demo") & F.col("_conf")
-    notif_rows = per_notif.select(
-        *KEYS, zero.alias("n_testes"), zero.alias("n_positivos"), zero.alias("soma_dias"),
-        zero.alias("n_dias"), flag(confirmed).alias("n_confirmados"),
-        flag(confirmed & F.col("_saude")).alias("n_saude"), zero.alias("n_doses"),
-        one.alias("n_notificacoes"))
-
-    # Doses are counted per notification first (map-side partial count).
-    doses = (t["vacina_aplicada"].groupBy("notificacao_id")
-             .agg(F.count(F.lit(1)).alias("_doses")))
-    dose_rows = doses.join(n, "notificacao_id").select(
-        *KEYS, *[zero.alias(c) for c in _COUNTS[:6]],
-        F.col("_doses").cast("bigint").alias("n_doses"), zero.alias("n_notificacoes"))
-
-    return (test_rows.unionByName(notif_rows).unionByName(dose_rows)
-            .groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in _COUNTS]))
+    nz = lambda c: F.coalesce(F.col(c), zero)
+    return j.groupBy(*KEYS).agg(
+        F.sum(F.when(valid, nz("_t")).otherwise(zero)).alias("n_testes"),
+        F.sum(F.when(valid, nz("_p")).otherwise(zero)).alias("n_positivos"),
+        F.sum(nz("_dias")).alias("soma_dias"),
+        F.sum(nz("_nd")).alias("n_dias"),
+        F.count_if(confirmed).alias("n_confirmados"),
+        F.count_if(confirmed & F.col("_saude")).alias("n_saude"),
+        F.sum(nz("_doses")).alias("n_doses"),
+        F.count(F.lit(1)).alias("n_notificacoes"))
 
 
 def regional_indicators(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bool = False,
