@@ -61,3 +61,18 @@ def test_append_log(spark, tmpdir_path):
     back = spark.read.parquet(f"{tmpdir_path}/log")
     assert back.count() == 2 * log.count()
     assert back.filter(F.col("usuario_db").isNull()).count() == 0
+
+
+def test_bucketed_catalog_joins_without_shuffle(spark):
+    import io
+    from contextlib import redirect_stdout
+    t = E._tables(spark, SF_SMALL)
+    catalog.save_bucketed(t, "vigia_test", 4)
+    b = catalog.read_catalog(spark, "vigia_test")
+    for df in (views.cases_by_municipality(b), indicators.regional_indicators(b, monthly=True)):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain()
+        assert "hashpartitioning(notificacao_id" not in buf.getvalue()
+    assert sorted(map(tuple, views.cases_by_municipality(b).collect())) == \
+        sorted(map(tuple, views.cases_by_municipality(t).collect()))

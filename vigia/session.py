@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target ~256 MB per task after AQE coalescing, and per file split.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -55,6 +58,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # a cluster session brings its own shared spark.checkpoint.dir.
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(
             prefix="vigia-ckpt-", dir=os.environ.get("VIGIA_SCRATCH", "/tmp"))
+    if "spark.sql.warehouse.dir" not in conf:
+        # Likewise for catalog tables of a local session (never the cwd).
+        conf["spark.sql.warehouse.dir"] = conf["spark.checkpoint.dir"].rstrip("/") + "-warehouse"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -21,6 +21,12 @@ CURATED_TABLES = [
 
 # Partition columns per table when written (month of the notification date).
 PARTITIONING = {"notificacao": ["mes_particao"]}
+# Tables keyed (or children keyed) by notificacao_id: bucketed on it when
+# written to the catalog, so their joins and per-notification aggregates need
+# no shuffle (same bucket count on every table).
+NOTIFICATION_KEYED = ["notificacao", "dados_demograficos", "dados_clinicos", "dados_epidemiologicos",
+                      "dados_gestao_estrategia", "notificacao_sintoma", "teste_laboratorial",
+                      "vacina_aplicada"]
 
 
 def read_tables(spark: SparkSession, base: str, names=CURATED_TABLES) -> dict[str, DataFrame]:
@@ -51,6 +57,33 @@ def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "overwrite
     return {n: write_table(df, base, n, mode) for n, df in tables.items()}
 
 
+def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int,
+                  mode: str = "overwrite") -> dict[str, str]:
+    """S6 (catalog form): write every table as a managed catalog table; the
+    notification-keyed ones bucketed and sorted by notificacao_id into the same
+    number of buckets.  Joins between them and groupings by notificacao_id
+    then read co-located buckets instead of shuffling both sides.
+
+    Choose ``buckets`` so one bucket of the largest table is a few hundred MB
+    (e.g. 4096 at ~1 TB of tests); dimensions are written unbucketed."""
+    spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    out = {}
+    for name, df in tables.items():
+        full = f"{database}.{name}"
+        w = df.write.mode(mode).format("parquet")
+        if name in NOTIFICATION_KEYED:
+            w = w.bucketBy(buckets, "notificacao_id").sortBy("notificacao_id")
+        w.saveAsTable(full)
+        out[name] = full
+    return out
+
+
+def read_catalog(spark: SparkSession, database: str, names=CURATED_TABLES) -> dict[str, DataFrame]:
+    """S5 (catalog form): the curated tables as catalog tables (bucket metadata kept)."""
+    return {n: spark.table(f"{database}.{n}") for n in names}
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Expose every frame under its table name for SQL users."""
     for n, df in tables.items():
