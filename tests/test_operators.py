@@ -126,3 +126,24 @@ def test_cascade_delete(spark):
     out = quality.delete_notifications(t, ids)
     assert [r[0] for r in out["notificacao"].collect()] == [2]
     assert out["teste_laboratorial"].count() == 1
+
+
+def test_file_order_ids_follow_files_not_packing(tmpdir_path):
+    """Several raw files of different sizes, packed into few partitions:
+    ids must follow (file name, line)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    sizes = {"a.csv": 5, "b.csv": 300, "c.csv": 40}
+    expected = []
+    for fname, n in sizes.items():
+        with open(f"{tmpdir_path}/{fname}", "w") as f:
+            f.write("idade,sexo\n")
+            for i in range(n):
+                f.write(f"{i},{fname}\n")
+                expected.append((fname, str(i)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    df = raw.read_raw(spark, tmpdir_path, columns=["idade", "sexo"], multiline=True)
+    rows = raw.with_file_order_id(df, "rid").orderBy("rid").collect()
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.rid for r in rows] == list(range(1, len(expected) + 1))
+    assert [(r.sexo, r.idade) for r in rows] == expected

@@ -45,14 +45,20 @@ def string_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+# Source position columns kept by read_raw (file path, start of the file split).
+SOURCE_COLUMNS = ["_src_file", "_src_block"]
+
+
 def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
-             multiline: bool = True) -> DataFrame:
+             multiline: bool = True, with_source: bool = True) -> DataFrame:
     """S1 + S2: header CSV, every column a string, NA tokens -> null.
 
     With ``multiLine`` a quoted newline stays inside its record, but a file is
     then read by one task: feed many files (one per day / source) for
     parallelism.  Columns are matched by header name; ``columns`` (default:
     the 57 consumed ones) are selected after the read, missing ones as null.
+    ``with_source`` keeps each row's file path and split start (from the
+    ``_metadata`` column) so rows can be numbered in (file, line) order.
     """
     df = (spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
           .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
@@ -60,35 +66,45 @@ def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
           .csv(path))
     cols = columns or RAW_COLUMNS
     present = set(df.columns)
+    src = ([F.col("_metadata.file_path").alias("_src_file"),
+            F.col("_metadata.file_block_start").alias("_src_block")] if with_source else [])
     df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in present
-                     else F.lit(None).cast("string").alias(c) for c in cols])
+                     else F.lit(None).cast("string").alias(c) for c in cols], *src)
     return nullify_tokens(df)
 
 
 def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int = 1,
                        stable: bool = False) -> DataFrame:
-    """S3: dense ids start, start+1, ... in the frame's row order.
-
-    Row order = partition index, then position inside the partition (file
-    order for a file scan, key order after a sort).  The per-partition row
-    counts are a tiny aggregate (one row per partition, a proven bound), whose
-    running sum gives each partition's offset; that small table is broadcast
-    back.  The provisional position is materialised first (``checkpoint`` to
-    the shared checkpoint folder) unless the caller says the input is already
-    stable, so recomputation after an executor loss cannot renumber rows.
+    """S3: dense ids start, start+1, ... in file order.
+
+    Rows are cut into segments: one per (file, split start, partition) when
+    the frame carries its source columns (``read_raw``), otherwise one per
+    partition (key order after a sort).  Rows of a segment are contiguous
+    inside their partition, so a row's position is its provisional id minus
+    the segment's first one.  Segment sizes are a small aggregate (one row per
+    file split or partition, a proven bound); ordered by (file, split start,
+    partition) their running sum gives each segment's offset, and that table
+    is broadcast back.  File order therefore does not depend on how Spark
+    packs files into partitions (it packs the largest first).
+
+    The provisional id is materialised first (``checkpoint`` to the shared
+    checkpoint folder) unless the caller says the input is already stable, so
+    recomputation after an executor loss cannot renumber rows.
     """
+    from pyspark.sql import Window
+    seg = [c for c in SOURCE_COLUMNS if c in df.columns]
     pos = df.withColumn("_pos", F.monotonically_increasing_id())
     if not stable:
         pos = pos.checkpoint(eager=True)
-    part = F.shiftright(F.col("_pos"), _ID_BITS)
-    counts = pos.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.col("_pos").bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-    out = pos.join(F.broadcast(offsets), part == F.col("_part"))
+    pos = pos.withColumn("_part", F.shiftright(F.col("_pos"), _ID_BITS))
+    keys = seg + ["_part"]
+    segments = pos.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = segments.select(*keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = pos.join(F.broadcast(offsets), keys)
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
-                      (F.col("_off") + local + F.lit(start)).cast("bigint").alias(name))
+                      (F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(start))
+                      .cast("bigint").alias(name))
 
 
 def read_flat(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
