@@ -7,14 +7,14 @@ hot key's rows are spread over many partitions by their order value.  Inside
 a partition the predecessor is the previous row; for the first row of a
 partition it is the last row of the nearest earlier non-empty partition,
 which is carried in from a one-row-per-partition table (bounded by the
-partition count, broadcast).
+partition count, broadcast).  Everything stays in JVM operators: the lag
+runs over (key, range partition) groups, each at most one range partition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str],
@@ -29,7 +29,6 @@ def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [key] + list(order)
     ranged = (df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
-              .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
 
@@ -42,34 +41,13 @@ def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str]
                          *[F.col(f"_carry.{v}").cast("string").alias(f"_carry_{v}") for v in values])
     joined = ranged.join(F.broadcast(carry), "_pid", "left")
 
-    base_fields = [f for f in df.schema.fields]
-    out_schema = T.StructType(base_fields + [T.StructField(prefix + v, T.StringType(), True)
-                                             for v in values])
-    cols = [f.name for f in base_fields]
-
-    def fill(batches):
-        import pandas as pd
-        prev_key, prev_vals, started = None, None, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if not started:
-                ck = pdf["_carry_key"].iloc[0]
-                if ck is not None and not (isinstance(ck, float) and pd.isna(ck)):
-                    prev_key = ck
-                    prev_vals = {v: pdf[f"_carry_{v}"].iloc[0] for v in values}
-                started = True
-            keys = pdf[key]
-            shifted_keys = keys.shift(1)
-            shifted_keys.iloc[0] = prev_key
-            same = (shifted_keys == keys).to_numpy()
-            out = pdf[cols].copy()
-            for v in values:
-                sv = pdf[v].astype(object).shift(1)
-                sv.iloc[0] = None if prev_vals is None else prev_vals[v]
-                out[prefix + v] = sv.where(same, None)
-            prev_key = keys.iloc[-1]
-            prev_vals = {v: pdf[v].iloc[-1] for v in values}
-            yield out
-
-    return joined.mapInPandas(fill, out_schema)
+    # Inside a range partition: lag over (key, partition) groups, each at most
+    # one range partition long.  A group's first row takes the carried row
+    # when the carried key is the same (only the partition's first key can).
+    w = Window.partitionBy(key, "_pid").orderBy(*[F.col(c) for c in order])
+    out = joined.select(
+        *df.columns,
+        *[F.when(F.row_number().over(w) > 1, F.lag(F.col(v).cast("string")).over(w))
+           .when(F.col("_carry_key") == F.col(key), F.col(f"_carry_{v}"))
+           .alias(prefix + v) for v in values])
+    return out
