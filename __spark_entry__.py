@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import queries as oq  # noqa: E402
 from oracle.cdc import AUDIT_CUTOFF, CDC_ORACLE  # noqa: E402
 from oracle.etl import ETL_ORACLE  # noqa: E402
+from oracle.loaded import LOADED_ORACLE  # noqa: E402
 from oracle.quality import QUALITY_ORACLE  # noqa: E402
 from vigia.operators import quality  # noqa: E402
 from vigia.plans import etl  # noqa: E402
@@ -201,8 +202,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "etl_notificacao_sintoma": _etl_table("notificacao_sintoma"),
         "etl_testes": _etl_table("teste_laboratorial"),
         "etl_vacinas": _etl_table("vacina_aplicada"),
+        # analytics over the loader's output (raw -> load -> view / KPI)
+        "etl_cases_by_municipality": lambda s, sf: views.cases_by_municipality(_etl(s, sf)),
+        "etl_regional_indicators_monthly": lambda s, sf: ind.regional_indicators(
+            _etl(s, sf), monthly=True, with_timestamp=False),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE}
+    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE, **LOADED_ORACLE}

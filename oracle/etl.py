@@ -193,29 +193,29 @@ def q(body: str) -> str:
     return with_ctes(ETL_CTES, body)
 
 
-ETL_ORACLE = {
-    "etl_name_map": q("SELECT nome, codigo FROM name_map"),
-    "etl_municipio": q("SELECT * FROM municipio_etl"),
-    "etl_notificacao": q(f"""
+ETL_BODIES = {
+    "etl_name_map": "SELECT nome, codigo FROM name_map",
+    "etl_municipio": "SELECT * FROM municipio_etl",
+    "etl_notificacao": f"""
         SELECT notificacao_id, source_id, dataNotificacao AS data_notificacao,
                mun_not AS municipio_notificacao_ibge, {uf('mun_not')} AS estado_notificacao_ibge,
                {clean_boolean('excluido')} AS excluido, {clean_boolean('validado')} AS validado
-        FROM acc"""),
-    "etl_demograficos": q(f"""
+        FROM acc""",
+    "etl_demograficos": f"""
         SELECT notificacao_id, CAST(round_even({to_double('idade')}, 0) AS SMALLINT) AS idade,
                sexo, racaCor AS raca_cor, profissionalSaude AS is_profissional_saude,
                profissionalSeguranca AS is_profissional_seguranca, cbo,
                CASE {clean_code('codigoContemComunidadeTradicional')} WHEN '2' THEN TRUE WHEN '1' THEN FALSE END
                    AS pertence_comunidade_tradicional
-        FROM acc"""),
-    "etl_clinicos": q(f"""
+        FROM acc""",
+    "etl_clinicos": f"""
         SELECT notificacao_id, dataInicioSintomas AS data_inicio_sintomas,
                dataEncerramento AS data_encerramento, classificacaoFinal AS classificacao_final,
                evolucaoCaso AS evolucao_caso, outrosSintomas AS outros_sintomas,
                outrasCondicoes AS outras_condicoes,
                CAST(round_even({to_double('totalTestesRealizados')}, 0) AS INTEGER) AS total_testes_realizados
-        FROM acc"""),
-    "etl_gestao": q(f"""
+        FROM acc""",
+    "etl_gestao": f"""
         SELECT notificacao_id,
                {clean_code('codigoEstrategiaCovid')} AS codigo_estrategia_covid,
                {clean_code('codigoBuscaAtivaAssintomatico')} AS codigo_busca_ativa_assintomatico,
@@ -224,15 +224,34 @@ ETL_ORACLE = {
                outroTriagemPopulacaoEspecifica AS outro_triagem_populacao_especifica,
                {clean_code('codigoLocalRealizacaoTestagem')} AS codigo_local_realizacao_testagem,
                outroLocalRealizacaoTestagem AS outro_local_realizacao_testagem
-        FROM acc"""),
-    "etl_epidemiologicos": q(f"""
+        FROM acc""",
+    "etl_epidemiologicos": f"""
         SELECT notificacao_id, origem AS origem_dados, k.municipio_ibge AS municipio_residencia_ibge,
                {uf('k.municipio_ibge')} AS estado_residencia_ibge
         FROM acc LEFT JOIN (SELECT DISTINCT municipio_ibge FROM municipio_etl) k
-          ON {code_int('acc.municipioIBGE')} = k.municipio_ibge"""),
-    "etl_sintoma": q("SELECT sintoma_id, nome FROM sintoma_etl"),
-    "etl_notificacao_sintoma": q("""SELECT DISTINCT i.notificacao_id, s.sintoma_id
-                                    FROM items i JOIN sintoma_etl s ON i.nome = s.nome"""),
-    "etl_testes": q(_tests()),
-    "etl_vacinas": q(_doses()),
+          ON {code_int('acc.municipioIBGE')} = k.municipio_ibge""",
+    "etl_sintoma": "SELECT sintoma_id, nome FROM sintoma_etl",
+    "etl_notificacao_sintoma": """SELECT DISTINCT i.notificacao_id, s.sintoma_id
+                                    FROM items i JOIN sintoma_etl s ON i.nome = s.nome""",
+    "etl_testes": _tests(),
+    "etl_vacinas": _doses(),
 }
+
+ETL_ORACLE = {k: q(v) for k, v in ETL_BODIES.items()}
+
+
+def _estado_values() -> str:
+    from vigia.functions.geo import UFS
+    rows = ", ".join(f"({c}, '{n}', '{sg}')" for c, n, sg in UFS)
+    return f"SELECT * FROM (VALUES {rows}) AS u(estado_ibge, nome, sigla)"
+
+
+# The loader's curated tables as CTEs, for analytics over loaded data.
+LOADED_CTES = ETL_CTES + [
+    ("estado_etl", _estado_values()),
+    ("notificacao_etl", ETL_BODIES["etl_notificacao"]),
+    ("clinicos_etl", ETL_BODIES["etl_clinicos"]),
+    ("demograficos_etl", ETL_BODIES["etl_demograficos"]),
+    ("testes_etl", ETL_BODIES["etl_testes"]),
+    ("vacinas_etl", ETL_BODIES["etl_vacinas"]),
+]
