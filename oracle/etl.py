@@ -74,7 +74,7 @@ SELECT row_number() OVER (ORDER BY o.o_orderkey) AS notificacao_id,
   CAST(NULL AS VARCHAR) AS outroTriagemPopulacaoEspecifica,
   CASE WHEN o.o_orderkey % 4 = 1 THEN '1e1' END AS codigoLocalRealizacaoTestagem,
   CAST(NULL AS VARCHAR) AS outroLocalRealizacaoTestagem,
-  'e-SUS Notifica' AS origem,
+  'notificacao-online' AS origem,
   CASE WHEN o.o_orderkey % 8 = 5 THEN s.s || ',' ELSE s.s END AS sintomas,
   w.* EXCLUDE (k, n_tests)
 FROM orders o

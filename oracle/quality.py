@@ -16,7 +16,7 @@ TABLES = ["estado", "municipio", "notificacao", "dados_demograficos", "dados_cli
 
 EXTRA = [
     ("dados_epidemiologicos", """
-        SELECT o.o_orderkey AS notificacao_id, 'e-SUS Notifica' AS origem_dados,
+        SELECT o.o_orderkey AS notificacao_id, 'notificacao-online' AS origem_dados,
                CAST(c.c_nationkey AS INTEGER) AS municipio_residencia_ibge,
                CAST(na.n_regionkey AS INTEGER) AS estado_residencia_ibge
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey

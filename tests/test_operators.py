@@ -60,8 +60,8 @@ def test_csv_read_multiline_and_ids(spark, tmpdir_path):
     path = f"{tmpdir_path}/raw.csv"
     with open(path, "w", encoding="utf-8") as f:
         f.write('dataNotificacao,municipio,sintomas,excluido\n')
-        f.write('2024-01-02,"Belém",Febre,NA\n')
-        f.write('05/03/2024,"Tucuruí","Tosse,\nFebre",1\n')
+        f.write('2024-01-02,"Cidade A",Febre,NA\n')
+        f.write('05/03/2024,"Cidade Ç","Tosse,\nFebre",1\n')
         f.write('lixo,,,\n')
         f.write('2024-01-05,X,null,0\n')
     df = raw.read_raw(spark, path)

@@ -27,7 +27,7 @@ SYMPTOM_WORDS = {"hot": "Febre", "cold": "Tosse", "old": "Dispneia",
 TEST_SLOTS_MAX_LINE = 4
 DOSE_LINES = (5, 6)
 SYMPTOM_LINE = 7
-ORIGIN = "e-SUS Notifica"
+ORIGIN = "notificacao-online"
 # ------------------------------------------------------------------------------
 
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders",
