@@ -6,7 +6,7 @@ AUDIT_CUTOFF = "2024-01-15 00:00:00"
 
 
 def _img(a: str) -> str:
-    return f"to_json({{'user_id': {a}.user_id, 'evento': {a}.evento, 'valor': {a}.valor, 'k': {a}.k}})"
+    return f"CAST(to_json({{'user_id': {a}.user_id, 'evento': {a}.evento, 'valor': {a}.valor, 'k': {a}.k}}) AS VARCHAR)"
 
 
 def _snap(where: str) -> str:
@@ -33,8 +33,8 @@ AUDIT_EVENTS = """
 WITH ev AS (
   SELECT user_id, ts, event_id,
          CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
-         to_json({'user_id': user_id, 'evento': event_type, 'valor': CAST(value AS DOUBLE),
-                  'k': CAST(json_extract(props, '$.k') AS INTEGER)}) AS img
+         CAST(to_json({'user_id': user_id, 'evento': event_type, 'valor': CAST(value AS DOUBLE),
+                  'k': CAST(json_extract(props, '$.k') AS INTEGER)}) AS VARCHAR) AS img
   FROM events),
 lg AS (
   SELECT *, lag(op) OVER w AS pop, lag(img) OVER w AS pimg
