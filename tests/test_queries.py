@@ -11,6 +11,8 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_MID, SF_SMALL
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR",
+                 "date": "DATE", "double": "DOUBLE", "boolean": "BOOLEAN"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -43,6 +45,9 @@ def test_query_matches_oracle(spark, duck, name):
     d_rows = sorted(tuple(_norm(r[i]) for i in order) for r in rel.fetchall())
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert s_rows == d_rows
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for col, t in sdf.dtypes:
+        assert SPARK_TO_DUCK.get(t, t.upper()) == duck_types[col], (col, t, duck_types[col])
 
 
 def test_every_query_has_an_oracle():
