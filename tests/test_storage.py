@@ -93,3 +93,19 @@ def test_loader_from_csv_files_equals_in_memory(spark, tmpdir_path):
         a = sorted(map(tuple, from_csv[name].collect()), key=key)
         b = sorted(map(tuple, in_mem[name].collect()), key=key)
         assert a == b, name
+
+
+def test_period_query_prunes_month_partitions(spark, tmpdir_path):
+    import io
+    from contextlib import redirect_stdout
+    t = E._tables(spark, SF_SMALL)
+    base = f"{tmpdir_path}/curated"
+    catalog.write_tables(t, base)
+    back = catalog.read_tables(spark, base)
+    df = indicators.regional_indicators(back, "1995-01-01", "1995-03-31", with_timestamp=False)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    assert "PartitionFilters: [isnotnull(mes_particao" in buf.getvalue()
+    want = indicators.regional_indicators(t, "1995-01-01", "1995-03-31", with_timestamp=False)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))

@@ -30,12 +30,11 @@ NOTIFICATION_KEYED = ["notificacao", "dados_demograficos", "dados_clinicos", "da
 
 
 def read_tables(spark: SparkSession, base: str, names=CURATED_TABLES) -> dict[str, DataFrame]:
-    """Lazy frames over curated Parquet tables."""
-    out = {}
-    for n in names:
-        df = spark.read.parquet(f"{base.rstrip('/')}/{n}")
-        out[n] = df.drop("mes_particao") if "mes_particao" in df.columns else df
-    return out
+    """Lazy frames over curated Parquet tables.
+
+    The month partition column of notifications is kept, so period filters
+    can prune folders (see ``plans.indicators``)."""
+    return {n: spark.read.parquet(f"{base.rstrip('/')}/{n}") for n in names}
 
 
 def write_table(df: DataFrame, base: str, name: str, mode: str = "overwrite") -> str:
