@@ -147,3 +147,27 @@ def test_file_order_ids_follow_files_not_packing(tmpdir_path):
     spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r.rid for r in rows] == list(range(1, len(expected) + 1))
     assert [(r.sexo, r.idade) for r in rows] == expected
+
+
+def test_quality_report_counts_violations(spark):
+    S = spark.createDataFrame
+    t = {
+        "estado": S([(15, "Pará", "PA"), (15, "Dup", "PAX")], "estado_ibge int, nome string, sigla string"),
+        "municipio": S([(1500001, "A", 15), (1500002, "B", 99)], "municipio_ibge int, nome string, estado_ibge int"),
+        "notificacao": S([(1, 1500001, 15), (2, 1599999, 15), (2, 1500001, None)],
+                         "notificacao_id long, municipio_notificacao_ibge int, estado_notificacao_ibge int"),
+        "dados_clinicos": S([(1, "x" * 151), (1, "ok"), (7, None)], "notificacao_id long, classificacao_final string"),
+        "teste_laboratorial": S([(1, 1), (9, 2)], "notificacao_id long, numero_sequencial smallint"),
+    }
+    got = {(r.verificacao, r.tabela, r.colunas): r.violacoes
+           for r in quality.quality_report(t).collect()}
+    assert got[("chave_primaria", "estado", "estado_ibge")] == 1
+    assert got[("tamanho", "estado", "sigla")] == 1
+    assert got[("chave_estrangeira", "municipio", "estado_ibge")] == 1
+    assert got[("chave_primaria", "notificacao", "notificacao_id")] == 1
+    assert got[("chave_estrangeira", "notificacao", "municipio_notificacao_ibge")] == 1
+    assert got[("chave_estrangeira", "notificacao", "estado_notificacao_ibge")] == 0
+    assert got[("chave_primaria", "dados_clinicos", "notificacao_id")] == 1
+    assert got[("chave_estrangeira", "dados_clinicos", "notificacao_id")] == 1
+    assert got[("tamanho", "dados_clinicos", "classificacao_final")] == 1
+    assert got[("chave_estrangeira", "teste_laboratorial", "notificacao_id")] == 1

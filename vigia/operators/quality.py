@@ -127,13 +127,29 @@ def _bound_checks(table: str, df: DataFrame) -> list[tuple[str, str, Column]]:
     return checks
 
 
-def dq_bounds(table: str, df: DataFrame) -> DataFrame:
-    """C5 (+C4 on key columns): violation counts of every declared bound of a
-    table in a single aggregation pass, one output row per rule."""
+def dq_bounds(table: str, df: DataFrame, dims: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """C5 (+C4 on key columns, +C2 against dimensions): violation counts of
+    every declared bound of a table in a single pass, one output row per rule.
+
+    References to dimension tables (states, municipalities, symptom names)
+    are checked in the same pass: the table is left-joined to each
+    dimension's distinct keys (small, broadcast by the planner when measured
+    under the threshold), so the table is read once for all its rules."""
     checks = _bound_checks(table, df)
+    j = df
+    for i, (child, fk, parent, pk) in enumerate(FOREIGN_KEYS):
+        if child != table or not dims or parent not in dims:
+            continue
+        keys = (dims[parent].select(*[F.col(c).alias(f"_fk{i}_{c}") for c in pk]).distinct()
+                .withColumn(f"_fk{i}_hit", F.lit(True)))
+        cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(f"_fk{i}_{b}") for a, b in zip(fk, pk)])
+        j = j.join(keys, cond, "left")
+        present = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in fk])
+        checks.append(("chave_estrangeira", ",".join(fk),
+                       F.count_if(present & F.col(f"_fk{i}_hit").isNull())))
     if not checks:
         return None
-    wide = df.agg(*[expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(checks)])
+    wide = j.agg(*[expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(checks)])
     rows = ", ".join(f"'{kind}', '{table}', '{col}', c{i}" for i, (kind, col, _) in enumerate(checks))
     return wide.selectExpr(f"stack({len(checks)}, {rows}) as (verificacao, tabela, colunas, violacoes)")
 
@@ -160,7 +176,10 @@ def notification_children_checks(tables: dict[str, DataFrame], parent: str = "no
         tables[c].groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         .select(F.lit(c).alias("tabela"), F.lit(pk).alias("_pk"), key, "_n")
         for c, pk in children])
-    parents = tables[parent].select(key).distinct().withColumn("_has_parent", F.lit(True))
+    parent_keys = tables[parent].groupBy(key).agg(F.count(F.lit(1)).alias("_pn"))
+    parent_pk = _row("chave_primaria", parent, [key], parent_keys.agg(
+        F.count_if(F.col("_pn") > 1).alias("violacoes")))
+    parents = parent_keys.select(key, F.lit(True).alias("_has_parent"))
     j = keyed.join(parents, key, "left")
     per_table = j.groupBy("tabela", "_pk").agg(
         F.count_if(F.col("_n") > 1).alias("_dups"),
@@ -171,26 +190,35 @@ def notification_children_checks(tables: dict[str, DataFrame], parent: str = "no
     pk_rows = per_table.filter(F.col("_pk")).select(
         F.lit("chave_primaria").alias("verificacao"), "tabela", F.lit(key).alias("colunas"),
         F.col("_dups").alias("violacoes"))
-    return fk_rows.unionByName(pk_rows)
+    return fk_rows.unionByName(pk_rows).unionByName(parent_pk)
+
+
+DIMENSIONS = ["estado", "municipio", "sintoma"]
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Q31: every declared constraint of the model as a row (check, table,
-    columns, violations).  Dimension keys and references are checked with one
-    grouped count / anti join each (dimensions are small); the seven
-    notification-keyed children share one keyed pass; the bounds of a table
-    are one aggregation pass over it."""
+    columns, violations).
+
+    Passes: one per table for its bounds, nulls and references to dimensions;
+    one keyed pass for the notification key (its uniqueness and the seven
+    children's uniqueness / orphans); a grouped count for the remaining keys
+    (dimension keys, the symptom bridge, the symptom name)."""
     parts = []
+    done_pk, done_fk = set(), set()
     combined = notification_children_checks(tables)
-    done_pk = set()
-    done_fk = set()
     if combined is not None:
         parts.append(combined)
+        done_pk.add("notificacao")
         for c, fk, p, _ in FOREIGN_KEYS:
             if p == "notificacao" and fk == ["notificacao_id"] and c in tables:
                 done_fk.add((c, tuple(fk)))
                 if PRIMARY_KEYS.get(c) == ["notificacao_id"]:
                     done_pk.add(c)
+    dims = {d: tables[d] for d in DIMENSIONS if d in tables}
+    for c, fk, p, _ in FOREIGN_KEYS:
+        if p in dims and c in tables:
+            done_fk.add((c, tuple(fk)))
     for table, keys in PRIMARY_KEYS.items():
         if table in tables and table not in done_pk:
             dup = dq_unique(tables[table], keys)
@@ -204,7 +232,7 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
             o = dq_orphans(tables[child], tables[parent], fk, pk)
             parts.append(_row("chave_estrangeira", child, fk, o.agg(F.count(F.lit(1)).alias("violacoes"))))
     for table, df in tables.items():
-        b = dq_bounds(table, df)
+        b = dq_bounds(table, df, dims)
         if b is not None:
             parts.append(b)
     return reduce(lambda a, b: a.unionByName(b), parts)
