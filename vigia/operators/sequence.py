@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 
 def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str],
                     prefix: str = "prev_", num_partitions: int | None = None) -> DataFrame:
@@ -28,9 +30,8 @@ def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [key] + list(order)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = reliable_checkpoint(df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
+                                 .withColumn("_pid", F.spark_partition_id()))
 
     last = ranged.groupBy("_pid").agg(
         F.max_by(F.struct(F.col(key).alias("k"), *[F.col(v) for v in values]),

@@ -50,7 +50,8 @@ def user_snapshot(events: DataFrame, as_of=None) -> DataFrame:
     user with a third of all events is still spread over every map task."""
     ev = events
     if as_of is not None:
-        ev = ev.filter(F.col("ts") <= F.lit(as_of).cast("timestamp"))
+        # the cutoff takes the column's own timestamp type (no time-zone shift)
+        ev = ev.filter(F.col("ts") <= F.lit(as_of).cast(ev.schema["ts"].dataType))
     last = ev.groupBy(KEY).agg(F.max_by(F.struct("event_type", "value", "props"),
                                         F.struct(*[F.col(o) for o in ORDER])).alias("_l"))
     flat = last.select(KEY, F.col("_l.event_type").alias("event_type"), F.col("_l.value").alias("value"),

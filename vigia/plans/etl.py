@@ -31,6 +31,7 @@ from ..functions.labels import tradicional
 from ..operators.joins import merge_maps, name_code_map, recover_code
 from ..operators.keys import dense_ids_by_first_appearance, distinct_pairs, first_by
 from ..operators.reshape import explode_list, rename_select, unpivot_doses, unpivot_tests
+from ..session import reliable_checkpoint
 from ..sources.raw import with_file_order_id
 
 # --- fixed values: raw date columns and curated column names --------------------
@@ -102,12 +103,12 @@ def etl_stages(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dic
     typed = number_rows(raw, stable=stable)
     name_map = recovery_map(typed)
     rec = recover_codes(typed, name_map)
-    municipio = municipality_dim(rec).checkpoint(eager=True)
+    municipio = reliable_checkpoint(municipality_dim(rec))
     valid_ids = municipio.select("municipio_ibge").distinct()
     not_code = _code_as_int("municipioNotificacaoIBGE")
-    accepted = (rec.withColumn("_mun_not", not_code)
-                .join(valid_ids, F.col("_mun_not") == F.col("municipio_ibge"), "left_semi")
-                .checkpoint(eager=True))
+    accepted = reliable_checkpoint(
+        rec.withColumn("_mun_not", not_code)
+        .join(valid_ids, F.col("_mun_not") == F.col("municipio_ibge"), "left_semi"))
     return {"typed": typed, "name_map": name_map, "municipio": municipio, "accepted": accepted}
 
 

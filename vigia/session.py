@@ -101,3 +101,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     import uuid
     return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder, making
+    sure the folder is set on the session first (never localCheckpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

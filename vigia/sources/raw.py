@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import nullify_tokens
+from ..session import reliable_checkpoint
 
 # --- fixed values: the 57 raw columns the loader consumes ---------------------
 RAW_COLUMNS = [
@@ -95,7 +96,7 @@ def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int =
     seg = [c for c in SOURCE_COLUMNS if c in df.columns]
     pos = df.withColumn("_pos", F.monotonically_increasing_id())
     if not stable:
-        pos = pos.checkpoint(eager=True)
+        pos = reliable_checkpoint(pos)
     pos = pos.withColumn("_part", F.shiftright(F.col("_pos"), _ID_BITS))
     keys = seg + ["_part"]
     segments = pos.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
