@@ -9,7 +9,7 @@ shuffle: a key with a third of all rows does not become one heavy task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,12 +27,15 @@ def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def dense_ids_by_first_appearance(items: DataFrame, name_col: str, order: list[str],
                                   id_col: str, start: int = 1) -> DataFrame:
-    """K1: number distinct names 1..n in order of first appearance.
-
-    First appearance per name is a partial aggregate over all rows; only the
-    distinct names (a bounded vocabulary such as symptom names) are then
-    numbered by a window, so that window sees one row per name, not the data."""
+    """K1: number distinct names start, start+1, ... in order of first appearance.
+
+    First appearance per name is a partial aggregate over all rows.  The
+    distinct names are then range-sorted by it (a distributed sort) and
+    numbered with per-partition counts and offsets, so no single task ever
+    holds the whole vocabulary, however many distinct spellings the raw
+    text contains."""
+    from ..sources.raw import with_file_order_id
     first = (items.filter(F.col(name_col).isNotNull()).groupBy(name_col)
-             .agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_first")))
-    w = Window.orderBy("_first")
-    return first.select((F.row_number().over(w) + F.lit(start - 1)).cast("int").alias(id_col), name_col)
+             .agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_appear")))
+    ranked = with_file_order_id(first.orderBy("_appear"), id_col, start=start)
+    return ranked.select(F.col(id_col).cast("int").alias(id_col), name_col)
