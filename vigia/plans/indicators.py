@@ -139,15 +139,18 @@ def upsert(target: DataFrame, new: DataFrame, keys=KEYS) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def upsert_table(spark, table_path: str | None, new: DataFrame, keys=KEYS) -> DataFrame:
-    """U1 on storage: write target+new as a fresh version folder and return it.
-
-    Written under the shared checkpoint folder (a new version each call); the
-    previous version is only read, so a failed run leaves it intact."""
+def upsert_table(spark, table_path: str | None, new: DataFrame, keys=KEYS,
+                 out_path: str | None = None) -> DataFrame:
+    """U1 on storage: write current+new as a new version and return it.
+
+    The current version (``table_path``) is only read; the merged table goes
+    to ``out_path`` (a new version folder of the KPI table) or, by default,
+    to a fresh folder under the shared checkpoint folder.  A failed run
+    leaves the current version intact; readers switch to the new folder."""
     from ..session import scratch_path
     current = spark.read.parquet(table_path) if table_path else None
     merged = new if current is None else upsert(current, new, keys)
-    path = scratch_path(spark, "indicadores_regionais")
+    path = out_path or scratch_path(spark, "indicadores_regionais")
     merged.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
