@@ -109,3 +109,17 @@ def test_period_query_prunes_month_partitions(spark, tmpdir_path):
     assert "PartitionFilters: [isnotnull(mes_particao" in buf.getvalue()
     want = indicators.regional_indicators(t, "1995-01-01", "1995-03-31", with_timestamp=False)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sql_users_query_views_and_kpi_table(spark):
+    t = E._tables(spark, SF_SMALL)
+    assert views.register_analytic_views(t) == ["vw_casos_por_municipio", "vw_vacinacao_por_resultado",
+                                                "vw_sintomas_frequentes"]
+    a = sorted(map(tuple, spark.sql("SELECT * FROM vw_casos_por_municipio").collect()))
+    assert a == sorted(map(tuple, views.cases_by_municipality(t).collect()))
+    jan = indicators.calcular_indicadores(spark, t, "1995-01-01", "1995-01-31")
+    path = jan.inputFiles()[0].rsplit("/", 1)[0]
+    both = indicators.calcular_indicadores(spark, t, "1995-02-01", "1995-02-28", path)
+    again = indicators.calcular_indicadores(spark, t, "1995-02-01", "1995-02-28",
+                                            both.inputFiles()[0].rsplit("/", 1)[0])
+    assert again.count() == both.count() == jan.count() + both.filter("periodo_inicio = '1995-02-01'").count()

@@ -165,3 +165,12 @@ def snapshot_as_of(t: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
     out["teste_laboratorial"] = t["teste_laboratorial"].filter(F.col("data_coleta") <= d)
     out["vacina_aplicada"] = t["vacina_aplicada"].filter(F.col("data_aplicacao") <= d)
     return out
+
+
+def calcular_indicadores(spark, t: dict[str, DataFrame], inicio, fim, table_path: str | None = None,
+                         out_path: str | None = None) -> DataFrame:
+    """The KPI procedure as one call: compute every municipality's indicators
+    for [inicio, fim] and upsert them into the KPI table version at
+    ``table_path`` (None = start a new table); returns the new version."""
+    new = regional_indicators(t, inicio, fim)
+    return upsert_table(spark, table_path, new, KEYS, out_path)

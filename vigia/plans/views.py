@@ -73,3 +73,21 @@ def frequent_symptoms(t: dict[str, DataFrame], ordered: bool = False) -> DataFra
     if ordered:
         out = out.orderBy(F.col("frequencia_em_confirmados").desc(), F.col("sintoma").asc())
     return out
+
+
+# --- fixed values: the analytic view names SQL users query --------------------
+VIEW_NAMES = {
+    "vw_casos_por_municipio": cases_by_municipality,
+    "vw_vacinacao_por_resultado": vaccination_by_outcome,
+    "vw_sintomas_frequentes": frequent_symptoms,
+}
+# ------------------------------------------------------------------------------
+
+
+def register_analytic_views(t: dict[str, DataFrame]) -> list[str]:
+    """S10 for the views: expose Q3-Q5 under their view names, so SQL users
+    keep writing ``SELECT ... FROM vw_casos_por_municipio``.  Each is a lazy
+    plan over the current tables, evaluated when queried."""
+    for name, fn in VIEW_NAMES.items():
+        fn(t).createOrReplaceTempView(name)
+    return list(VIEW_NAMES)
