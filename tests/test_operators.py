@@ -79,11 +79,11 @@ def test_previous_by_key_matches_window_under_skew(spark):
         user = 0 if i % 3 == 0 else random.randint(1, 40)   # user 0 holds a third of rows
         rows.append((user, i, random.randint(0, 10 ** 6), f"v{i}"))
     df = spark.createDataFrame(rows, "u int, eid int, ts int, v string")
-    got = sequence.previous_by_key(df, "u", ["ts", "eid"], ["v"], num_partitions=8)
     w = Window.partitionBy("u").orderBy("ts", "eid")
-    want = df.withColumn("prev_v", F.lag("v").over(w))
-    assert sorted(map(tuple, got.select("eid", "prev_v").collect())) == \
-        sorted(map(tuple, want.select("eid", "prev_v").collect()))
+    want = sorted(map(tuple, df.withColumn("prev_v", F.lag("v").over(w)).select("eid", "prev_v").collect()))
+    for n in (8, 37, None):   # explicit range partitions, and AQE-sized
+        got = sequence.previous_by_key(df, "u", ["ts", "eid"], ["v"], num_partitions=n)
+        assert sorted(map(tuple, got.select("eid", "prev_v").collect())) == want
 
 
 def test_upsert_keeps_absent_and_is_idempotent(spark):

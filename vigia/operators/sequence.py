@@ -27,11 +27,13 @@ def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str]
     ``values`` should be string columns (images, labels); the key any
     orderable type.  The range-sorted input is checkpointed to the shared
     checkpoint folder so both passes see identical partitions."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [key] + list(order)
-    ranged = reliable_checkpoint(df.repartitionByRange(n, *[F.col(c) for c in sort_cols])
-                                 .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count AQE may merge adjacent range partitions to
+    # its target size (order is kept); a hot key still spans many of them.
+    by = [F.col(c) for c in sort_cols]
+    ranged_df = (df.repartitionByRange(num_partitions, *by) if num_partitions
+                 else df.repartitionByRange(*by))
+    ranged = reliable_checkpoint(ranged_df.withColumn("_pid", F.spark_partition_id()))
 
     last = ranged.groupBy("_pid").agg(
         F.max_by(F.struct(F.col(key).alias("k"), *[F.col(v) for v in values]),
