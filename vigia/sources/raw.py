@@ -84,8 +84,9 @@ def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int =
     inside their partition, so a row's position is its provisional id minus
     the segment's first one.  Segment sizes are a small aggregate (one row per
     file split or partition, a proven bound); ordered by (file, split start,
-    partition) their running sum gives each segment's offset, and that table
-    is broadcast back.  File order therefore does not depend on how Spark
+    partition) their running sum gives each segment's offset.  The offsets go
+    back as one row per partition (its segments' first positions and offsets,
+    two longs per split), broadcast.  File order therefore does not depend on how Spark
     packs files into partitions (it packs the largest first).
 
     The provisional id is materialised first (``checkpoint`` to the shared
@@ -101,10 +102,15 @@ def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int =
     keys = seg + ["_part"]
     segments = pos.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = segments.select(*keys, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = pos.join(F.broadcast(offsets), keys)
+    offsets = segments.select("_part", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # One row per partition with its segments' (first position, offset): the
+    # broadcast holds two longs per file split, no paths.
+    per_part = offsets.groupBy("_part").agg(
+        F.array_sort(F.collect_list(F.struct("_first", "_off"))).alias("_segs"))
+    out = pos.join(F.broadcast(per_part), "_part")
+    mine = F.element_at(F.filter("_segs", lambda x: x["_first"] <= F.col("_pos")), -1)
     return out.select(*[F.col(f"`{c}`") for c in df.columns],
-                      (F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(start))
+                      (mine["_off"] + F.col("_pos") - mine["_first"] + F.lit(start))
                       .cast("bigint").alias(name))
 
 
