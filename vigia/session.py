@@ -53,12 +53,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
-    if "spark.checkpoint.dir" not in conf:
-        # Only a locally built session (tests, bench) gets a scratch folder;
-        # a cluster session brings its own shared spark.checkpoint.dir.
+    local = bool(master) and master.startswith("local")
+    if local and "spark.checkpoint.dir" not in conf:
+        # Only a local session (tests, bench) gets a scratch folder; a cluster
+        # session must name its shared spark.checkpoint.dir.
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(
             prefix="vigia-ckpt-", dir=os.environ.get("VIGIA_SCRATCH", "/tmp"))
-    if "spark.sql.warehouse.dir" not in conf:
+    if local and "spark.sql.warehouse.dir" not in conf:
         # Likewise for catalog tables of a local session (never the cwd).
         conf["spark.sql.warehouse.dir"] = conf["spark.checkpoint.dir"].rstrip("/") + "-warehouse"
     for k, v in conf.items():
@@ -72,10 +73,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when the session has
-    none (a session built elsewhere without it, e.g. a bare test session) is a
-    fresh local scratch folder chosen; that never happens on a cluster that
-    names its shared folder.
+    Reads ``spark.checkpoint.dir`` from the session.  Only a local-mode session
+    without one gets a fresh local scratch folder; on a cluster a missing
+    shared folder is an error, never a machine-local temporary folder.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
@@ -87,6 +87,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = _LOCAL_FALLBACK.get(id(sc))
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all "
+                               "executors (checkpoints and intermediate tables go there)")
         path = tempfile.mkdtemp(prefix="vigia-ckpt-", dir=os.environ.get("VIGIA_SCRATCH", "/tmp"))
         _LOCAL_FALLBACK[id(sc)] = path
     if sc.getCheckpointDir() is None:
