@@ -14,9 +14,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from vigia.session import get_spark
-    scratch = tempfile.mkdtemp(prefix="vigia-test-")
-    s = get_spark("local[4]", shuffle_partitions=4,
-                  extra_conf={"spark.checkpoint.dir": scratch + "/ckpt"})
+    # spark.checkpoint.dir comes from the Spark defaults when set there;
+    # checkpoint_dir() picks a scratch folder only if it is unset.
+    s = get_spark("local[4]", shuffle_partitions=4)
     yield s
     s.stop()
 

@@ -53,15 +53,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
-    local = bool(master) and master.startswith("local")
-    if local and "spark.checkpoint.dir" not in conf:
-        # Only a local session (tests, bench) gets a scratch folder; a cluster
-        # session must name its shared spark.checkpoint.dir.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(
-            prefix="vigia-ckpt-", dir=os.environ.get("VIGIA_SCRATCH", "/tmp"))
-    if local and "spark.sql.warehouse.dir" not in conf:
-        # Likewise for catalog tables of a local session (never the cwd).
-        conf["spark.sql.warehouse.dir"] = conf["spark.checkpoint.dir"].rstrip("/") + "-warehouse"
+    # spark.checkpoint.dir is not set here: it comes from the cluster / the
+    # Spark defaults and is read back by checkpoint_dir() after the build.
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

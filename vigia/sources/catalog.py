@@ -57,20 +57,24 @@ def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "overwrite
 
 
 def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int,
-                  mode: str = "overwrite") -> dict[str, str]:
+                  mode: str = "overwrite", base: str | None = None) -> dict[str, str]:
     """S6 (catalog form): write every table as a managed catalog table; the
     notification-keyed ones bucketed and sorted by notificacao_id into the same
     number of buckets.  Joins between them and groupings by notificacao_id
     then read co-located buckets instead of shuffling both sides.
 
     Choose ``buckets`` so one bucket of the largest table is a few hundred MB
-    (e.g. 4096 at ~1 TB of tests); dimensions are written unbucketed."""
+    (e.g. 4096 at ~1 TB of tests); dimensions are written unbucketed.  Tables
+    are stored under ``base`` (default: a folder of the shared checkpoint
+    folder), never in a process-local warehouse directory."""
+    from ..session import checkpoint_dir
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    base = (base or f"{checkpoint_dir(spark)}/catalog/{database}").rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
     out = {}
     for name, df in tables.items():
         full = f"{database}.{name}"
-        w = df.write.mode(mode).format("parquet")
+        w = df.write.mode(mode).format("parquet").option("path", f"{base}/{name}")
         if name in NOTIFICATION_KEYED:
             w = w.bucketBy(buckets, "notificacao_id").sortBy("notificacao_id")
         w.saveAsTable(full)
