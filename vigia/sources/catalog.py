@@ -1,9 +1,11 @@
 """Curated tables on storage: read, write, register, materialise.
 
-Curated tables are Parquet folders under one base path, one folder per table.
-Facts are partitioned by notification month so date-range queries prune whole
-folders; satellites and children are written with the same notificacao_id
-bucketing-free layout and are joined by shuffle (AQE coalesces and splits).
+Two layouts.  ``write_tables``: Parquet folders under one base path, one
+folder per table, notifications partitioned by month so period queries prune
+whole folders.  ``save_bucketed``: catalog tables whose eight
+notification-keyed tables are bucketed and sorted on notificacao_id with one
+bucket count, so their joins and per-notification aggregates read co-located
+buckets instead of shuffling.
 """
 
 from __future__ import annotations
