@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 ISO_DATE = "yyyy-MM-dd"
 DAY_FIRST = "d/M/yyyy"
 _ISO_DATETIME_PREFIX = r"^\s*\d{4}-\d{2}-\d{2}[T ]"
+_ISO_DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_DAY_FIRST_SHAPE = r"^\d{1,2}/\d{1,2}/\d{4}$"
 
 
 def _c(c) -> Column:
@@ -23,11 +25,12 @@ def parse_date(c) -> Column:
     A bare year ('2024') is rejected rather than read as 1 January.
     """
     s = F.trim(_c(c))
+    # Each layout is tried only on strings of its shape: a parser that fails
+    # does so by raising inside the JVM, which is slow per row.
     return F.coalesce(
-        F.try_to_date(s, ISO_DATE),
-        F.try_to_date(s, DAY_FIRST),
-        F.when(s.rlike(_ISO_DATETIME_PREFIX),
-               F.to_date(F.try_to_timestamp(s))),
+        F.when(s.rlike(_ISO_DATE_SHAPE), F.try_to_date(s, ISO_DATE)),
+        F.when(s.rlike(_DAY_FIRST_SHAPE), F.try_to_date(s, DAY_FIRST)),
+        F.when(s.rlike(_ISO_DATETIME_PREFIX), F.to_date(F.try_to_timestamp(s))),
     )
 
 

@@ -99,8 +99,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df):
-    """``df.checkpoint(eager=True)`` into the shared checkpoint folder, making
-    sure the folder is set on the session first (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def reliable_checkpoint(df, name: str = "stage"):
+    """Cut the lineage of ``df`` with a table written to the shared checkpoint
+    folder, read back with the same schema (never localCheckpoint).
+
+    One job computes ``df`` once and writes it as Parquet (an RDD checkpoint
+    of an unpersisted frame would compute it twice: once for the eager count,
+    once for the checkpoint write).  The copy survives executor loss, and
+    values computed from the physical layout (provisional row ids, partition
+    numbers) are stored as data, so later jobs see exactly the same values."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
