@@ -25,8 +25,9 @@ def previous_by_key(df: DataFrame, key: str, order: list[str], values: list[str]
     row (by ``order``) of the same ``key``, null on a key's first row.
 
     ``values`` should be string columns (images, labels); the key any
-    orderable type.  The range-sorted input is checkpointed to the shared
-    checkpoint folder so both passes see identical partitions."""
+    orderable type.  The range-partitioned input, with its partition number
+    stored as a column, is written once to the shared checkpoint folder, so
+    both passes see identical partitions."""
     sort_cols = [key] + list(order)
     # Without an explicit count AQE may merge adjacent range partitions to
     # its target size (order is kept); a hot key still spans many of them.

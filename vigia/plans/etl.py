@@ -13,7 +13,7 @@ Steps, all as DataFrame transformations over the whole file:
 6. satellites, symptom vocabulary with ids by first appearance (K1) and the
    notification-symptom bridge (R3, J6, W2), test and dose slots (R1, R2).
 
-Materialised (reliable checkpoint in the shared checkpoint folder): the
+Materialised (a table written to the shared checkpoint folder): the
 provisional row positions before numbering, then the small municipality
 dimension and the accepted rows, which ten outputs read.  Row ids must not
 change if a task is re-run after an executor loss.

@@ -89,7 +89,7 @@ def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int =
     two longs per split), broadcast.  File order therefore does not depend on how Spark
     packs files into partitions (it packs the largest first).
 
-    The provisional id is materialised first (``checkpoint`` to the shared
+    The provisional id is materialised first (a table written to the shared
     checkpoint folder) unless the caller says the input is already stable, so
     recomputation after an executor loss cannot renumber rows.
     """
