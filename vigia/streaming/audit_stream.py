@@ -28,7 +28,11 @@ def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
     """Log rows of one micro-batch and the key state after it."""
     ev = batch.select(cdc.KEY, *cdc.ORDER, cdc.event_op().alias("_op"),
                       cdc.event_image(batch).alias("_image"), F.lit(1).alias("_grp"))
-    rows = ev if state is None else state.select(*ev.columns).unionByName(ev)
+    # Only the state of keys present in this batch takes part in the log;
+    # the state of every other key is carried over unchanged.
+    touched = None if state is None else state.select(*ev.columns).join(
+        ev.select(cdc.KEY).distinct(), cdc.KEY, "left_semi")
+    rows = ev if touched is None else touched.unionByName(ev)
     prev = previous_by_key(rows, cdc.KEY, ["_grp", *cdc.ORDER], ["_op", "_image"])
     old = F.when(F.col("prev__op").isNotNull() & (F.col("prev__op") != "D"), F.col("prev__image"))
     log = (prev.filter(F.col("_grp") == 1).select(
@@ -39,8 +43,11 @@ def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
     # New state: each key's latest row; state rows sort before batch rows.
     latest = rows.groupBy(cdc.KEY).agg(F.max_by(F.struct(*rows.columns),
                                                 F.struct("_grp", *cdc.ORDER)).alias("_s"))
-    new_state = latest.select(*[F.col(f"_s.{c}").alias(c) for c in rows.columns]).withColumn("_grp", F.lit(0))
-    return log, new_state
+    updated = latest.select(*[F.col(f"_s.{c}").alias(c) for c in rows.columns]).withColumn("_grp", F.lit(0))
+    if state is None:
+        return log, updated
+    untouched = state.select(*ev.columns).join(ev.select(cdc.KEY).distinct(), cdc.KEY, "left_anti")
+    return log, untouched.unionByName(updated)
 
 
 def audit_stream(spark: SparkSession, source_dir: str, log_path: str, state_path: str | None = None,
