@@ -107,8 +107,23 @@ def q_audit_stream_events(spark: SparkSession, sf: str) -> DataFrame:
     return run_audit_stream(spark, sf, glob="events.parquet")
 
 
+_FLAT_TABLE: dict[tuple, DataFrame] = {}
+
+
+def _flat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table written once (S11) to the shared checkpoint folder
+    and read back: the dashboard's aggregates all read this table, as the
+    dashboard reads the exported extract instead of re-running the joins."""
+    from vigia.sources.catalog import materialize
+    key = (id(spark), id(spark.sparkContext), sf_dir)
+    if key not in _FLAT_TABLE or spark.sparkContext._jsc is None:
+        _FLAT_TABLE.clear()
+        _FLAT_TABLE[key] = materialize(spark, _flat(spark, sf_dir), "flat")
+    return _FLAT_TABLE[key]
+
+
 def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: fn(_flat(spark, sf))
+    return lambda spark, sf: fn(_flat_table(spark, sf))
 
 
 def q_regional_indicators(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +147,7 @@ def q_upsert_indicators(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_filtered_headline(spark: SparkSession, sf: str) -> DataFrame:
-    f = dash.apply_filters(_flat(spark, sf), oq.FILTER_START, oq.FILTER_END, oq.FILTER_MUNICIPIOS)
+    f = dash.apply_filters(_flat_table(spark, sf), oq.FILTER_START, oq.FILTER_END, oq.FILTER_MUNICIPIOS)
     return dash.headline(f)
 
 
