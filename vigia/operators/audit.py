@@ -64,7 +64,7 @@ def change_log(events: DataFrame, key: str, order: list[str], op: Column, image:
     ``op`` gives I/U/D per event, ``image`` the row image after an I/U (JSON
     text).  The old image of a U/D is the previous event's image of the same
     key, unless that event deleted the row."""
-    ev = events.select(*{key, *order}, op.alias("_op"), image.alias("_image"))
+    ev = events.select(*dict.fromkeys([key, *order]), op.alias("_op"), image.alias("_image"))
     prev = previous_by_key(ev, key, list(order), ["_op", "_image"])
     old = F.when(F.col("prev__op").isNotNull() & (F.col("prev__op") != "D"), F.col("prev__image"))
     out = prev.select(

@@ -21,13 +21,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, in_period
 from ..functions.numeric import exact_ratio
-from ..functions.predicates import is_confirmed, is_sim_ci, not_excluded, positive_by_code
+from ..functions.predicates import is_confirmed, is_sim_ci, positive_by_code
 
 KEYS = ["municipio_ibge", "periodo_inicio", "periodo_fim"]
 MEASURES = ["taxa_positividade", "tempo_medio_sintomas_teste",
             "perc_prof_saude_infectados", "media_doses_vacina"]
-_COUNTS = ["n_testes", "n_positivos", "soma_dias", "n_dias", "n_confirmados",
-           "n_saude", "n_doses", "n_notificacoes"]
 
 
 def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:

@@ -21,9 +21,6 @@ from ..operators.sequence import previous_by_key
 from ..plans import cdc
 from ..session import checkpoint_dir
 
-STATE_COLUMNS = ["user_id", "_op", "_image", "_grp", "ts", "event_id"]
-
-
 def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
     """Log rows of one micro-batch and the key state after it."""
     ev = batch.select(cdc.KEY, *cdc.ORDER, cdc.event_op().alias("_op"),
