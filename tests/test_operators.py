@@ -171,3 +171,36 @@ def test_quality_report_counts_violations(spark):
     assert got[("chave_estrangeira", "dados_clinicos", "notificacao_id")] == 1
     assert got[("tamanho", "dados_clinicos", "classificacao_final")] == 1
     assert got[("chave_estrangeira", "teste_laboratorial", "notificacao_id")] == 1
+
+
+def test_first_by_and_maps_independent_of_partitioning(spark):
+    from vigia.operators import joins
+    rows = [(i, f"m{i % 17}", None if i % 5 == 0 else str(1500000 + (i * 7) % 23)) for i in range(2000)]
+    base = spark.createDataFrame(rows, "rid long, nome string, code string")
+    out = []
+    for n in (1, 4, 64):
+        m = joins.name_code_map(base.repartition(n), "nome", "code", "rid")
+        out.append(sorted(map(tuple, m.collect())))
+    assert out[0] == out[1] == out[2]
+    # first row in order, not any row: name m1 first appears at rid 1 with a code
+    assert dict(out[0])["m1"] == float(1500000 + 7 % 23)
+
+
+def test_audit_diff_applied_to_old_gives_new(spark):
+    import json
+    random.seed(3)
+    old_rows = [(i, random.choice("abc"), random.randint(0, 3)) for i in range(300)]
+    new_rows = [(i, s if i % 7 else s.upper(), n) for i, s, n in old_rows if i % 11] + \
+               [(i, "z", None) for i in range(300, 330)]
+    schema = "id int, s string, n int"
+    old = spark.createDataFrame(old_rows, schema)
+    new = spark.createDataFrame(new_rows, schema)
+    log = audit.audit_diff(old, new, ["id"], "t", with_meta=False).collect()
+    state = {r[0]: r for r in old_rows}
+    for r in log:
+        if r.operacao == "D":
+            del state[json.loads(r.dados_antigos)["id"]]
+        else:
+            img = json.loads(r.dados_novos)
+            state[img["id"]] = (img["id"], img["s"], img["n"])
+    assert sorted(state.values(), key=lambda x: x[0]) == sorted(new_rows, key=lambda x: x[0])
