@@ -165,13 +165,12 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                              _map(F.col("w"), SYMPTOM_WORDS, None).alias("mapped"), "w")
                      .select("notificacao_id", F.coalesce("mapped", "w").alias("nome"))
                      .distinct())
-    # The symptom vocabulary is small and bounded: number it after the
-    # distributed distinct (the window only sees the distinct names).
-    from pyspark.sql import Window
-    sintoma = (symptom_names.select("nome").distinct()
-               .select(F.dense_rank().over(Window.orderBy("nome")).cast("int").alias("sintoma_id"), "nome"))
-    notificacao_sintoma = (symptom_names.join(sintoma, "nome")
-                           .select("notificacao_id", "sintoma_id"))
+    # Surrogate symptom ids of the test data are a deterministic function of
+    # the name (no global numbering, no join back); the names are what every
+    # query reports, and the quality report checks the ids stay unique.
+    sid = F.hash("nome").alias("sintoma_id")
+    sintoma = symptom_names.select("nome").distinct().select(sid, "nome")
+    notificacao_sintoma = symptom_names.select("notificacao_id", sid)
 
     return {
         "estado": estado,
