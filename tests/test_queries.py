@@ -133,3 +133,25 @@ def test_stream_restart_resumes_without_duplicates(spark, tmpdir_path):
     key = lambda r: tuple("" if x is None else str(x) for x in r)
     assert 0 < first < got.count()
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+@pytest.mark.parametrize("name,key", [("regional_indicators_monthly", "municipio_ibge"),
+                                      ("cases_by_municipality", "municipio"),
+                                      ("audit_snapshots", "user_id")])
+def test_hot_key_groupings_aggregate_before_shuffle(spark, name, key):
+    """A key holding a third of the rows must reach the shuffle as one partial
+    row per task: the plan aggregates partially below the exchange on the key."""
+    import io
+    import re
+    from contextlib import redirect_stdout
+    df = E.queries()[name](spark, SF_SMALL)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    lines = plan.splitlines()
+    ex = [i for i, ln in enumerate(lines) if re.search(rf"Exchange hashpartitioning\({key}", ln)]
+    assert ex, plan
+    below = "\n".join(lines[ex[0] + 1:ex[0] + 4])
+    # HashAggregate, or SortAggregate for struct-valued max_by: both map-side
+    assert "Aggregate" in below and ("partial_" in below or "functions=[]" in below), plan
