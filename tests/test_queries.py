@@ -155,3 +155,25 @@ def test_hot_key_groupings_aggregate_before_shuffle(spark, name, key):
     below = "\n".join(lines[ex[0] + 1:ex[0] + 4])
     # HashAggregate, or SortAggregate for struct-valued max_by: both map-side
     assert "Aggregate" in below and ("partial_" in below or "functions=[]" in below), plan
+
+
+def test_fixture_golden_counts_of_the_feature_table(spark):
+    """FIXTURES.md §5 (counted with positivity by code)."""
+    from pyspark.sql import functions as F
+
+    from vigia.plans import flat
+    f = flat.flat_dataset(E._tables(spark, SF_MID), positive="code")
+    assert f.count() == 8984
+    status = {r[0]: r[1] for r in f.groupBy("status_vacinal").count().collect()}
+    assert status == {"Esquema Completo": 2900, "Não Vacinado": 2803, "Parcial": 3281}
+    res = {r[0]: r[1] for r in f.groupBy("resultado_teste_agregado").count().collect()}
+    assert res == {"Positivo": 4785, "Negativo/Inconclusivo": 3321, "Não Testado": 878}
+    tgt = {r[0]: r[1] for r in f.groupBy("target_confirmado").count().collect()}
+    assert tgt == {1: 2958, 0: 4466, None: 1560}
+    s = f.agg(F.sum("testes_realizados"), F.sum("doses_vacina"), F.sum("flg_febre"),
+              F.sum("flg_tosse"), F.sum("flg_dispneia")).first()
+    assert tuple(s) == (20374, 10401, 645, 556, 1161)
+    n = E._tables(spark, SF_MID)["notificacao"]
+    assert n.count() == 15000
+    assert n.filter(F.col("excluido").isNull()).count() == 3020
+    assert n.filter(F.col("excluido")).count() == 2996
