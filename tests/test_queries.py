@@ -177,3 +177,14 @@ def test_fixture_golden_counts_of_the_feature_table(spark):
     assert n.count() == 15000
     assert n.filter(F.col("excluido").isNull()).count() == 3020
     assert n.filter(F.col("excluido")).count() == 2996
+
+
+def test_fixture_golden_indicators_1998(spark):
+    from decimal import Decimal
+
+    from vigia.plans import indicators
+    rows = indicators.regional_indicators(E._tables(spark, SF_MID), "1998-01-01", "1998-12-31").collect()
+    assert len(rows) == 25
+    m0 = [r for r in rows if r.municipio_ibge == 0][0]
+    assert (m0.taxa_positividade, m0.tempo_medio_sintomas_teste, m0.perc_prof_saude_infectados,
+            m0.media_doses_vacina) == (Decimal("22.81"), Decimal("588.2"), Decimal("37.50"), Decimal("1.18"))
