@@ -204,3 +204,17 @@ def test_audit_diff_applied_to_old_gives_new(spark):
             img = json.loads(r.dados_novos)
             state[img["id"]] = (img["id"], img["s"], img["n"])
     assert sorted(state.values(), key=lambda x: x[0]) == sorted(new_rows, key=lambda x: x[0])
+
+
+def test_dashboard_ordered_outputs(spark):
+    from vigia.plans import dashboard
+    import datetime as dt
+    rows = [(dt.date(2021, m, 1), m % 2, "Parcial" if m % 3 else "Esquema Completo", "F" if m % 2 else "M")
+            for m in range(1, 13)] + [(dt.date(2020, 12, 5), 1, "Parcial", "F")]
+    f = spark.createDataFrame(rows, "data_notificacao date, target_confirmado int, status_vacinal string, sexo string")
+    months = [r.ano_mes for r in dashboard.monthly_rate(f, ordered=True).collect()]
+    assert months == sorted(months) and months[0] == "2020-12"
+    keys = [(r.status_vacinal, r.target_confirmado) for r in dashboard.vaccine_status_x_target(f, ordered=True).collect()]
+    assert keys == sorted(keys)
+    d = [(r.sexo, r.total) for r in dashboard.distribution(f, "sexo", ordered=True).collect()]
+    assert d == [("F", 7), ("M", 6)]

@@ -18,7 +18,7 @@ from ..functions.labels import RESULT_POSITIVE, VAX_COMPLETE, VAX_NONE, VAX_PART
 from ..functions.numeric import pct, round_half_even
 from ..functions.predicates import in_list
 from ..functions.risk import percent, risk_band, risk_score
-from ..operators.aggregates import corr_matrix, top_k, value_counts
+from ..operators.aggregates import corr_matrix, order_counts, top_k, value_counts
 
 # --- fixed values: list separator the dashboard splits on, correlation inputs --
 LIST_SEP = ";"
@@ -46,15 +46,17 @@ def headline(df: DataFrame) -> DataFrame:
     return agg.select("*", pct("casos_confirmados", "total_notificacoes").alias("taxa_confirmacao"))
 
 
-def monthly_rate(df: DataFrame) -> DataFrame:
-    """Q12: per month, total, confirmed (target = 1) and rate %, in one pass."""
+def monthly_rate(df: DataFrame, ordered: bool = False) -> DataFrame:
+    """Q12: per month, total, confirmed (target = 1) and rate %, in one pass.
+    ``ordered`` sorts chronologically (by the yyyy-MM label, D-7)."""
     g = (df.filter(F.col("data_notificacao").isNotNull())
          .groupBy(ano_mes("data_notificacao").alias("ano_mes"),
                   mes_ano("data_notificacao").alias("mes_ano"))
          .agg(F.count(F.lit(1)).alias("total"),
               F.count_if(F.col("target_confirmado") == 1).alias("confirmados")))
-    return g.select("ano_mes", "mes_ano", "total", "confirmados",
-                    pct("confirmados", "total").alias("taxa_confirmacao"))
+    out = g.select("ano_mes", "mes_ano", "total", "confirmados",
+                   pct("confirmados", "total").alias("taxa_confirmacao"))
+    return out.orderBy("ano_mes") if ordered else out
 
 
 def top_municipalities(df: DataFrame, k: int = 10) -> DataFrame:
@@ -62,9 +64,13 @@ def top_municipalities(df: DataFrame, k: int = 10) -> DataFrame:
     return top_k(df, "municipio_nome", k, "casos")
 
 
-def distribution(df: DataFrame, c: str, k: int | None = None) -> DataFrame:
-    """Q14-Q17, Q20, Q25: value counts of one column (optionally top k)."""
-    return top_k(df, c, k, "total") if k else value_counts(df, c, "total")
+def distribution(df: DataFrame, c: str, k: int | None = None, ordered: bool = False) -> DataFrame:
+    """Q14-Q17, Q20, Q25: value counts of one column (optionally top k);
+    ``ordered`` gives the display order (count descending, value ascending)."""
+    if k:
+        return top_k(df, c, k, "total")
+    out = value_counts(df, c, "total")
+    return order_counts(out, c, "total") if ordered else out
 
 
 def vaccine_status_counts(df: DataFrame) -> DataFrame:
@@ -75,13 +81,15 @@ def vaccine_status_counts(df: DataFrame) -> DataFrame:
                   F.count_if(s == VAX_PARTIAL).alias("parcial"))
 
 
-def vaccine_status_x_target(df: DataFrame) -> DataFrame:
-    """Q19: counts by (vaccine status, target); unknown targets are left out."""
-    return (df.filter(F.col("status_vacinal").isNotNull() & F.col("target_confirmado").isNotNull())
-            .groupBy("status_vacinal", "target_confirmado").agg(F.count(F.lit(1)).alias("total")))
+def vaccine_status_x_target(df: DataFrame, ordered: bool = False) -> DataFrame:
+    """Q19: counts by (vaccine status, target); unknown targets are left out.
+    ``ordered`` sorts by the group keys (O5)."""
+    out = (df.filter(F.col("status_vacinal").isNotNull() & F.col("target_confirmado").isNotNull())
+           .groupBy("status_vacinal", "target_confirmado").agg(F.count(F.lit(1)).alias("total")))
+    return out.orderBy("status_vacinal", "target_confirmado") if ordered else out
 
 
-def rate_by_vaccine_status(df: DataFrame) -> DataFrame:
+def rate_by_vaccine_status(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Q21: per status, known targets, confirmed, rate % rounded to 1 decimal
     (ties to even).  The denominator is the number of known targets."""
     g = (df.filter(F.col("status_vacinal").isNotNull()).groupBy("status_vacinal")
@@ -90,7 +98,8 @@ def rate_by_vaccine_status(df: DataFrame) -> DataFrame:
     rate = F.when(F.col("total") > 0,
                   round_half_even(F.col("confirmados").cast("double") / F.col("total").cast("double")
                                   * F.lit(100.0), 1))
-    return g.select("status_vacinal", "total", "confirmados", rate.alias("taxa"))
+    out = g.select("status_vacinal", "total", "confirmados", rate.alias("taxa"))
+    return out.orderBy("status_vacinal") if ordered else out
 
 
 def test_metrics(df: DataFrame) -> DataFrame:
