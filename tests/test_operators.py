@@ -218,3 +218,9 @@ def test_dashboard_ordered_outputs(spark):
     assert keys == sorted(keys)
     d = [(r.sexo, r.total) for r in dashboard.distribution(f, "sexo", ordered=True).collect()]
     assert d == [("F", 7), ("M", 6)]
+
+
+def test_facet_ordered(spark):
+    from vigia.plans import dashboard
+    f = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("Á",)], "municipio_nome string")
+    assert [r[0] for r in dashboard.facet_municipalities(f, ordered=True).collect()] == sorted(["a", "b", "Á"])

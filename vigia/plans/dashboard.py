@@ -130,9 +130,11 @@ def score_risk(df: DataFrame) -> DataFrame:
         risk_band("probabilidade").alias("faixa_risco"))
 
 
-def facet_municipalities(df: DataFrame) -> DataFrame:
-    """Q29: the municipality choices (distinct, non-null; sort at display)."""
-    return df.select("municipio_nome").filter(F.col("municipio_nome").isNotNull()).distinct()
+def facet_municipalities(df: DataFrame, ordered: bool = False) -> DataFrame:
+    """Q29: the municipality choices (distinct, non-null); ``ordered`` sorts
+    them as the picker shows them (code-point order, O2)."""
+    out = df.select("municipio_nome").filter(F.col("municipio_nome").isNotNull()).distinct()
+    return out.orderBy("municipio_nome") if ordered else out
 
 
 def facet_date_range(df: DataFrame) -> DataFrame:
