@@ -92,6 +92,17 @@ def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def q_audit_notificacao(spark: SparkSession, sf: str) -> DataFrame:
+    """U2 on a curated table: notificacao as loaded on AS_OF versus today's
+    table after the purge of soft-deleted rows (inserts and deletes)."""
+    from vigia.operators.audit import audit_diff
+    t = _tables(spark, sf)
+    old = ind.snapshot_as_of(t, oq.AS_OF)["notificacao"]
+    new = quality.delete_notifications(
+        t, t["notificacao"].filter(F.col("excluido") == F.lit(True)))["notificacao"]
+    return audit_diff(old, new, ["notificacao_id"], "notificacao", with_meta=False)
+
+
 def q_audit_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """Changes of the user table between the cutoff and the end."""
     return cdc.audit_snapshots(read_source(spark, sf, "events"), AUDIT_CUTOFF)
@@ -203,6 +214,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "purge_excluded": q_purge_excluded,
         # change audit (Q30: U2, U3)
         "audit_snapshots": q_audit_snapshots,
+        "audit_notificacao": q_audit_notificacao,
         "audit_events_log": q_audit_events_log,
         "audit_stream_events": q_audit_stream_events,
         # raw-file loader (Q1)

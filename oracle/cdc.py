@@ -1,7 +1,10 @@
-"""DuckDB oracle for the change audit over the events stream (Q30)."""
+"""DuckDB oracle for the change audit (Q30): events stream and curated tables."""
 
 from __future__ import annotations
 
+from .adapter import with_ctes
+from .queries import AS_OF
+
 AUDIT_CUTOFF = "2024-01-15 00:00:00"
 
 
@@ -44,7 +47,29 @@ SELECT 'usuario' AS tabela_afetada, op AS operacao,
        CASE WHEN op <> 'D' THEN img END AS dados_novos
 FROM lg"""
 
+def _n_img(a: str) -> str:
+    cols = ["notificacao_id", "source_id", "data_notificacao", "municipio_notificacao_ibge",
+            "estado_notificacao_ibge", "excluido", "validado"]
+    return "CAST(to_json({" + ", ".join(f"'{c}': {a}.{c}" for c in cols) + "}) AS VARCHAR)"
+
+
+AUDIT_NOTIFICACAO = with_ctes([
+    ("n_old", f"SELECT * FROM notificacao WHERE data_notificacao <= DATE '{AS_OF}'"),
+    ("n_new", "SELECT * FROM notificacao WHERE excluido IS DISTINCT FROM TRUE"),
+], f"""
+SELECT 'notificacao' AS tabela_afetada,
+       CASE WHEN o.notificacao_id IS NULL THEN 'I' WHEN n.notificacao_id IS NULL THEN 'D' ELSE 'U' END AS operacao,
+       CASE WHEN o.notificacao_id IS NOT NULL THEN {_n_img('o')} END AS dados_antigos,
+       CASE WHEN n.notificacao_id IS NOT NULL THEN {_n_img('n')} END AS dados_novos
+FROM n_old o FULL JOIN n_new n ON o.notificacao_id = n.notificacao_id
+WHERE o.notificacao_id IS NULL OR n.notificacao_id IS NULL
+   OR o.source_id IS DISTINCT FROM n.source_id OR o.data_notificacao IS DISTINCT FROM n.data_notificacao
+   OR o.municipio_notificacao_ibge IS DISTINCT FROM n.municipio_notificacao_ibge
+   OR o.estado_notificacao_ibge IS DISTINCT FROM n.estado_notificacao_ibge
+   OR o.excluido IS DISTINCT FROM n.excluido OR o.validado IS DISTINCT FROM n.validado""")
+
 CDC_ORACLE = {
+    "audit_notificacao": AUDIT_NOTIFICACAO,
     "audit_snapshots": AUDIT_SNAPSHOTS,
     "audit_events_log": AUDIT_EVENTS,
     "audit_stream_events": AUDIT_EVENTS,
