@@ -188,3 +188,17 @@ def test_fixture_golden_indicators_1998(spark):
     m0 = [r for r in rows if r.municipio_ibge == 0][0]
     assert (m0.taxa_positividade, m0.tempo_medio_sintomas_teste, m0.perc_prof_saude_infectados,
             m0.media_doses_vacina) == (Decimal("22.81"), Decimal("588.2"), Decimal("37.50"), Decimal("1.18"))
+
+
+def test_no_python_in_any_plan(spark):
+    """Every registered query runs in JVM operators only (no Python UDF,
+    pandas UDF or mapInPandas node in its physical plan)."""
+    import io
+    from contextlib import redirect_stdout
+
+    from tools.plan_report import PY_NODES
+    for name, fn in E.queries().items():
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            fn(spark, SF_SMALL).explain()
+        assert not any(n in buf.getvalue() for n in PY_NODES), name
