@@ -111,3 +111,10 @@ def test_split_keeps_trailing_empty(spark):
     df = spark.createDataFrame([(1, "Febre, Tosse,")], "id int, s string")
     got = [r[0] for r in explode_list(df, "id", "s", ",").select("nome").collect()]
     assert got == ["Febre", "Tosse", ""]
+
+
+def test_in_period_open_ended(spark):
+    vals = [dt.date(2024, 1, 1), dt.date(2024, 6, 1), None]
+    assert col_values(spark, vals, lambda c: dates.in_period(c, "2024-02-01", None), "date") == [False, True, None]
+    assert col_values(spark, vals, lambda c: dates.in_period(c, None, "2024-02-01"), "date") == [True, False, None]
+    assert col_values(spark, vals, lambda c: dates.in_period(c, "2024-01-01", "2024-01-31"), "date") == [True, False, None]

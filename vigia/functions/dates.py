@@ -60,5 +60,11 @@ def days_between(end, start) -> Column:
 
 
 def in_period(c, start, end) -> Column:
-    """Inclusive BETWEEN on dates."""
-    return _c(c).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    """Inclusive BETWEEN on dates; a missing bound leaves that side open."""
+    c = _c(c)
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (c >= F.lit(start).cast("date"))
+    if end is not None:
+        cond = cond & (c <= F.lit(end).cast("date"))
+    return cond

@@ -34,9 +34,11 @@ def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
         n = n.filter(in_period("data_notificacao", inicio, fim))
         if "mes_particao" in n.columns:
             # Same period on the month partition column: Spark prunes folders.
-            n = n.filter(F.col("mes_particao").between(
-                F.date_format(F.lit(inicio).cast("date"), "yyyy-MM"),
-                F.date_format(F.lit(fim).cast("date"), "yyyy-MM")))
+            month = lambda d: F.date_format(F.lit(d).cast("date"), "yyyy-MM")
+            if inicio is not None:
+                n = n.filter(F.col("mes_particao") >= month(inicio))
+            if fim is not None:
+                n = n.filter(F.col("mes_particao") <= month(fim))
     if monthly:
         ini = F.trunc("data_notificacao", "month")
         end = F.last_day("data_notificacao")
