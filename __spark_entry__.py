@@ -8,6 +8,7 @@ top-k report).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -32,6 +33,19 @@ from vigia.plans import views  # noqa: E402
 from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
 from vigia.streaming.audit_stream import run_audit_stream  # noqa: E402
 
+# The text operators are optional: without their folder (and the pipeline that
+# calls them) everything else still works.
+def _there(module: str) -> bool:
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+corpus_pipeline = llm_queries = None
+if _there("vigia.llm"):
+    from vigia.llm import queries as llm_queries  # noqa: E402
+    if _there("corpus_pipeline"):
+        import corpus_pipeline  # noqa: E402
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -167,8 +181,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_regional_indicators_monthly(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.run} if corpus_pipeline is not None else {}
+    return {**llm_queries.queries(), **pipeline}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_llm_queries(),
         # views (Q3-Q5)
         "cases_by_municipality": lambda s, sf: views.cases_by_municipality(_tables(s, sf)),
         "vaccination_by_outcome": lambda s, sf: views.vaccination_by_outcome(_tables(s, sf)),
@@ -237,4 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE, **LOADED_ORACLE}
+    llm = llm_queries.oracle_sql() if llm_queries else {}
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        llm["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm, **oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE, **LOADED_ORACLE}
