@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from . import sentencepiece_bpe
 from .decontaminate import mark_contamination
 
 
@@ -26,8 +27,20 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (found["n_hit"] > 0).alias("contaminated"))
 
 
+def tokenizer_path() -> str:
+    """Where the public 32k SentencePiece model lies (a file of the driver)."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(),
+                                    keep_text=False, digests=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sentencepiece": op3_sentencepiece,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
     }
 
