@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import sentencepiece_bpe
+from . import sentencepiece_bpe, simhash_variants
 from .decontaminate import mark_contamination
 
 
@@ -38,10 +38,17 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     keep_text=False, digests=True)
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_variants.link_components(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                             shingle=3, max_distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_sentencepiece": op3_sentencepiece,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
+        "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
 
