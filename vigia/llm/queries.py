@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import sentencepiece_bpe, simhash_variants
+from . import sentencepiece_bpe, simhash_variants, substring_dedup
 from .decontaminate import mark_contamination
 
 
@@ -38,6 +38,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     keep_text=False, digests=True)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                          window=13, digests=True)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_variants.link_components(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                              shingle=3, max_distance=3)
@@ -47,6 +52,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_sentencepiece": op3_sentencepiece,
+        "op6_substring_dedup": op6_substring_dedup,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
