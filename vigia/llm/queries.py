@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import sentencepiece_bpe, simhash_variants, substring_dedup
+from . import quality_gbt, sentencepiece_bpe, simhash_variants, substring_dedup
 from .decontaminate import mark_contamination
 
 
@@ -27,6 +27,13 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         (found["n_hit"] > 0).alias("contaminated"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    forest = quality_gbt.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return (quality_gbt.score(docs, forest, keep_text=False)
+            .select("doc_id", quality_gbt.held_out().alias("held_out"), "score", "predicted"))
+
+
 def tokenizer_path() -> str:
     """Where the public 32k SentencePiece model lies (a file of the driver)."""
     import public_tokenizers
@@ -51,6 +58,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
         "op3_sentencepiece": op3_sentencepiece,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
