@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import quality_gbt, sentencepiece_bpe, simhash_variants, substring_dedup
+from . import quality_gbt, quality_rules, sentencepiece_bpe, simhash_variants, sql, substring_dedup
 from .decontaminate import mark_contamination
 
 
@@ -45,6 +45,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     keep_text=False, digests=True)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (quality_rules.judge(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+            .drop("char_distance", "word_distance"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                           window=13, digests=True)
@@ -60,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
         "op3_sentencepiece": op3_sentencepiece,
+        "op5_quality_rules": op5_quality_rules,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
@@ -67,4 +73,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_quality_rules": sql.quality_rules_sql(),
+        "op6_substring_dedup": sql.SUBSTRING_DEDUP,
+        "op8_benchmark_decontamination": sql.DECONTAMINATION,
+    }
