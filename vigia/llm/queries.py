@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import quality_gbt, quality_rules, sentencepiece_bpe, simhash_variants, sql, substring_dedup
+from . import quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup
 from .decontaminate import mark_contamination
 
 
@@ -55,6 +55,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           window=13, digests=True)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_battery.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"), digests=True, keep_text=False)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_variants.link_components(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                              shingle=3, max_distance=3)
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sentencepiece": op3_sentencepiece,
         "op5_quality_rules": op5_quality_rules,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_secret_scan": op7_secret_scan,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
