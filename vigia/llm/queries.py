@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup
+from . import quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
 from .decontaminate import mark_contamination
 
 
@@ -59,6 +59,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_battery.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"), digests=True, keep_text=False)
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"), least=400, digests=True)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_variants.link_components(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                                              shingle=3, max_distance=3)
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substring_dedup": op6_substring_dedup,
         "op7_secret_scan": op7_secret_scan,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
+        "op9_suffix_array_dedup": op9_suffix_array_dedup,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
     }
 
