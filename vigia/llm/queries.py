@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
+from . import html_templates, quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
 from .decontaminate import mark_contamination
 
 
@@ -45,6 +45,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     keep_text=False, digests=True)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (quality_rules.judge(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
             .drop("char_distance", "word_distance"))
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_html_extraction": op4_html_extraction,
         "op5_quality_rules": op5_quality_rules,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_secret_scan": op7_secret_scan,
