@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import html_templates, quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
+from . import html_templates, pii_surrogates, quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
 from .decontaminate import mark_contamination
 
 
@@ -34,6 +34,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", quality_gbt.held_out().alias("held_out"), "score", "predicted"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii_surrogates.replace_entities(docs).select("doc_id", "text")
+
+
 def tokenizer_path() -> str:
     """Where the public 32k SentencePiece model lies (a file of the driver)."""
     import public_tokenizers
@@ -76,6 +81,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_pii_surrogates": op2_pii_surrogates,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_html_extraction": op4_html_extraction,
         "op5_quality_rules": op5_quality_rules,
