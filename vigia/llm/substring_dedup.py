@@ -134,9 +134,9 @@ def _rows(answer: bool, rows: list[tuple]) -> pa.RecordBatch:
     return record_batch(_PACKED, [[answer] * len(rows), *map(list, columns)])
 
 
-def _by_range(ids: np.ndarray, hashes: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Sorted hashes cut by their top bits."""
-    part = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), dtype=np.int64)
+def _by_range(ids: np.ndarray, hashes: np.ndarray, ranges: int) -> Iterator[tuple]:
+    """Sorted hashes cut into equal hash ranges."""
+    part = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     for a, b in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
         yield _packed(int(part[a]), ids[a:b], hashes[a:b])
@@ -165,13 +165,13 @@ def _smallest(ids: np.ndarray, hashes: np.ndarray):
 
 # -- the operator -------------------------------------------------------------
 
-def _scan(window: int, bits: int, shards: int, flush: int):
+def _scan(window: int, ranges: int, shards: int, flush: int):
     """Batches of (id, text) to packed rows: hashes by range, and at once the
     answers for documents that a smaller one of the same task repeats."""
 
     def emit(held):
         low, kept, more, again = _smallest(*map(np.concatenate, zip(*held, strict=True)))
-        yield _rows(False, list(_by_range(low, kept, bits)))
+        yield _rows(False, list(_by_range(low, kept, ranges)))
         if len(more):
             yield _rows(True, list(_by_shard(more, again, shards)))
 
@@ -275,10 +275,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
     end word), next to ``n_words`` and ``n_removed``.  With ``digests`` only the
     id, the two counts and ``kept_sha256``, the digest of the kept text.
 
-    A hash range and a document shard are each held by one task at a time:
-    there are four of both for each shuffle partition."""
+    A hash range and a document shard are each held by one task at a time.
+    There are two ranges and one shard for each shuffle partition: the answers
+    are a row for each pair of both, so more of them would cost more rows than
+    they save memory."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards, bits = 4 * partitions + 1, (4 * partitions - 1).bit_length()
+    shards, ranges = partitions | 1, 2 * partitions
     known = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     counts = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
     if digests:
@@ -288,7 +290,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
         spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
         docs = docs.drop("n_words", "n_removed", "removed")
         schema = T.StructType([*docs.schema.fields, *counts, T.StructField("removed", spans)])
-    answers = (docs.select(known.alias("id"), F.col(text).alias("text")).mapInArrow(_scan(window, bits, shards, flush), _PACKED)
+    answers = (docs.select(known.alias("id"), F.col(text).alias("text")).mapInArrow(_scan(window, ranges, shards, flush), _PACKED)
                .groupBy("answer", "part").applyInArrow(_judge(shards), _PACKED))
     sharded = docs.withColumn("_id", known).withColumn("_shard", F.pmod("_id", F.lit(shards)).cast("int"))
     return (sharded.groupBy("_shard").cogroup(answers.groupBy("part"))
