@@ -31,7 +31,9 @@ from vigia.plans import flat as flat_plan  # noqa: E402
 from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
 from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
-from vigia.streaming.audit_stream import run_audit_stream  # noqa: E402
+from vigia.session import reliable_checkpoint, scratch_path  # noqa: E402
+from vigia.sources.raw import read_raw, write_raw  # noqa: E402
+from vigia.streaming.audit_stream import run_audit_stream, run_in_batches  # noqa: E402
 
 # The text operators are optional: without their folder (and the pipeline that
 # calls them) everything else still works.
@@ -93,16 +95,26 @@ def q_etl_name_map(spark: SparkSession, sf: str) -> DataFrame:
     return _etl_run(spark, sf)[0]["name_map"]
 
 
+def q_etl_csv_clinicos(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1 from real CSV files: the raw rows, with the documents' whole texts as
+    free text (quotes, commas, line ends, backslashes), written as CSV files
+    and loaded through the reader."""
+    path = scratch_path(spark, "raw-csv")
+    write_raw(raw_notifications(spark, sf, free_text=True), path)
+    return etl.etl_normalise(spark, read_raw(spark, path))["dados_clinicos"]
+
+
 def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
     """Q32: purge soft-deleted notifications with their children (cascade);
-    remaining rows per table."""
+    the rows that are left, by table and notification."""
     from functools import reduce
     t = _tables(spark, sf)
-    ids = t["notificacao"].filter(F.col("excluido") == F.lit(True)).select("notificacao_id")
+    ids = reliable_checkpoint(
+        t["notificacao"].filter(F.col("excluido") == F.lit(True)).select("notificacao_id"), "purge-ids")
     kept = quality.delete_notifications(t, ids)
     names = ["notificacao"] + [c for c in quality.CASCADE_CHILDREN if c in kept]
-    parts = [kept[n].agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(n).alias("tabela"), "linhas")
-             for n in names]
+    parts = [kept[n].groupBy("notificacao_id").agg(F.count(F.lit(1)).alias("linhas"))
+             .select(F.lit(n).alias("tabela"), "notificacao_id", "linhas") for n in names]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -127,6 +139,11 @@ def q_audit_events_log(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.audit_events(read_source(spark, sf, "events"))
 
 
+def q_audit_stream_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """U3 over several deliveries, the stream restarted for each."""
+    return run_in_batches(spark, read_source(spark, sf, "events"))
+
+
 def q_audit_stream_events(spark: SparkSession, sf: str) -> DataFrame:
     """The same log produced by the streaming audit over the event files."""
     return run_audit_stream(spark, sf, glob="events.parquet")
@@ -152,8 +169,10 @@ def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_regional_indicators(spark: SparkSession, sf: str) -> DataFrame:
-    return ind.regional_indicators(_tables(spark, sf), oq.FULL_START, oq.FULL_END,
-                                   with_timestamp=False)
+    """Q2 over one period: from the first to the last notification of the data."""
+    t = _tables(spark, sf)
+    first, last = t["notificacao"].agg(F.min("data_notificacao"), F.max("data_notificacao")).first()
+    return ind.regional_indicators(t, first, last, with_timestamp=False)
 
 
 def q_regional_indicators_monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,7 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "test_agg": lambda s, sf: flat_plan.test_agg(_tables(s, sf)),
         "flat_dataset": _flat,
         "dataset_audit": _on_flat(flat_plan.dataset_audit),
-        "target_balance": _on_flat(flat_plan.target_balance),
+        "target_balance": _on_flat(lambda f: flat_plan.target_balance(f, digits=6)),
         # dashboard
         "headline": _on_flat(dash.headline),
         "filtered_headline": q_filtered_headline,
@@ -225,7 +244,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_test_makers": _on_flat(lambda f: dash.list_item_counts(f, "fabricantes_teste_lista",
                                                                     "fabricante_teste")),
         "dist_test_result": _on_flat(lambda f: dash.distribution(f, "resultado_teste_agregado")),
-        "symptom_correlation": _on_flat(dash.symptom_correlation),
+        "symptom_correlation": _on_flat(lambda f: dash.symptom_correlation(f, digits=6)),
         "risk_score": _on_flat(dash.score_risk),
         "facet_municipalities": _on_flat(dash.facet_municipalities),
         "facet_date_range": _on_flat(dash.facet_date_range),
@@ -239,6 +258,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "audit_notificacao": q_audit_notificacao,
         "audit_events_log": q_audit_events_log,
         "audit_stream_events": q_audit_stream_events,
+        "audit_stream_batches": q_audit_stream_batches,
         # raw-file loader (Q1)
         "etl_name_map": q_etl_name_map,
         "etl_municipio": _etl_table("municipio"),
@@ -251,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "etl_notificacao_sintoma": _etl_table("notificacao_sintoma"),
         "etl_testes": _etl_table("teste_laboratorial"),
         "etl_vacinas": _etl_table("vacina_aplicada"),
+        "etl_csv_clinicos": q_etl_csv_clinicos,
         # analytics over the loader's output (raw -> load -> view / KPI)
         "etl_cases_by_municipality": lambda s, sf: views.cases_by_municipality(_etl(s, sf)),
         "etl_regional_indicators_monthly": lambda s, sf: ind.regional_indicators(

@@ -73,4 +73,5 @@ CDC_ORACLE = {
     "audit_snapshots": AUDIT_SNAPSHOTS,
     "audit_events_log": AUDIT_EVENTS,
     "audit_stream_events": AUDIT_EVENTS,
+    "audit_stream_batches": AUDIT_EVENTS,
 }

@@ -33,13 +33,17 @@ def _slot_aggs() -> str:
 
 
 RAW_CTES = [
-    ("raw_w", f"""SELECT l_orderkey AS k, COUNT(*) FILTER (WHERE l_linenumber <= 4) AS n_tests,
+    ("raw_w", f"""SELECT l_orderkey AS k, r, COUNT(*) FILTER (WHERE l_linenumber <= 4) AS n_tests,
                          {_slot_aggs()}
-                  FROM lineitem WHERE l_linenumber <= 6 GROUP BY l_orderkey"""),
+                  FROM (SELECT *, row_number() OVER (
+                          PARTITION BY l_orderkey, l_linenumber
+                          ORDER BY l_partkey, l_suppkey, l_shipdate, l_returnflag, l_linestatus) AS r
+                        FROM lineitem WHERE l_linenumber <= 6)
+                  GROUP BY l_orderkey, r"""),
     ("raw_s", """SELECT notificacao_id AS k, string_agg(nome, ', ' ORDER BY nome) AS s
                  FROM sintoma_nomes GROUP BY notificacao_id"""),
     ("raw", """
-SELECT row_number() OVER (ORDER BY o.o_orderkey) AS notificacao_id,
+SELECT row_number() OVER (ORDER BY o.o_orderkey, w.r) AS notificacao_id,
   CASE o.o_orderkey % 3 WHEN 0 THEN strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d')
        WHEN 1 THEN strftime(CAST(o.o_orderdate AS DATE), '%d/%m/%Y')
        ELSE strftime(CAST(o.o_orderdate AS DATE), '%Y-%m-%d') || 'T08:30:00.000Z' END AS dataNotificacao,
@@ -76,7 +80,7 @@ SELECT row_number() OVER (ORDER BY o.o_orderkey) AS notificacao_id,
   CAST(NULL AS VARCHAR) AS outroLocalRealizacaoTestagem,
   'notificacao-online' AS origem,
   CASE WHEN o.o_orderkey % 8 = 5 THEN s.s || ',' ELSE s.s END AS sintomas,
-  w.* EXCLUDE (k, n_tests)
+  w.* EXCLUDE (k, r, n_tests)
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN (SELECT *, (CASE n_regionkey WHEN 0 THEN 15 WHEN 1 THEN 13 WHEN 2 THEN 29 WHEN 3 THEN 35
@@ -202,7 +206,7 @@ ETL_BODIES = {
                {clean_boolean('excluido')} AS excluido, {clean_boolean('validado')} AS validado
         FROM acc""",
     "etl_demograficos": f"""
-        SELECT notificacao_id, CAST(round_even({to_double('idade')}, 0) AS SMALLINT) AS idade,
+        SELECT notificacao_id, CAST(round({to_double('idade')}) AS SMALLINT) AS idade,
                sexo, racaCor AS raca_cor, profissionalSaude AS is_profissional_saude,
                profissionalSeguranca AS is_profissional_seguranca, cbo,
                CASE {clean_code('codigoContemComunidadeTradicional')} WHEN '2' THEN TRUE WHEN '1' THEN FALSE END
@@ -213,7 +217,7 @@ ETL_BODIES = {
                dataEncerramento AS data_encerramento, classificacaoFinal AS classificacao_final,
                evolucaoCaso AS evolucao_caso, outrosSintomas AS outros_sintomas,
                outrasCondicoes AS outras_condicoes,
-               CAST(round_even({to_double('totalTestesRealizados')}, 0) AS INTEGER) AS total_testes_realizados
+               CAST(round({to_double('totalTestesRealizados')}) AS INTEGER) AS total_testes_realizados
         FROM acc""",
     "etl_gestao": f"""
         SELECT notificacao_id,
@@ -239,6 +243,13 @@ ETL_BODIES = {
 
 ETL_ORACLE = {k: q(v) for k, v in ETL_BODIES.items()}
 
+# The same load from CSV files whose free text is the documents' whole text.
+_TEXT_CTES = [(name, body.replace(
+    "CAST(NULL AS VARCHAR) AS outrosSintomas",
+    "(SELECT '\"' || x.text || '\", \\' FROM documents x WHERE x.doc_id = o.o_orderkey) AS outrosSintomas"))
+    for name, body in ETL_CTES]
+ETL_ORACLE["etl_csv_clinicos"] = with_ctes(_TEXT_CTES, ETL_BODIES["etl_clinicos"])
+
 
 def _estado_values() -> str:
     from vigia.functions.geo import UFS

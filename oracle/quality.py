@@ -1,19 +1,50 @@
 """DuckDB oracle for the constraint checks (Q31) and the cascade purge (Q32).
 
-The declared constraints themselves (lengths, keys, references) are the
-model's DDL and are taken from the same table; the counting is plain SQL."""
+The constraints are written out here from the model's schema, apart from the
+engine's own lists: a constraint that the engine misses shows as a difference."""
 
 from __future__ import annotations
 
-from vigia.operators.quality import (CASCADE_CHILDREN, FOREIGN_KEYS, PRIMARY_KEYS, SMALLINT_COLUMNS,
-                                     SMALLINT_RANGE, UNIQUE_KEYS, VARCHAR_LIMITS)
-
 from .adapter import with_ctes
 
 TABLES = ["estado", "municipio", "notificacao", "dados_demograficos", "dados_clinicos",
           "dados_epidemiologicos", "dados_gestao_estrategia", "sintoma", "notificacao_sintoma",
           "teste_laboratorial", "vacina_aplicada"]
 
+# The declared schema.  Of each table its primary key (pk), unique
+# column (uq), lengths (column length), small integers (column small) and
+# references (column > table.column).
+SCHEMA = """
+estado: pk estado_ibge; nome 100; sigla 2
+municipio: pk municipio_ibge; nome 150; estado_ibge > estado.estado_ibge
+notificacao: pk notificacao_id; source_id 100; municipio_notificacao_ibge > municipio.municipio_ibge; estado_notificacao_ibge > estado.estado_ibge
+dados_demograficos: pk notificacao_id; notificacao_id > notificacao.notificacao_id; idade small; sexo 20; raca_cor 50; is_profissional_saude 20; is_profissional_seguranca 20; cbo 200
+dados_clinicos: pk notificacao_id; notificacao_id > notificacao.notificacao_id; classificacao_final 150; evolucao_caso 150
+dados_epidemiologicos: pk notificacao_id; notificacao_id > notificacao.notificacao_id; origem_dados 100; municipio_residencia_ibge > municipio.municipio_ibge; estado_residencia_ibge > estado.estado_ibge
+dados_gestao_estrategia: pk notificacao_id; notificacao_id > notificacao.notificacao_id; codigo_estrategia_covid 100; codigo_busca_ativa_assintomatico 100; outro_busca_ativa_assintomatico 255; codigo_triagem_populacao_especifica 100; outro_triagem_populacao_especifica 255; codigo_local_realizacao_testagem 100; outro_local_realizacao_testagem 255
+sintoma: pk sintoma_id; uq nome; nome 200
+notificacao_sintoma: pk notificacao_id,sintoma_id; notificacao_id > notificacao.notificacao_id; sintoma_id > sintoma.sintoma_id
+teste_laboratorial: notificacao_id > notificacao.notificacao_id; numero_sequencial small; tipo_teste 150; fabricante_teste 255; resultado_teste 150; estado_teste 100
+vacina_aplicada: notificacao_id > notificacao.notificacao_id; dose_numero small; laboratorio 200; lote 100
+"""
+CHILDREN = ["dados_demograficos", "dados_clinicos", "dados_epidemiologicos", "dados_gestao_estrategia",
+            "notificacao_sintoma", "teste_laboratorial", "vacina_aplicada"]
+
+
+def declared():
+    """(table, kind, columns or column, value) of every declared constraint."""
+    for line in SCHEMA.strip().splitlines():
+        table, rules = line.split(": ")
+        for rule in rules.split("; "):
+            words = rule.split(" ")
+            if words[0] in ("pk", "uq"):
+                yield table, words[0], words[1].split(","), None
+            elif words[1] == ">":
+                yield table, "fk", words[0], words[2].split(".")
+            else:
+                yield table, "small" if words[1] == "small" else "length", words[0], words[1]
+
+
 EXTRA = [
     ("dados_epidemiologicos", """
         SELECT o.o_orderkey AS notificacao_id, 'notificacao-online' AS origem_dados,
@@ -34,41 +65,34 @@ EXTRA = [
 
 
 def _report() -> str:
-    parts = []
-    for t, keys in PRIMARY_KEYS.items():
-        k = ", ".join(keys)
-        parts.append(f"SELECT 'chave_primaria' AS verificacao, '{t}' AS tabela, '{','.join(keys)}' AS colunas, "
-                     f"(SELECT COUNT(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING COUNT(*) > 1)) AS violacoes")
-    for t, keys in UNIQUE_KEYS.items():
-        k = ", ".join(keys)
-        nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
-        parts.append(f"SELECT 'unico', '{t}', '{','.join(keys)}', (SELECT COUNT(*) FROM (SELECT {k} FROM {t} "
-                     f"WHERE {nn} GROUP BY {k} HAVING COUNT(*) > 1))")
-    for child, fk, parent, pk in FOREIGN_KEYS:
-        on = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(fk, pk))
-        nn = " AND ".join(f"c.{a} IS NOT NULL" for a in fk)
-        parts.append(f"SELECT 'chave_estrangeira', '{child}', '{','.join(fk)}', (SELECT COUNT(*) FROM {child} c "
-                     f"WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {on}))")
-    lo, hi = SMALLINT_RANGE
-    for t in TABLES:
-        for c, n in VARCHAR_LIMITS.get(t, {}).items():
-            parts.append(f"SELECT 'tamanho', '{t}', '{c}', (SELECT COUNT(*) FROM {t} WHERE length({c}) > {n})")
-        for c in SMALLINT_COLUMNS.get(t, []):
-            parts.append(f"SELECT 'faixa_smallint', '{t}', '{c}', "
-                         f"(SELECT COUNT(*) FROM {t} WHERE {c} < {lo} OR {c} > {hi})")
-        for c in PRIMARY_KEYS.get(t, []):
-            parts.append(f"SELECT 'nao_nulo', '{t}', '{c}', (SELECT COUNT(*) FROM {t} WHERE {c} IS NULL)")
-    return "\nUNION ALL\n".join(parts)
+    rows = []
+
+    def check(name: str, table: str, columns: str, count: str) -> None:
+        rows.append(f"SELECT '{name}' AS verificacao, '{table}' AS tabela, '{columns}' AS colunas, ({count}) AS violacoes")
+
+    for table, kind, column, value in declared():
+        if kind in ("pk", "uq"):
+            keys = ", ".join(column)
+            some = " AND ".join(f"{c} IS NOT NULL" for c in column) if kind == "uq" else "TRUE"
+            check("chave_primaria" if kind == "pk" else "unico", table, ",".join(column),
+                  f"SELECT COUNT(*) FROM (SELECT {keys} FROM {table} WHERE {some} GROUP BY {keys} HAVING COUNT(*) > 1)")
+            for c in column if kind == "pk" else []:
+                check("nao_nulo", table, c, f"SELECT COUNT(*) FROM {table} WHERE {c} IS NULL")
+        elif kind == "fk":
+            check("chave_estrangeira", table, column,
+                  f"SELECT COUNT(*) FROM {table} ANTI JOIN (SELECT {value[1]} AS x FROM {value[0]}) ON {column} = x "
+                  f"WHERE {column} IS NOT NULL")
+        elif kind == "length":
+            check("tamanho", table, column, f"SELECT COUNT(*) FROM {table} WHERE length({column}) > {value}")
+        else:
+            check("faixa_smallint", table, column, f"SELECT COUNT(*) FROM {table} WHERE {column} NOT BETWEEN -32768 AND 32767")
+    return "\nUNION ALL\n".join(rows)
 
 
 def _purge() -> str:
-    parts = ["SELECT 'notificacao' AS tabela, COUNT(*) AS linhas FROM notificacao "
-             "WHERE notificacao_id NOT IN (SELECT notificacao_id FROM purge_ids)"]
-    for t in CASCADE_CHILDREN:
-        if t in TABLES:
-            parts.append(f"SELECT '{t}', COUNT(*) FROM {t} "
-                         f"WHERE notificacao_id NOT IN (SELECT notificacao_id FROM purge_ids)")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tabela, notificacao_id, COUNT(*) AS linhas FROM {t} "
+        f"WHERE notificacao_id NOT IN (SELECT notificacao_id FROM purge_ids) GROUP BY ALL" for t in ["notificacao", *CHILDREN])
 
 
 QUALITY_ORACLE = {

@@ -26,7 +26,7 @@ def test_count_where_skips_null(spark):
 def test_corr_matrix_pairwise_and_constant(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 3.0, 5.0), (3.0, 7.0, 5.0), (None, 9.0, 5.0)],
                                "x double, y double, c double")
-    m = {(r.var1, r.var2): r.r for r in aggregates.corr_matrix(df, {"x": "x", "y": "y", "c": "c"}).collect()}
+    m = {(r.var1, r.var2): r.r for r in aggregates.corr_matrix(df, {"x": "x", "y": "y", "c": "c"}, digits=6).collect()}
     assert m[("x", "y")] == m[("y", "x")] == 0.944911
     assert m[("x", "c")] is None and m[("c", "c")] is None
     assert m[("x", "x")] == 1.0

@@ -89,17 +89,24 @@ def to_double(c) -> Column:
 
 
 def as_smallint(c) -> Column:
-    """Numeric text assigned to a SMALLINT column: round half to even, then narrow.
+    """Numeric text assigned to a SMALLINT column: round half away from zero,
+    then narrow, as a numeric value is assigned; unparsable text is null.
 
-    A float column is assigned by rint (half to even); unparsable text is null.
-    """
+    A number beyond the column's range is null here; ``out_of_range`` tells
+    such rows before the cast."""
     d = to_double(c)
-    return F.bround(d, 0).try_cast("smallint")
+    return F.round(d, 0).try_cast("smallint")
+
+
+def out_of_range(c, low: int, high: int) -> Column:
+    """True for a numeric text whose rounded value does not fit the column."""
+    d = F.round(to_double(c), 0)
+    return F.coalesce((d < low) | (d > high), F.lit(False))
 
 
 def as_int(c) -> Column:
     d = to_double(c)
-    return F.bround(d, 0).try_cast("int")
+    return F.round(d, 0).try_cast("int")
 
 
 def regex_literal(sep: str) -> str:

@@ -30,7 +30,9 @@ def parse_date(c) -> Column:
     return F.coalesce(
         F.when(s.rlike(_ISO_DATE_SHAPE), F.try_to_date(s, ISO_DATE)),
         F.when(s.rlike(_DAY_FIRST_SHAPE), F.try_to_date(s, DAY_FIRST)),
-        F.when(s.rlike(_ISO_DATETIME_PREFIX), F.to_date(F.try_to_timestamp(s))),
+        # The date as written, whatever the session's time zone makes of the time.
+        F.when(s.rlike(_ISO_DATETIME_PREFIX) & F.try_to_timestamp(s).isNotNull(),
+               F.try_to_date(F.substring(s, 1, 10), ISO_DATE)),
     )
 
 

@@ -60,7 +60,7 @@ def top_k(df: DataFrame, c: str, k: int, name: str = "n") -> DataFrame:
     return order_counts(value_counts(df, c, name), c, name).limit(k)
 
 
-def shares(df: DataFrame, c: str, name: str = "share", digits: int | None = 6) -> DataFrame:
+def shares(df: DataFrame, c: str, name: str = "share", digits: int | None = None) -> DataFrame:
     """value_counts(normalize=True).  The total is a scalar subquery,
     computed once by its own distributed job, not a window or a cross join."""
     total = df.filter(F.col(c).isNotNull()).select(F.count(F.lit(1))).scalar()
@@ -81,7 +81,7 @@ def pairwise_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xb, yb), F.stddev_pop(xb) * F.stddev_pop(yb))
 
 
-def corr_matrix(df: DataFrame, cols: dict[str, str], digits: int = 6) -> DataFrame:
+def corr_matrix(df: DataFrame, cols: dict[str, str], digits: int | None = None) -> DataFrame:
     """Long-form correlation matrix (var1, var2, r), one aggregation pass.
 
     ``cols`` maps output names to column names.  The aggregation computes the
@@ -90,7 +90,7 @@ def corr_matrix(df: DataFrame, cols: dict[str, str], digits: int = 6) -> DataFra
     aggs = []
     for i, j in combinations_with_replacement(range(len(names)), 2):
         r = pairwise_corr(F.col(cols[names[i]]).cast("double"), F.col(cols[names[j]]).cast("double"))
-        aggs.append(F.round(r, digits).alias(f"r_{i}_{j}"))
+        aggs.append((r if digits is None else F.round(r, digits)).alias(f"r_{i}_{j}"))
     wide = df.agg(*aggs)
     rows = []
     for i in range(len(names)):

@@ -34,21 +34,25 @@ def audit_diff(old: DataFrame, new: DataFrame, keys: list[str], table: str,
                with_meta: bool = True) -> DataFrame:
     """I/U/D log rows with JSON images (nulls kept) between two versions.
 
-    Both versions are shuffled on the key once; the key is unique per version,
-    so no key is hot on either side."""
-    cols = old.columns
-    others = [c for c in cols if c not in keys]
-    o = old.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_old"), F.lit(True).alias("_in_old"))
-    n = new.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_new"), F.lit(True).alias("_in_new"))
+    Each image has the columns of its own version, so added and dropped columns
+    are seen and logged.  Both versions are shuffled on the key once; the key
+    is unique per version, so no key is hot on either side."""
+    o = old.select(*keys, F.struct(*[F.col(c) for c in old.columns]).alias("_old"), F.lit(True).alias("_in_old"))
+    n = new.select(*keys, F.struct(*[F.col(c) for c in new.columns]).alias("_new"), F.lit(True).alias("_in_new"))
     j = o.join(n, keys, "full")
     changed: Column = F.lit(False)
-    for c in others:
-        changed = changed | ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
+    for c in dict.fromkeys([*old.columns, *new.columns]):
+        if c in keys:
+            continue
+        # A column that one version lacks counts as null there.
+        before = F.col(f"_old.{c}") if c in old.columns else F.lit(None)
+        after = F.col(f"_new.{c}") if c in new.columns else F.lit(None)
+        changed = changed | ~before.eqNullSafe(after)
     op = (F.when(F.col("_in_old").isNull(), F.lit("I"))
            .when(F.col("_in_new").isNull(), F.lit("D"))
            .when(changed, F.lit("U")))
-    old_json = row_json(*[F.col(f"_old.{c}").alias(c) for c in cols])
-    new_json = row_json(*[F.col(f"_new.{c}").alias(c) for c in cols])
+    old_json = row_json(*[F.col(f"_old.{c}").alias(c) for c in old.columns])
+    new_json = row_json(*[F.col(f"_new.{c}").alias(c) for c in new.columns])
     out = (j.select(op.alias("operacao"), old_json.alias("_oj"), new_json.alias("_nj"))
             .filter(F.col("operacao").isNotNull())
             .select(F.lit(table).alias("tabela_afetada"), "operacao",

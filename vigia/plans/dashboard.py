@@ -117,9 +117,9 @@ def list_item_counts(df: DataFrame, c: str, out: str, k: int = 10, sep: str = LI
     return top_k(items, out, k, "total")
 
 
-def symptom_correlation(df: DataFrame) -> DataFrame:
+def symptom_correlation(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Q27: Pearson matrix of the three symptom flags and the target (long form)."""
-    return corr_matrix(df, CORR_COLUMNS)
+    return corr_matrix(df, CORR_COLUMNS, digits)
 
 
 def score_risk(df: DataFrame) -> DataFrame:

@@ -131,6 +131,6 @@ def dataset_audit(flat: DataFrame) -> DataFrame:
         F.count_distinct("municipio_nome").alias("municipios"))
 
 
-def target_balance(flat: DataFrame) -> DataFrame:
+def target_balance(flat: DataFrame, digits: int | None = None) -> DataFrame:
     """Q10 (part 6): share of each target value among known targets."""
-    return shares(flat, "target_confirmado", "proporcao")
+    return shares(flat, "target_confirmado", "proporcao", digits)

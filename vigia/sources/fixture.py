@@ -12,6 +12,7 @@ tables, so the queries built on them do real work at every scale.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 # --- fixed values: mapping rules of the test-data adapter ---------------------
@@ -193,9 +194,14 @@ UNKNOWN_PLACE = "Desconhecido"
 # ------------------------------------------------------------------------------
 
 
-def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_notifications(spark: SparkSession, sf_dir: str, free_text: bool = False) -> DataFrame:
     """The notification table as a raw file would carry it: one wide row of
-    57 text fields per order, in order-key order (the "file order").
+    57 text fields per order, in order-key order (the "file order").  An order
+    that has a line number more than once takes as many rows as that number
+    occurs, so that every line item keeps its own slot in some row.
+
+    ``free_text`` fills the free-text symptoms field: the text of the document
+    whose id is the order key, between quotes, with a backslash at its end.
 
     Values are written the way real exports mix them, by fixed rules on the
     order key: three date layouts, codes as '1.0' floats, blank municipality
@@ -226,7 +232,12 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
         aggs += [F.max(F.when(ln == i, v)).alias(p.format(i=i)) for p, v in slot_values.items()]
     for line, d in zip(DOSE_LINES, ("PrimeiraDose", "SegundaDose")):
         aggs += [F.max(F.when(ln == line, v)).alias(p.format(d=d)) for p, v in dose_values.items()]
-    wide = (lineitem.filter(ln <= max(DOSE_LINES)).groupBy(F.col("l_orderkey").alias("_k")).agg(*aggs))
+    # Line numbers repeat within some orders: the r-th item of a number goes to
+    # the order's r-th row (items of an order are few, so the window is small).
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus")
+    numbered = lineitem.filter(ln <= max(DOSE_LINES)).withColumn("_r", F.row_number().over(same_line))
+    wide = numbered.groupBy(F.col("l_orderkey").alias("_k"), "_r").agg(*aggs)
 
     words = (lineitem.filter(ln == SYMPTOM_LINE)
              .join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
@@ -240,6 +251,12 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(wide, F.col("o_orderkey") == F.col("_k"), "left").drop("_k")
             .join(symptoms, F.col("o_orderkey") == F.col("_k"), "left"))
 
+    if free_text:
+        documents = read_source(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("_text"))
+        base = base.join(documents, F.col("o_orderkey") == F.col("doc_id"), "left").drop("doc_id")
+    else:
+        base = base.withColumn("_text", F.lit(None).cast("string"))
+
     key = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     iso = F.date_format(d, "yyyy-MM-dd")
@@ -279,7 +296,7 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
                                .when((st == "P") & (key % 2 == 0), F.lit(PENDING_EVEN_CLASSIFICATION)),
         "evolucaoCaso": _map(key % 7, OUTCOME_BY_KEY_MOD7),
         "totalTestesRealizados": F.when(F.col("_n_tests") > 0, F.col("_n_tests").cast("string")),
-        "outrosSintomas": null,
+        "outrosSintomas": F.concat(F.lit('"'), F.col("_text"), F.lit('", \\')),
         "outrasCondicoes": null,
         "codigoEstrategiaCovid": F.concat(F.substring("o_orderpriority", 1, 1), F.lit(".0")),
         "codigoBuscaAtivaAssintomatico": F.when(key % 2 == 0, F.lit("2")),
@@ -293,4 +310,4 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     from .raw import RAW_COLUMNS
     cols = [fields[c].cast("string").alias(c) if c in fields else F.col(c) for c in RAW_COLUMNS]
-    return base.orderBy("o_orderkey").select(*cols)
+    return base.orderBy("o_orderkey", "_r").select(*cols)

@@ -50,8 +50,18 @@ def string_schema(columns) -> T.StructType:
 SOURCE_COLUMNS = ["_src_file", "_src_block"]
 
 
+#: How raw files quote: a quote inside a field is doubled, a backslash is an
+#: ordinary character.
+QUOTING = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
+MALFORMED = "_malformed"
+
+
+def _header(spark: SparkSession, path: str, sep: str, multiline: bool) -> list[str]:
+    return spark.read.options(header=True, sep=sep, multiLine=multiline, inferSchema=False, **QUOTING).csv(path).columns
+
+
 def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
-             multiline: bool = True, with_source: bool = True) -> DataFrame:
+             multiline: bool = True, with_source: bool = True, malformed: str = "fail") -> DataFrame:
     """S1 + S2: header CSV, every column a string, NA tokens -> null.
 
     With ``multiLine`` a quoted newline stays inside its record, but a file is
@@ -60,18 +70,43 @@ def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
     the 57 consumed ones) are selected after the read, missing ones as null.
     ``with_source`` keeps each row's file path and split start (from the
     ``_metadata`` column) so rows can be numbered in (file, line) order.
+
+    A record with too few or too many fields is malformed: by default
+    (``fail``) reading it raises an error that shows it; ``keep`` leaves its
+    text in the column ``_malformed`` (null for good records), to be counted
+    and put aside by the caller.
     """
-    df = (spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
-          .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).option("inferSchema", False)
-          .csv(path))
+    if malformed not in ("fail", "keep"):
+        raise ValueError("malformed is 'fail' or 'keep'")
+    present = _header(spark, path, sep, multiline)
+    schema = string_schema([*present, MALFORMED])
+    df = (spark.read.schema(schema).options(
+        header=True, sep=sep, multiLine=multiline, mode="PERMISSIVE", enforceSchema=True,
+        columnNameOfCorruptRecord=MALFORMED, **QUOTING).csv(path))
     cols = columns or RAW_COLUMNS
-    present = set(df.columns)
     src = ([F.col("_metadata.file_path").alias("_src_file"),
             F.col("_metadata.file_block_start").alias("_src_block")] if with_source else [])
-    df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in present
-                     else F.lit(None).cast("string").alias(c) for c in cols], *src)
-    return nullify_tokens(df)
+    df = df.select(*[F.col(f"`{c}`") if c in present else F.lit(None).cast("string").alias(c) for c in cols],
+                   F.col(MALFORMED), *([F.col(f"`{present[0]}`").alias("_first")] if malformed == "fail" else []), *src)
+    if malformed == "fail":
+        # The error names the record; it needs another column than the corrupt one.
+        bad = F.raise_error(F.concat(F.lit("malformed CSV record: "), F.coalesce("_first", F.lit("")), F.lit(" ... "),
+                                     F.substring(MALFORMED, 1, 200))).cast("boolean")
+        df = df.filter(F.when(F.col(MALFORMED).isNull(), F.lit(True)).otherwise(bad)).drop(MALFORMED, "_first")
+        return nullify_tokens(df)
+    return nullify_tokens(df.withColumnRenamed(MALFORMED, "_kept")).withColumnRenamed("_kept", MALFORMED)
+
+
+def count_malformed(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> int:
+    """Records of the files that have too few or too many fields."""
+    df = read_raw(spark, path, sep=sep, multiline=multiline, malformed="keep")
+    return df.select(F.count_if(F.col(MALFORMED).isNotNull()).alias("n"), F.count("dataNotificacao")).first()["n"]
+
+
+def write_raw(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Raw rows as CSV files that ``read_raw`` and any RFC 4180 reader take."""
+    df.write.mode("overwrite").options(header=True, sep=sep, ignoreLeadingWhiteSpace=False,
+                                       ignoreTrailingWhiteSpace=False, **QUOTING).csv(path)
 
 
 def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int = 1,
@@ -114,18 +149,18 @@ def with_file_order_id(df: DataFrame, name: str = "notificacao_id", start: int =
                       .cast("bigint").alias(name))
 
 
-def read_flat(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_flat(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
     """The ';'-separated feature-table CSV (a UTF-8 BOM header is stripped)."""
-    r = spark.read.option("header", True).option("sep", ";").option("encoding", "UTF-8")
+    r = spark.read.options(header=True, sep=";", multiLine=multiline, **QUOTING)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path)
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";") -> None:
-    """S7: ';'-separated CSV with header, nulls as empty fields.
+    """S7: ';'-separated CSV with header, nulls as empty fields, quotes doubled.
 
     Written as a folder of part files in parallel (no single-file funnel);
     Spark writes no byte-order mark."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
-     .option("nullValue", "").option("emptyValue", "").csv(path))
+    df.write.mode("overwrite").options(header=True, sep=sep, nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False,
+                                       ignoreTrailingWhiteSpace=False, **QUOTING).csv(path)

@@ -21,6 +21,7 @@ from ..operators.sequence import previous_by_key
 from ..plans import cdc
 from ..session import checkpoint_dir
 
+
 def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
     """Log rows of one micro-batch and the key state after it."""
     ev = batch.select(cdc.KEY, *cdc.ORDER, cdc.event_op().alias("_op"),
@@ -47,35 +48,40 @@ def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
     return log, untouched.unionByName(updated)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def audit_stream(spark: SparkSession, source_dir: str, log_path: str, state_path: str | None = None,
-                 checkpoint: str | None = None, max_files_per_trigger: int = 1,
+                 checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                  glob: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Start the audit stream over the event files in ``source_dir``.
 
     ``available_now`` processes what is there and stops (batch-like runs and
     tests); otherwise it keeps polling.  Returns the StreamingQuery."""
-    base = f"{checkpoint_dir(spark)}/streams/audit-{uuid.uuid4().hex[:8]}"
-    state_path = state_path or f"{base}/state"
-    checkpoint = checkpoint or f"{base}/checkpoint"
+    checkpoint = checkpoint or f"{checkpoint_dir(spark)}/streams/audit-{uuid.uuid4().hex[:8]}/checkpoint"
+    # The key state belongs to the stream: a restart from the same checkpoint
+    # finds it again.
+    state_path = state_path or f"{checkpoint.rstrip('/')}-state"
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     schema = reader.parquet(source_dir).schema
-    sr = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    sr = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        sr = sr.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         sr = sr.option("pathGlobFilter", glob)
     stream = sr.parquet(source_dir)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        state = None
-        if batch_id > 0:
-            try:
-                state = spark.read.parquet(f"{state_path}/v={batch_id - 1}")
-            except Exception:  # noqa: BLE001 - first batch after a fresh state folder
-                state = None
+        # A missing or unreadable state fails the batch: old images would be lost.
+        state = spark.read.parquet(f"{state_path}/v={batch_id - 1}") if batch_id > 0 else None
         log, new_state = _batch_log(spark, batch, state)
         log.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
         new_state.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
+        _remove(spark, f"{state_path}/v={batch_id - 2}")  # a replay needs the last version only
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -90,8 +96,28 @@ def read_log(spark: SparkSession, log_path: str, with_meta: bool = False) -> Dat
     return df.select(*cols)
 
 
+def run_in_batches(spark: SparkSession, events: DataFrame, batches: int = 4) -> DataFrame:
+    """The log of a stream that is stopped and started again: the events arrive
+    in ``batches`` equal spans of time, each delivered (as any number of files)
+    and processed before the next, from one checkpoint."""
+    base = f"{checkpoint_dir(spark)}/streams/feed-{uuid.uuid4().hex[:8]}"
+    at, kind = cdc.ORDER[0], events.schema[cdc.ORDER[0]].dataType
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    bounds = [low + (high - low) * k / batches for k in range(1, batches)] if low is not None else []
+    for after, until in zip([None, *bounds], [*bounds, None]):
+        part = events
+        if after is not None:
+            part = part.filter(F.col(at) > F.lit(str(after)).cast(kind))
+        if until is not None:
+            part = part.filter(F.col(at) <= F.lit(str(until)).cast(kind))
+        part.write.mode("append").parquet(f"{base}/events")
+        audit_stream(spark, f"{base}/events", f"{base}/log", checkpoint=f"{base}/checkpoint",
+                     max_files_per_trigger=None).awaitTermination()
+    return read_log(spark, f"{base}/log")
+
+
 def run_audit_stream(spark: SparkSession, source_dir: str, glob: str | None = None,
-                     max_files_per_trigger: int = 1) -> DataFrame:
+                     max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream to completion (available-now) and return its log."""
     log_path = f"{checkpoint_dir(spark)}/streams/log-{uuid.uuid4().hex[:8]}"
     q = audit_stream(spark, source_dir, log_path, glob=glob, max_files_per_trigger=max_files_per_trigger)
