@@ -34,7 +34,7 @@ def test_corr_matrix_pairwise_and_constant(spark):
 
 def test_first_by_keeps_first_in_order(spark):
     df = spark.createDataFrame([("A", 20, 2), ("A", 10, 1), ("B", 30, 5)], "nome string, code int, row int")
-    got = {r.nome: r.code for r in keys.first_by(df, ["nome"], ["row"], ["code"]).collect()}
+    got = {r.nome: r.code for r in keys.first_by(df, ["nome"], "row", ["code"]).collect()}
     assert got == {"A": 10, "B": 30}
 
 

@@ -123,3 +123,62 @@ def test_sql_users_query_views_and_kpi_table(spark):
     again = indicators.calcular_indicadores(spark, t, "1995-02-01", "1995-02-28",
                                             both.inputFiles()[0].rsplit("/", 1)[0])
     assert again.count() == both.count() == jan.count() + both.filter("periodo_inicio = '1995-02-01'").count()
+
+
+def test_month_folders_prune_every_table_and_files_are_bounded(spark, tmpdir_path):
+    """A one-month KPI reads one month's folders of all five tables; months
+    have one file each, buckets one file each."""
+    import glob
+    import io
+    import os
+    from contextlib import redirect_stdout
+
+    import __spark_entry__ as E
+    from vigia.plans import indicators
+    from vigia.sources import catalog
+    t = E._tables(spark, "/root/testdata/sf0.001")
+    base = f"{tmpdir_path}/m"
+    catalog.write_tables({n: t[n].repartition(7) for n in ("notificacao", *catalog.MONTHLY_CHILDREN)}, base)
+    names = ["notificacao", *catalog.MONTHLY_CHILDREN]
+    for n in names:
+        for month in glob.glob(f"{base}/{n}/mes_particao=*"):
+            assert len(glob.glob(f"{month}/*.parquet")) == 1
+    back = catalog.read_tables(spark, base, names)
+    buf = io.StringIO()
+    got = indicators.regional_indicators(back, "1996-03-01", "1996-03-31", with_timestamp=False)
+    with redirect_stdout(buf):
+        got.explain()
+    assert "PartitionFilters: []" not in buf.getvalue()
+    want = indicators.regional_indicators(t, "1996-03-01", "1996-03-31", with_timestamp=False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    buckets = f"{tmpdir_path}/b"
+    catalog.save_bucketed({"notificacao": t["notificacao"].repartition(9)}, "vigia_files", 4, base=buckets)
+    assert len([f for f in os.listdir(f"{buckets}/notificacao") if f.endswith(".parquet")]) <= 4
+
+
+def test_recovery_map_of_a_hot_name(spark):
+    """A name on a third of the rows: the first code wins, no row of the wide
+    table is sorted or shuffled by name."""
+    import io
+    from contextlib import redirect_stdout
+
+    from pyspark.sql import functions as F
+
+    from vigia.operators.joins import name_code_map, recover_code
+    raw = spark.range(3000).select(
+        F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("n"), F.col("id") % 50)).alias("nome"),
+        F.when(F.col("id") % 7 != 0, (F.lit(1500000) + F.col("id")).cast("string")).alias("code"))
+    names = name_code_map(raw, "nome", "code", "row")
+    got = {r.nome: r.codigo for r in names.collect()}
+    assert got["HOT"] == 1500003 and len(got) == 51
+    from vigia.session import reliable_checkpoint
+    done = recover_code(raw, "code", "nome", reliable_checkpoint(names))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        done.explain()
+    assert "BroadcastHashJoin" in buf.getvalue() and "Exchange hashpartitioning" not in buf.getvalue()
+    assert done.filter("code is null").count() == 0
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        names.explain()
+    assert "SortAggregate" not in buf.getvalue()

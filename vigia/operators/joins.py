@@ -1,11 +1,10 @@
 """Lookup joins of the loader: name -> code recovery maps (J4, J5) and the
 data-quality anti joins (C2/C6 helpers).
 
-The maps have one row per distinct municipality name.  They are joined to
-the raw rows without an explicit hint: the planner broadcasts them when their
-measured size is under the broadcast threshold and falls back to a sort-merge
-join otherwise; AQE's skew handling splits a name that holds a large share of
-the rows.
+The maps have one row per distinct municipality name.  They are written once
+and joined to the raw rows without a hint: the planner knows the file size and
+broadcasts them below its threshold; beyond it the rows meet the map in a
+sort-merge join, where AQE splits a name that holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ def name_code_map(raw: DataFrame, name_col: str, code_col: str, row_id: str) ->
     """One map (name -> numeric code): rows with both fields present, first
     row per name in file order, code read leniently (junk -> null)."""
     pairs = raw.filter(F.col(name_col).isNotNull() & F.col(code_col).isNotNull())
-    first = first_by(pairs, [name_col], [row_id], [code_col])
+    first = first_by(pairs.select(name_col, code_col, row_id), [name_col], row_id, [code_col])
     return first.select(F.col(name_col).alias("nome"), to_double(code_col).alias("codigo"))
 
 

@@ -3,8 +3,7 @@
 ``dropDuplicates`` keeps an arbitrary row; these keep the first row by an
 explicit order column (file row id, source rank), as the loader's
 ``drop_duplicates`` keeps the first row in file order.  All of them are
-declarative aggregates (``min_by``), which aggregate partially before the
-shuffle: a key with a third of all rows does not become one heavy task.
+declarative aggregates, which aggregate partially before the shuffle: a key with a third of all rows does not become one heavy task.
 """
 
 from __future__ import annotations
@@ -12,12 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 
-def first_by(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
-    """For each key, the ``values`` of the row with the smallest ``order``."""
-    ordering = F.struct(*[F.col(o) for o in order])
-    picked = F.min_by(F.struct(*[F.col(v) for v in values]), ordering).alias("_first")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{v}").alias(v) for v in values])
+
+def first_by(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
+    """For each key (null is one), the ``values`` of the row with the
+    smallest ``order``, a number that tells all rows apart.
+
+    The smallest number of each key is a hash aggregate (numbers only, no sort
+    of the rows); it is written once, so the semi join that fetches the values
+    knows its size: a broadcast for a dimension, a shuffle by row number, which
+    cannot be skewed, beyond the planner's bound."""
+    first = reliable_checkpoint(df.groupBy(*keys).agg(F.min(order).alias("_first")).select("_first"), "first-rows")
+    return df.join(first, F.col(order) == F.col("_first"), "left_semi").select(*keys, *values)
 
 
 def distinct_pairs(df: DataFrame, cols: list[str]) -> DataFrame:

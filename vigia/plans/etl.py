@@ -85,12 +85,14 @@ def recover_codes(df: DataFrame, name_map: DataFrame) -> DataFrame:
 def municipality_dim(rec: DataFrame) -> DataFrame:
     """E1 + W1 + F5 + P16: one row per code, first name seen (residence rows
     before notification rows, then file order); valid codes of known states."""
-    both = (rec.select(F.col("municipioIBGE").alias("id"), F.col("municipio").alias("nome"),
-                       F.lit(0).alias("src"), "notificacao_id")
-            .unionByName(rec.select(F.col("municipioNotificacaoIBGE").alias("id"),
-                                    F.col("municipioNotificacao").alias("nome"),
-                                    F.lit(1).alias("src"), "notificacao_id")))
-    first = first_by(both, ["id"], ["src", "notificacao_id"], ["nome"])
+    # Both columns of every row from one scan; the order is one number, the
+    # residence rows (0) before the notification rows.
+    both = rec.select(F.inline(F.array(
+        F.struct(F.col("municipioIBGE").alias("id"), F.col("municipio").alias("nome"),
+                 F.col("notificacao_id").alias("place")),
+        F.struct(F.col("municipioNotificacaoIBGE").alias("id"), F.col("municipioNotificacao").alias("nome"),
+                 (F.col("notificacao_id") + F.lit(1 << 62)).alias("place")))))
+    first = first_by(both, ["id"], "place", ["nome"])
     code = _code_as_int("id")
     dim = first.select(code.alias("municipio_ibge"), "nome", uf_from_ibge(code).alias("estado_ibge"))
     return dim.filter(valid_ibge("municipio_ibge") & F.col("estado_ibge").isin(*UF_CODES))
@@ -101,7 +103,7 @@ def etl_stages(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dic
     municipality dimension and the accepted rows (materialised once: ten
     outputs read them, and the ids in them must not change on a re-run)."""
     typed = number_rows(raw, stable=stable)
-    name_map = recovery_map(typed)
+    name_map = reliable_checkpoint(recovery_map(typed), "name-map")
     rec = recover_codes(typed, name_map)
     municipio = reliable_checkpoint(municipality_dim(rec))
     valid_ids = municipio.select("municipio_ibge").distinct()

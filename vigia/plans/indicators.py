@@ -28,17 +28,23 @@ MEASURES = ["taxa_positividade", "tempo_medio_sintomas_teste",
             "perc_prof_saude_infectados", "media_doses_vacina"]
 
 
+def _in_months(df: DataFrame, inicio, fim) -> DataFrame:
+    """Rows in the months of the period, where the table is partitioned by the
+    month of the notification (Spark prunes folders); else all rows."""
+    if "mes_particao" not in df.columns:
+        return df
+    month = lambda d: F.date_format(F.lit(d).cast("date"), "yyyy-MM")
+    if inicio is not None:
+        df = df.filter(F.col("mes_particao") >= month(inicio))
+    if fim is not None:
+        df = df.filter(F.col("mes_particao") <= month(fim))
+    return df
+
+
 def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
     n = t["notificacao"].filter(F.col("municipio_notificacao_ibge").isNotNull())
     if inicio is not None or fim is not None:
-        n = n.filter(in_period("data_notificacao", inicio, fim))
-        if "mes_particao" in n.columns:
-            # Same period on the month partition column: Spark prunes folders.
-            month = lambda d: F.date_format(F.lit(d).cast("date"), "yyyy-MM")
-            if inicio is not None:
-                n = n.filter(F.col("mes_particao") >= month(inicio))
-            if fim is not None:
-                n = n.filter(F.col("mes_particao") <= month(fim))
+        n = _in_months(n.filter(in_period("data_notificacao", inicio, fim)), inicio, fim)
     if monthly:
         ini = F.trunc("data_notificacao", "month")
         end = F.last_day("data_notificacao")
@@ -53,37 +59,39 @@ def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
 def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bool = False) -> DataFrame:
     """Integer numerators/denominators of the four indicators per group.
 
-    Plan shape: tests (left-joined to the symptom-onset date) and doses are
-    reduced to one row per notification first; the notification of the
-    period, its two satellites and those two per-notification aggregates are
-    then merged on notificacao_id, which every input is hash-partitioned on
-    once (the clinical projection is shared, so its exchange is reused); the
-    result feeds a single aggregation by (municipality[, month]).  Rows that
-    reach the final shuffle are per notification, partially aggregated per
-    task, so a hot municipality costs one partial row per task."""
+    Plan shape: the period's notifications take their clinical and demographic
+    rows (each table is read once), then their tests, which are reduced to one
+    row per notification where they lie: every input is hash-partitioned on
+    notificacao_id once.  Doses are cut to the period's notifications before
+    they are counted.  On tables partitioned by month a period prunes the
+    folders of all five.  The result feeds a single aggregation by
+    (municipality[, month]): rows that reach the final shuffle are partially
+    aggregated per task, so a hot municipality costs one partial row per task."""
     n = _period_notifications(t, inicio, fim, monthly)
-    clin = t["dados_clinicos"].select(
+    clin = _in_months(t["dados_clinicos"], inicio, fim).select(
         "notificacao_id", "data_inicio_sintomas",
         is_confirmed("classificacao_final").alias("_conf"), F.lit(True).alias("_has_clin"))
-    demo = t["dados_demograficos"].select(
+    demo = _in_months(t["dados_demograficos"], inicio, fim).select(
         "notificacao_id", is_sim_ci("is_profissional_saude").alias("_saude"),
         F.lit(True).alias("_has_demo"))
+    tests = _in_months(t["teste_laboratorial"], inicio, fim).select(
+        "notificacao_id", "resultado_teste", "data_coleta", F.lit(True).alias("_has_test"))
+    doses = _in_months(t["vacina_aplicada"], inicio, fim).select("notificacao_id")
+    if inicio is not None or fim is not None:
+        doses = doses.join(n.select("notificacao_id"), "notificacao_id", "left_semi")
 
     zero = F.lit(0).cast("bigint")
+    base = n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
     timed = F.col("_has_clin") & (F.col("data_coleta") >= F.col("data_inicio_sintomas"))
-    per_test = (t["teste_laboratorial"].select("notificacao_id", "resultado_teste", "data_coleta")
-                .join(clin, "notificacao_id", "left")
-                .groupBy("notificacao_id").agg(
-                    F.count(F.lit(1)).alias("_t"),
-                    F.count_if(positive_by_code("resultado_teste")).alias("_p"),
-                    F.coalesce(F.sum(F.when(timed, days_between("data_coleta", "data_inicio_sintomas"))
-                                     .cast("bigint")), zero).alias("_dias"),
-                    F.count_if(timed).alias("_nd")))
-    per_dose = (t["vacina_aplicada"].groupBy("notificacao_id")
-                .agg(F.count(F.lit(1)).alias("_doses")))
-
-    j = (n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
-          .join(per_test, "notificacao_id", "left").join(per_dose, "notificacao_id", "left"))
+    per_notification = (base.join(tests, "notificacao_id", "left").groupBy(*base.columns).agg(
+        F.count("_has_test").alias("_t"),
+        F.count_if(positive_by_code("resultado_teste")).alias("_p"),
+        F.coalesce(F.sum(F.when(timed, days_between("data_coleta", "data_inicio_sintomas"))
+                         .cast("bigint")), zero).alias("_dias"),
+        F.count_if(timed).alias("_nd")))
+    per_dose = doses.groupBy("notificacao_id").agg(F.count(F.lit(1)).alias("_doses"))
+
+    j = per_notification.join(per_dose, "notificacao_id", "left")
     valid = F.col("excluido") == F.lit(False)
     confirmed = F.col("_has_clin") & F.col("_has_demo") & F.col("_conf")
     nz = lambda c: F.coalesce(F.col(c), zero)

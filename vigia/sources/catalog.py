@@ -1,8 +1,8 @@
 """Curated tables on storage: read, write, register, materialise.
 
 Two layouts.  ``write_tables``: Parquet folders under one base path, one
-folder per table, notifications partitioned by month so period queries prune
-whole folders.  ``save_bucketed``: catalog tables whose eight
+folder per table, notifications and the children that period queries read
+partitioned by month, so a period prunes whole folders.  ``save_bucketed``: catalog tables whose eight
 notification-keyed tables are bucketed and sorted on notificacao_id with one
 bucket count, so their joins and per-notification aggregates read co-located
 buckets instead of shuffling.
@@ -21,8 +21,8 @@ CURATED_TABLES = [
     "teste_laboratorial", "vacina_aplicada",
 ]
 
-# Partition columns per table when written (month of the notification date).
-PARTITIONING = {"notificacao": ["mes_particao"]}
+# Children written, like the notifications, in folders by month of the notification.
+MONTHLY_CHILDREN = ["dados_demograficos", "dados_clinicos", "teste_laboratorial", "vacina_aplicada"]
 # Tables keyed (or children keyed) by notificacao_id: bucketed on it when
 # written to the catalog, so their joins and per-notification aggregates need
 # no shuffle (same bucket count on every table).
@@ -39,23 +39,38 @@ def read_tables(spark: SparkSession, base: str, names=CURATED_TABLES) -> dict[st
     return {n: spark.read.parquet(f"{base.rstrip('/')}/{n}") for n in names}
 
 
-def write_table(df: DataFrame, base: str, name: str, mode: str = "overwrite") -> str:
+def _months(notificacao: DataFrame) -> DataFrame:
+    return notificacao.select("notificacao_id", F.date_format("data_notificacao", "yyyy-MM").alias("mes_particao"))
+
+
+def write_table(df: DataFrame, base: str, name: str, mode: str = "overwrite", files_per_month: int = 1) -> str:
     """Write one curated table.  Overwrite by default, so a rerun is idempotent
-    (the reference appends and a second load breaks its primary keys)."""
+    (the reference appends and a second load breaks its primary keys).
+
+    A table with the column ``mes_particao`` is written in a folder a month, of
+    at most ``files_per_month`` files: its rows are dealt by month and a salt
+    first, so the number of files does not grow with the number of tasks."""
     path = f"{base.rstrip('/')}/{name}"
-    w = df
-    parts = PARTITIONING.get(name, [])
-    if "mes_particao" in parts:
-        w = w.withColumn("mes_particao", F.date_format("data_notificacao", "yyyy-MM"))
-    writer = w.write.mode(mode)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+    if name == "notificacao" and "mes_particao" not in df.columns:
+        df = df.withColumn("mes_particao", F.date_format("data_notificacao", "yyyy-MM"))
+    if "mes_particao" not in df.columns:
+        df.write.mode(mode).parquet(path)
+        return path
+    salt = F.pmod(F.xxhash64("notificacao_id"), F.lit(files_per_month))
+    df.repartition("mes_particao", salt).write.mode(mode).partitionBy("mes_particao").parquet(path)
     return path
 
 
-def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "overwrite") -> dict[str, str]:
-    return {n: write_table(df, base, n, mode) for n, df in tables.items()}
+def write_tables(tables: dict[str, DataFrame], base: str, mode: str = "overwrite",
+                 files_per_month: int = 1) -> dict[str, str]:
+    """Every table; the children that period queries read carry the month of
+    their notification, so that a period prunes their folders too."""
+    out = {}
+    for n, df in tables.items():
+        if n in MONTHLY_CHILDREN and "notificacao" in tables and "mes_particao" not in df.columns:
+            df = df.join(_months(tables["notificacao"]), "notificacao_id", "left")
+        out[n] = write_table(df, base, n, mode, files_per_month)
+    return out
 
 
 def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int,
@@ -76,8 +91,11 @@ def save_bucketed(tables: dict[str, DataFrame], database: str, buckets: int,
     out = {}
     for name, df in tables.items():
         full = f"{database}.{name}"
+        keyed = name in NOTIFICATION_KEYED
+        if keyed:  # one task a bucket, so one file a bucket
+            df = df.repartition(buckets, "notificacao_id")
         w = df.write.mode(mode).format("parquet").option("path", f"{base}/{name}")
-        if name in NOTIFICATION_KEYED:
+        if keyed:
             w = w.bucketBy(buckets, "notificacao_id").sortBy("notificacao_id")
         w.saveAsTable(full)
         out[name] = full
