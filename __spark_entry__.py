@@ -32,7 +32,8 @@ from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
 from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
 from vigia.session import reliable_checkpoint, scratch_path  # noqa: E402
-from vigia.sources.raw import read_raw, write_raw  # noqa: E402
+from vigia.sources import catalog  # noqa: E402
+from vigia.sources.raw import export_csv, read_flat, read_raw, write_raw  # noqa: E402
 from vigia.streaming.audit_stream import run_audit_stream, run_in_batches  # noqa: E402
 
 # The text operators are optional: without their folder (and the pipeline that
@@ -190,6 +191,23 @@ def q_upsert_indicators(spark: SparkSession, sf: str) -> DataFrame:
     return ind.upsert(stale, fresh)
 
 
+def q_cases_from_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The view over tables written by month and read back."""
+    t = _tables(spark, sf)
+    base = scratch_path(spark, "curated")
+    names = ["estado", "municipio", "notificacao", "dados_clinicos"]
+    catalog.write_tables({n: t[n] for n in names}, base)
+    return views.cases_by_municipality(catalog.read_tables(spark, base, names))
+
+
+def q_flat_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature table exported as CSV and read back."""
+    flat = _flat(spark, sf)
+    path = scratch_path(spark, "flat-csv")
+    export_csv(flat, path)
+    return read_flat(spark, path, flat.schema)
+
+
 def q_filtered_headline(spark: SparkSession, sf: str) -> DataFrame:
     f = dash.apply_filters(_flat_table(spark, sf), oq.FILTER_START, oq.FILTER_END, oq.FILTER_MUNICIPIOS)
     return dash.headline(f)
@@ -212,6 +230,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **_llm_queries(),
         # views (Q3-Q5)
         "cases_by_municipality": lambda s, sf: views.cases_by_municipality(_tables(s, sf)),
+        "cases_from_written_tables": q_cases_from_written,
         "vaccination_by_outcome": lambda s, sf: views.vaccination_by_outcome(_tables(s, sf)),
         "frequent_symptoms": lambda s, sf: views.frequent_symptoms(_tables(s, sf)),
         # KPIs (Q2, U1)
@@ -222,7 +241,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "symptom_agg": lambda s, sf: flat_plan.symptom_agg(_tables(s, sf)),
         "vaccine_agg": lambda s, sf: flat_plan.vaccine_agg(_tables(s, sf)),
         "test_agg": lambda s, sf: flat_plan.test_agg(_tables(s, sf)),
+        "test_agg_by_code": lambda s, sf: flat_plan.test_agg(_tables(s, sf), positive="code"),
         "flat_dataset": _flat,
+        "flat_dataset_by_code": lambda s, sf: flat_plan.flat_dataset(_tables(s, sf), positive="code"),
+        "flat_csv": q_flat_csv,
         "dataset_audit": _on_flat(flat_plan.dataset_audit),
         "target_balance": _on_flat(lambda f: flat_plan.target_balance(f, digits=6)),
         # dashboard

@@ -75,12 +75,6 @@ def clean_code(c) -> Column:
              .otherwise(c))
 
 
-def to_number(c) -> Column:
-    """lenient numeric (unparsable -> 0), truncated to int."""
-    d = _c(c).try_cast("double")
-    finite = d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
-    return F.coalesce(F.when(finite, d.try_cast("int")), F.lit(0))
-
 
 def to_double(c) -> Column:
     """Lenient numeric keeping null for unparsable text (pandas to_numeric coerce)."""

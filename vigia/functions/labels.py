@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .predicates import is_confirmed_cs
+from .predicates import null_where, is_confirmed_cs
 
 # --- fixed values: labels shown to users --------------------------------------
 # Age bands, right-closed: (0,12] (12,19] (19,39] (39,59] (59,79] (79,120].
@@ -47,7 +47,7 @@ def _c(c) -> Column:
 def valid_age(c="idade") -> Column:
     """ages below 0 or above 120 become null."""
     c = _c(c)
-    return F.when((c < AGE_MIN) | (c > AGE_MAX), F.lit(None)).otherwise(c)
+    return null_where(c, (c < AGE_MIN) | (c > AGE_MAX))
 
 
 def age_band(c="idade", include_zero: bool = False) -> Column:

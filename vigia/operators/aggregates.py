@@ -99,8 +99,3 @@ def corr_matrix(df: DataFrame, cols: dict[str, str], digits: int | None = None)
             rows.append(f"'{names[i]}', '{names[j]}', r_{a}_{b}")
     stack = f"stack({len(rows)}, {', '.join(rows)}) as (var1, var2, r)"
     return wide.selectExpr(stack)
-
-
-def metrics(df: DataFrame, named: dict[str, Column]) -> DataFrame:
-    """Many whole-table counters in one job (one row)."""
-    return df.agg(*[expr.alias(n) for n, expr in named.items()])

@@ -106,11 +106,6 @@ def dq_orphans(child: DataFrame, parent: DataFrame, fk: list[str], pk: list[str]
     return orphans(child, parent.select(*pk).distinct(), fk, pk)
 
 
-def dq_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
-    """C4: rows with a null in any of ``cols``."""
-    cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return df.filter(cond)
-
 
 def _bound_checks(table: str, df: DataFrame) -> list[tuple[str, str, Column]]:
     checks = []

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cleaning import clean_code, regex_literal, strip
 from ..functions.dates import parse_date
@@ -41,6 +42,11 @@ def _stack(df: DataFrame, key: str, slots: list[tuple[int, dict[str, str]]], slo
     return df.selectExpr(key, expr)
 
 
+def _date(df: DataFrame, c: str):
+    """The column as a date: parsed if it is text, as it is if it was parsed before."""
+    return F.col(c) if df.schema[c].dataType == T.DateType() else parse_date(c).alias(c)
+
+
 def unpivot_tests(raw: DataFrame, key: str = "notificacao_id") -> DataFrame:
     """Four test slots -> rows; slots without a test type are skipped;
     codes cleaned ('1.0' -> '1'); the sample date is parsed."""
@@ -51,7 +57,7 @@ def unpivot_tests(raw: DataFrame, key: str = "notificacao_id") -> DataFrame:
         key, F.col("numero_sequencial").cast("smallint").alias("numero_sequencial"),
         *[clean_code(c).alias(c) for c in ("tipo_teste", "fabricante_teste", "resultado_teste",
                                             "estado_teste")],
-        parse_date("data_coleta").alias("data_coleta"))
+        _date(long, "data_coleta"))
 
 
 def unpivot_doses(raw: DataFrame, key: str = "notificacao_id") -> DataFrame:
@@ -61,7 +67,7 @@ def unpivot_doses(raw: DataFrame, key: str = "notificacao_id") -> DataFrame:
     slots = [(i, {c: p.format(d=d) for c, p in DOSE_SLOT_COLUMNS.items()}) for i, d in DOSE_SLOTS]
     long = _stack(raw, key, slots, "dose_numero", out)
     return (long.select(key, F.col("dose_numero").cast("smallint").alias("dose_numero"),
-                        parse_date("data_aplicacao").alias("data_aplicacao"), "laboratorio", "lote")
+                        _date(long, "data_aplicacao"), "laboratorio", "lote")
             .filter(F.col("data_aplicacao").isNotNull()))
 
 

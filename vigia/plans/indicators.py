@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, in_period
 from ..functions.numeric import exact_ratio
-from ..functions.predicates import is_confirmed, is_sim_ci, positive_by_code
+from ..functions.predicates import is_confirmed, is_sim_ci, on_or_after, positive_by_code
 
 KEYS = ["municipio_ibge", "periodo_inicio", "periodo_fim"]
 MEASURES = ["taxa_positividade", "tempo_medio_sintomas_teste",
@@ -82,7 +82,7 @@ def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bo
 
     zero = F.lit(0).cast("bigint")
     base = n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
-    timed = F.col("_has_clin") & (F.col("data_coleta") >= F.col("data_inicio_sintomas"))
+    timed = F.col("_has_clin") & on_or_after("data_coleta", "data_inicio_sintomas")
     per_notification = (base.join(tests, "notificacao_id", "left").groupBy(*base.columns).agg(
         F.count("_has_test").alias("_t"),
         F.count_if(positive_by_code("resultado_teste")).alias("_p"),
