@@ -83,7 +83,7 @@ def anchors(text: bytes, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
         back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
         place = (low - (np.minimum(back[:n], ahead[width - 1: width - 1 + n]) & low)).astype(np.int64)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-        keys.append(h[place[first]])
+        keys.append(mix64(h[place[first]]))  # the smallest hashes, spread over all ranges again
         firsts.append(first + a)
         counts.append(np.diff(np.append(first, n)))
     return np.concatenate(keys), np.concatenate(firsts), np.concatenate(counts)
@@ -107,7 +107,9 @@ class SuffixArray:
             byte[rest <= j] = 0
             word |= byte << np.uint64(56 - 8 * j)
         ended = rest < 8
-        order = np.lexsort((ended, word))
+        order = np.argsort(word)
+        group = np.cumsum(np.append(0, word[order[1:]] != word[order[:-1]]))
+        order = order[np.argsort(group * 2 + ended[order], kind="stable")]  # ended ones behind their equals
         levels = [(8, _ranks(order, word, ended))]
         size = 8
         while size < sizes.max(initial=0):
@@ -116,7 +118,7 @@ class SuffixArray:
             more = np.flatnonzero(rest > size)
             after[more] = rank[more + size] + 1
             key = rank.astype(np.int64) << 32 | after
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             size *= 2
             levels.append((size, _ranks(order, key, rest < size)))
         self.order = order[rest[order] >= least]  # suffixes that can hold a repeat
@@ -354,7 +356,7 @@ def _contexts(least: int, ranges: int):
     return run
 
 
-def _resolve(least: int, batch_bytes: int = 1 << 20):
+def _resolve(least: int, batch_bytes: int = 1 << 18):
     """Repeated stretches of a gram range's contexts, or of a hash range's strings."""
 
     def run(key, table):
@@ -453,7 +455,7 @@ def _remove(least: int, with_bytes: bool):
     return run
 
 
-def repeated_bytes(docs: DataFrame, least: int = 400, text: str = "text", crowd: int = 4096, with_bytes: bool = False) -> DataFrame:
+def repeated_bytes(docs: DataFrame, least: int = 400, text: str = "text", crowd: int = 1024, with_bytes: bool = False) -> DataFrame:
     """Of each distinct text that loses bytes: its SHA-256, the bytes and runs
     removed, what is left (with ``with_bytes``) and its SHA-256."""
     if least < GRAM:
@@ -471,7 +473,7 @@ def repeated_bytes(docs: DataFrame, least: int = 400, text: str = "text", crowd:
     return by_shard.cogroup(repeats.groupBy("part")).applyInArrow(_remove(least, with_bytes), _FOUND)
 
 
-def remove_repeats(docs: DataFrame, least: int = 400, text: str = "text", digests: bool = False, crowd: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, least: int = 400, text: str = "text", digests: bool = False, crowd: int = 1024) -> DataFrame:
     """The documents with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``,
     the bytes left of each text (cuts may fall inside a character); with
     ``digests`` ``kept_sha256`` instead and no text."""
