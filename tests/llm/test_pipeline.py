@@ -77,7 +77,7 @@ def test_edge_rows_pass_every_stage(spark, tmpdir_path):
     docs = df
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, tmpdir_path)
-        assert docs.columns == df.columns
+        assert docs.schema == df.schema
     out = corpus_pipeline.run(spark, tmpdir_path).collect()
     assert len(out) == 4  # (1, 2), 3, (4, 4, 5) and the one without id
     assert not any(re.search("me@x.org", r["decoded"]) for r in out)

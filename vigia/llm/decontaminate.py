@@ -117,35 +117,35 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, n: int, block_words:
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text",
                        item_id: str = "item_id", item_text: str = "text",
-                       block_words: int = 250_000, keep_text: bool = True) -> DataFrame:
-    """The documents with a struct column ``contamination``: words, words hit,
-    the items found (sorted as strings) and a bit for each word.
+                       block_words: int = 250_000, keep_text: bool = True, result: str = RESULT) -> DataFrame:
+    """The documents with a struct column ``contamination`` (or ``result``):
+    words, words hit, the items found (sorted as strings) and a bit for each word.
 
     ``keep_text=False`` leaves out the text column of the result."""
     spark = docs.sparkSession
-    out = docs.drop(RESULT).withColumn(RESULT, F.lit(None).cast(RESULT_TYPE))
+    out = docs.drop(result).withColumn(result, F.lit(None).cast(RESULT_TYPE))
     blocks = _blocks(benchmark, item_id, item_text, n, block_words)
     held = next(blocks)
     while held is not None:
         following = next(blocks, None)
         last = following is None
         schema = T.StructType([f for f in out.schema.fields if keep_text or not last or f.name != text])
-        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(held), text, schema), schema)
+        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(held), text, schema, result), schema)
         if not last:
             out = reliable_checkpoint(out, "contamination")
         held = following
     return out
 
 
-def _scan(windows, text: str, schema: T.StructType):
+def _scan(windows, text: str, schema: T.StructType, result: str):
     names = schema.names
 
     def run(batches):
         known = windows.value
-        kind = to_arrow_type(schema[RESULT].dataType)
+        kind = to_arrow_type(schema[result].dataType)
         for batch in batches:
             rows = []
-            for t, before in zip(bytes_list(batch.column(text)), batch.column(RESULT).to_pylist(), strict=True):
+            for t, before in zip(bytes_list(batch.column(text)), batch.column(result).to_pylist(), strict=True):
                 words = normal_words(t)
                 hit, items = np.zeros(len(words), dtype=bool), set()
                 if before:
@@ -155,31 +155,38 @@ def _scan(windows, text: str, schema: T.StructType):
                 rows.append({"n_words": len(words), "n_hit": int(hit.sum()), "items": sorted(items),
                              "hits": np.packbits(hit).tobytes()})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, type=kind) if c == RESULT else batch.column(c) for c in names], names=names)
+                [pa.array(rows, type=kind) if c == result else batch.column(c) for c in names], names=names)
 
     return run
 
 
+def _free_name(docs: DataFrame) -> str:
+    name = RESULT
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that hold any benchmark window."""
-    columns = docs.columns
-    marked = mark_contamination(docs, benchmark, **options)
-    return marked.filter(F.col(f"{RESULT}.n_hit") == 0).select(*columns)
+    """The documents, with all their columns, without those that hold any
+    benchmark window."""
+    found = _free_name(docs)
+    marked = mark_contamination(docs, benchmark, result=found, **options)
+    return marked.filter(F.col(f"{found}.n_hit") == 0).drop(found)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """All documents; the hit words are cut out of the texts, the rest of each
     text stays as it is."""
-    columns = docs.columns
-    marked = mark_contamination(docs, benchmark, text=text, **options)
+    found = _free_name(docs)
+    marked = mark_contamination(docs, benchmark, text=text, result=found, **options)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, hits: pd.Series) -> pd.Series:
         return pd.Series([cut_words(t, bytes(h)) for t, h in zip(texts, hits, strict=True)])
 
-    return (marked.withColumn(text, F.when(F.col(f"{RESULT}.n_hit") > 0, cut(F.coalesce(text, F.lit("")), F.col(f"{RESULT}.hits")))
-                              .otherwise(F.col(text)))
-            .select(*columns))
+    return marked.withColumn(text, F.when(F.col(f"{found}.n_hit") > 0, cut(F.coalesce(text, F.lit("")), F.col(f"{found}.hits")))
+                             .otherwise(F.col(text))).drop(found)
 
 
 def cut_words(text: str, bits: bytes) -> str:

@@ -216,7 +216,6 @@ def score(docs: DataFrame, forest: Forest, threshold: float = 0.3, text: str = "
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """The documents that the classifier does not reject, with their columns."""
     columns = docs.columns
-    tagged = docs.select(*columns, F.col("text").alias("_text"))
-    marked = score(tagged.select(F.struct(*columns).alias("row"), "_text"), fit(docs, labels, **options), threshold,
-                   "_text", keep_text=False)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("text").alias("text"))
+    marked = score(rows, fit(docs, labels, **options), threshold, "text", keep_text=False)
     return marked.filter("predicted = 1").select("row.*")
