@@ -212,7 +212,7 @@ def templates(pages: DataFrame, html: str = "html", url: str = "url", least_shar
     Valid: on ``least_share`` of at least ``least_pages`` pages, with at least
     ``least_tokens`` tokens.  Classes nest by their paths: a class counts if the
     elements that its tokens lie in belong to valid classes too."""
-    found = token_classes(pages, html, url)
+    found = reliable_checkpoint(token_classes(pages, html, url), "token-classes")  # read twice below
     sizes = found.groupBy("host", "class").agg(F.count(F.lit(1)).alias("tokens"))
     valid = (found.join(sizes, ["host", "class"])
              .filter((F.col("share") >= least_share) & (F.col("host_pages") >= least_pages) & (F.col("tokens") >= least_tokens)))
