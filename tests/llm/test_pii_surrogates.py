@@ -79,3 +79,25 @@ def test_copies_clashing_columns_and_empty_table(spark, tmpdir_path):
     assert not any(re.search(r"555-2485|me\d@x", t) for t in texts)
     assert any(re.search(r"y 10\.\d+\.\d+\.\d+$", t) for t in texts)  # a private address stays private
     assert p.replace_entities(df.limit(0)).count() == 0
+
+
+def test_entities_once_for_all_copies(spark):
+    """Copies of a text add no rows: what is gathered for a text grows with the text alone."""
+    df = spark.createDataFrame([("mail a@b.org or +1 212 555 0100",)] * 50 + [("mail a@b.org",)] * 20, "text string")
+    found = [tuple(r) for r in p.entities(df.repartition(7)).collect()]
+    assert len(found) == len(set(found)) == 3
+    out = [r["text"] for r in p.replace_entities(df).collect()]
+    assert len(out) == 70 and len(set(out)) == 2 and not any("a@b.org" in t or "555 0100" in t for t in out)
+
+
+def test_full_spaces_draw_from_wider_ones(spark):
+    """All 676 addresses of a shape are entities: none can be another's surrogate."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [("email", f"{a}@{b}.co") for a in letters for b in letters]
+    got = [r["fresh"] for r in p.assign(spark.createDataFrame(values, "kind string, value string")).collect()]
+    assert len(got) == len(set(got)) == 676 and not set(got) & {v for _, v in values}
+    later = [p.surrogate("ip", "192.168.1.2", k) for k in range(p.WIDER, 64)]
+    assert any(not x.startswith("192.168.") for x in later) and all(re.fullmatch(p._OCTET + rf"(?:\.{p._OCTET}){{3}}", x) for x in later)
+    assert p.written_like("123-45-6789", "ssn", p.surrogate("ssn", "123456789", 8)).startswith("9")
+    iban = p.surrogate("iban", "ES9121000418450200051332", 9)
+    assert len(iban) == 24 and p.iban_rest(iban) == 1

@@ -54,6 +54,7 @@ SCRIPTS = {
     "greek": ("αεηιο", "βγδζθκλμνπρστ", ("ος", "ης", "ας"), ("α", "η", "ινα"), ("ακης", "ιδης", "ου")),
 }
 DEFAULT_KEY = b"replace this key in production"
+WIDER = 8  # attempts within the same space
 
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ][\w'’]*(?:-[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ][\w'’]*)*"
 _TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES, key=len, reverse=True))
@@ -151,8 +152,13 @@ def script_of(value: str) -> str:
 
 
 def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = DEFAULT_KEY) -> str:
-    """The surrogate, in normal form, of an entity in normal form."""
+    """The surrogate, in normal form, of an entity in normal form.
+
+    A type's first ``WIDER`` attempts keep its shape; later ones draw from a
+    wider space (longer local parts and numbers, other private and reserved
+    addresses), so that a corpus that fills the first still ends."""
     d = _Draw(key, kind, value, attempt)
+    wider = attempt // WIDER
 
     def same_shape(s: str) -> str:
         return "".join(str(d.below(10)) if c.isdigit() else d.pick("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in s)
@@ -160,11 +166,15 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = DEFAULT_KEY)
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
-        return f"{same_shape(local)}@{same_shape(host)}.{top}"
+        return f"{same_shape(local + 'a' * wider)}@{same_shape(host)}.{top}"
     if kind == "ip":
         parts = value.split(".")
         private = 1 if parts[0] == "10" else 2 if parts[:2] == ["192", "168"] else 0
         fresh = [str(1 + d.below(254)) for _ in parts]
+        if wider >= 2:  # never routed
+            return ".".join([str(240 + d.below(15)), *fresh[1:]])
+        if wider and private:
+            return ".".join(d.pick((["10", *fresh[1:]], ["172", str(16 + d.below(16)), *fresh[2:]], ["192", "168", *fresh[2:]])))
         if not private:
             fresh[0] = d.pick([str(x) for x in range(11, 224) if x not in (127, 169, 172, 192)])
         return ".".join(parts[:private] + fresh[private:])
@@ -174,14 +184,15 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = DEFAULT_KEY)
         return body + str(check if luhn(value) == 0 else (check + 1 + d.below(9)) % 10)
     if kind == "phone":
         keep = 2 if value.startswith("+") else 0  # the plus and the country's first digit
-        return value[:keep] + "".join(str(d.below(10)) for _ in value[keep:])
+        return value[:keep] + "".join(str(d.below(10)) for _ in value[keep:] + "0" * wider)
     if kind == "ssn":
-        return str(900 + d.below(100)) + f"{1 + d.below(99):02d}" + f"{1 + d.below(9999):04d}"  # never issued
+        return str(900 + d.below(100)) + f"{1 + d.below(99):02d}" + f"{1 + d.below(9999):04d}" + "".join(
+            str(d.below(10)) for _ in range(wider))  # never issued
     if kind == "iban":
-        body = "".join(str(d.below(10)) if c.isdigit() else d.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in value[4:])
+        body = "".join(str(d.below(10)) if c.isdigit() and not wider else d.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in value[4:])
         return f"{value[:2]}{98 - iban_rest(value[:2] + '00' + body):02d}{body}"
     vowels, consonants, *endings = SCRIPTS[script_of(value)]
-    stem = "".join(d.pick(consonants) + d.pick(vowels) for _ in range(2 + d.below(2) + attempt // 8)) + d.pick(consonants)
+    stem = "".join(d.pick(consonants) + d.pick(vowels) for _ in range(2 + d.below(2) + wider)) + d.pick(consonants)
     return stem + d.pick(endings[("male", "female", "surname").index(kind)])
 
 
@@ -189,7 +200,7 @@ def written_like(original: str, kind: str, fresh: str) -> str:
     """The surrogate in the writing of an occurrence: marks, spaces and case."""
     if kind in ("ssn", "card", "phone", "iban"):
         chars = iter(fresh)
-        return "".join(next(chars) if c.isalnum() or c == "+" else c for c in original)
+        return "".join([next(chars) if c.isalnum() or c == "+" else c for c in original] + [*chars])
     if kind in ("male", "female", "surname"):
         return fresh.upper() if len(original) > 1 and original.isupper() else fresh[:1].upper() + fresh[1:]
     return "".join(f.upper() if c.isupper() else f for c, f in zip(original, fresh, strict=True)) if len(fresh) == len(original) else fresh
@@ -210,8 +221,8 @@ _ENTITY = T.StructType([T.StructField("text_key", T.StringType()), T.StructField
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(text_key, kind, value): the entities of every text, in normal form; the
-    key is the SHA-256 of the text."""
+    """(text_key, kind, value): the entities of every distinct text once, in
+    normal form; the key is the SHA-256 of the text."""
     hinted = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike(HINT))
 
     def run(batches):
@@ -225,7 +236,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
                         rows += [(key, *f) for f in sorted(found)]
                 yield record_batch(_ENTITY, [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 3)
 
-    return hinted.mapInArrow(run, _ENTITY)
+    return hinted.mapInArrow(run, _ENTITY).distinct()
 
 
 def assign(values: DataFrame, key: bytes = DEFAULT_KEY, most_rounds: int = 64, draw=surrogate) -> DataFrame:
