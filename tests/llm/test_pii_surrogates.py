@@ -101,3 +101,31 @@ def test_full_spaces_draw_from_wider_ones(spark):
     assert p.written_like("123-45-6789", "ssn", p.surrogate("ssn", "123456789", 8)).startswith("9")
     iban = p.surrogate("iban", "ES9121000418450200051332", 9)
     assert len(iban) == 24 and p.iban_rest(iban) == 1
+
+
+def found(text):
+    return [(text[a:b], k) for a, b, k in p.find_entities(text)]
+
+
+def test_iban_before_other_tokens_and_inside_rejected():
+    for iban in ("ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "NO93 8601 1117 947"):
+        for tail in (" EUR", " BIC BKAUATWW", " 2024", " INVOICE 12", ". Paid", ""):
+            assert (iban, "iban") == found(f"to {iban}{tail}")[0], iban + tail
+    assert found("XX12 GB82 WEST 1234 5698 7654 32") == [("GB82 WEST 1234 5698 7654 32", "iban")]
+    assert found("ref AB12 4111 1111 1111 1111 end") == [("4111 1111 1111 1111", "card")]
+    assert found("+1 212-555-1234 2024 1234 5678")[0] == ("212-555-1234", "phone")
+
+
+def test_bare_mentions_capitals_and_all_letters(spark):
+    text = "Smith's plan: Mr John Smith met JOHN and Smith-Jones. The smith forged; Smithson stayed. Dr Łukasz Żak, later Żak. " \
+           "MRS MARY JONES. Jones' hat. MS WORD-BOOK. MS Word. Mr Şahin. ΓΙΩΡΓΟΣ ΠΑΠΑΣ, Γιώργος Παπάς"
+    got = found(text)
+    assert [v for v, _ in got] == ["Smith", "John", "Smith", "JOHN", "Smith", "Jones", "Łukasz", "Żak", "Żak", "MARY", "JONES", "Jones",
+                                   "WORD-BOOK", "Şahin", "ΓΙΩΡΓΟΣ", "ΠΑΠΑΣ", "Γιώργος", "Παπάς"]
+    assert sorted(p.find_entities(text)) == p.find_entities(text)
+    out = p.replace_entities(spark.createDataFrame([(text,)], "text string")).first()["text"]
+    assert not any(n in out.replace("Smithson", "") for n in ("Smith", "John", "JOHN", "Żak", "MARY", "Jones", "JONES", "Şahin", "Παπάς"))
+    assert "The smith forged; Smithson stayed." in out and "MS Word. Mr " in out
+    first, last, first_again, last_again = p.plain_name(out.replace(",", "")).split()[-4:]
+    assert first == first_again and last == last_again
+    assert found("Mr De La Cruz. De la casa, La vida") == [("De", "male"), ("La", "surname")]

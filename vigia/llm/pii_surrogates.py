@@ -15,8 +15,10 @@ Only documents that can hold an entity meet the surrogates, in one join by
 the text's hash; all others pass where they are.
 
 Cases: a null text stays null, an empty one empty; entities never overlap (the
-leftmost wins, then the kind first listed); copies get equal surrogates; very
-long texts are scanned whole; a table without rows gives none; extra columns
+leftmost wins, then the kind first listed); copies get equal surrogates; an
+IBAN ends at its country's length or its last valid end, and what a check rejects
+is searched again; name parts found in a text are replaced at their bare mentions
+there too, initials and function words excepted; very long texts are scanned whole; a table without rows gives none; extra columns
 and their names are kept.
 """
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +36,7 @@ from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint
 from .common import record_batch, text_slices
+from .quality_rules import WORD_BINS
 
 KINDS = ("email", "iban", "ip", "ssn", "card", "phone", "male", "female", "surname")
 
@@ -46,19 +50,57 @@ Hans Klaus Jürgen Wolfgang Stefan Andreas Pierre Jean-Pierre François Jacques
 FEMALE_NAMES = """Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Margaret Emily Katharina Ursula
 Sabine Monika Brigitte Françoise Monique Nathalie Isabelle Carmen Dolores Pilar Lucía María Ольга Наталья Елена Татьяна
 Анна Ελένη Μαρία Κατερίνα""".split()
-_GENDER = {n.lower(): "male" for n in MALE_NAMES} | {n.lower(): "female" for n in FEMALE_NAMES}
+
+
+def plain_name(value: str) -> str:
+    """A name in lower case, composed; Greek without the accents that capitals lose."""
+    value = unicodedata.normalize("NFC", value.lower())
+    if any("Ͱ" <= c <= "Ͽ" for c in value):
+        value = unicodedata.normalize("NFC", unicodedata.normalize("NFD", value).replace("\u0301", ""))
+    return value
+
+
+def _writings(names: list[str]) -> list[str]:
+    """The names as listed and in capitals, composed and decomposed, longest first."""
+    capitals = [n.upper() for n in names]
+    every = {*names, *capitals, *(plain_name(n).upper() for n in names)}
+    return sorted(every | {unicodedata.normalize("NFD", n) for n in every}, key=lambda n: (-len(n), n))
+
+
+_GENDER = {plain_name(n): "male" for n in MALE_NAMES} | {plain_name(n): "female" for n in FEMALE_NAMES}
 # Letters of surrogates by script: (vowels, consonants, endings of male, female and surnames).
 SCRIPTS = {
     "latin": ("aeiou", "bdfgklmnprstv", ("on", "er", "in"), ("a", "ia", "elle"), ("son", "mann", "ez", "ard")),
     "cyrillic": ("аеиоу", "бвгдзклмнпрст", ("ей", "ан", "ир"), ("а", "ия", "ина"), ("ов", "ин", "ский")),
+    "armenian": ("աեիոէ", "բգդզկլմնպստր", ("են", "ան", "իկ"), ("ա", "ինե", "ուհի"), ("յան", "ունի", "ենց")),
     "greek": ("αεηιο", "βγδζθκλμνπρστ", ("ος", "ης", "ας"), ("α", "η", "ινα"), ("ακης", "ιδης", "ου")),
 }
 DEFAULT_KEY = b"replace this key in production"
 WIDER = 8  # attempts within the same space
 
-_CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ][\w'’]*(?:-[A-ZÀ-ÖØ-ÞА-ЯЁΑ-ΩΆ-Ώ][\w'’]*)*"
-_TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES, key=len, reverse=True))
-_NAMES = "|".join(map(re.escape, sorted(MALE_NAMES + FEMALE_NAMES, key=len, reverse=True)))
+# Lengths of IBANs by country.
+IBAN_LENGTHS = {c: int(n) for c, n in (x.split(":") for x in """AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29
+BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28
+HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22
+MK:19 MR:27 MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27
+ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20""".split())}
+
+
+def _capitals() -> str:
+    """The inside of a character class: every upper-case and title-case letter."""
+    codes = [k for k in range(0x1F000) if unicodedata.category(chr(k)) in ("Lu", "Lt")]
+    starts = [k for j, k in enumerate(codes) if not j or codes[j - 1] != k - 1]
+    ends = [k for j, k in enumerate(codes) if j + 1 == len(codes) or codes[j + 1] != k + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" if a < b else chr(a) for a, b in zip(starts, ends, strict=True))
+
+
+_FEMALE, _MALE = {plain_name(t) for t in FEMALE_TITLES}, {plain_name(t) for t in MALE_TITLES}
+_UPPER = _capitals()
+_PART = rf"[{_UPPER}][\w\u0300-\u036f'’]*"
+_CAPITAL = rf"{_PART}(?:-{_PART})*"
+# MS in capitals is a title before a name in capitals only.
+_TITLES = "|".join(t for t in _writings(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES) if t != "MS")
+_NAMES = "|".join(map(re.escape, _writings(MALE_NAMES + FEMALE_NAMES)))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _PATTERN = re.compile(
     rf"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{{2,}})"
@@ -68,10 +110,12 @@ _PATTERN = re.compile(
     r"|(?<![\d.-])(?P<card>\d{4}(?:[\x20-]\d{4}){3}|\d{13,19})(?![\d-])"
     r"|(?<![\w.])(?P<phone>\+\d{1,3}[\x20.-]?\(?\d{1,4}\)?(?:[\x20.-]?\d{2,4}){2,4}"
     r"|\(\d{2,4}\)[\x20.-]?\d{3,4}[\x20.-]\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])"
-    rf"|(?<!\w)(?P<title>{_TITLES})\.?\x20(?P<titled>{_CAPITAL}(?:\x20{_CAPITAL})?)"
-    rf"|(?<!\w)(?P<given>{_NAMES})\x20(?P<family>{_CAPITAL})")
+    rf"|(?<!\w)(?=[{_UPPER}])(?P<title>{_TITLES}|MS(?=\.?\x20[{_UPPER}]{{2}}))\.?\x20(?P<titled>{_CAPITAL}(?:\x20{_CAPITAL})?)"
+    rf"|(?<!\w)(?=[{_UPPER}])(?P<given>{_NAMES})\x20(?P<family>{_CAPITAL})")
 #: What every text with an entity has: a filter for Spark, no more.
-HINT = rf"[0-9@]|(^|\P{{L}})({_TITLES})\.? \p{{Lu}}|(^|\P{{L}})({_NAMES}) \p{{Lu}}"
+HINT = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_TITLES}|MS)\.?|{_NAMES}) [\p{{Lu}}\p{{Lt}}]"
+_MENTION = re.compile(rf"(?<!\w)(?=[{_UPPER}]){_CAPITAL}")
+_POSSESSIVE = re.compile(r"(?:['’][sS]?)+\Z")
 
 
 def luhn(digits: str) -> int:
@@ -89,34 +133,84 @@ def iban_rest(value: str) -> int:
     return int("".join(str(int(c, 36)) for c in moved)) % 97
 
 
+def iban_end(m: re.Match) -> int | None:
+    """Where the IBAN at the start of an IBAN-like match ends: at its country's
+    length if that is valid, else at the longest valid end."""
+    text, start, ends = m.string, m.start(), []
+    size = 0
+    for at in range(start, m.end()):
+        if text[at] != " ":
+            size += 1
+            after = text[at + 1: at + 2]
+            if size >= 12 and not (after.isascii() and after.isalnum()):
+                ends.append((size == IBAN_LENGTHS.get(text[start: start + 2]), at + 1))
+    return next((end for _, end in sorted(ends, reverse=True) if iban_rest(text[start:end].replace(" ", "")) == 1), None)
+
+
 def find_entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities in order.  Names are split into given
-    names and surnames, so that each is replaced alike wherever it stands."""
-    out = []
-    for m in _PATTERN.finditer(text):
-        kind = m.lastgroup
+    names and surnames, so that each is replaced alike wherever it stands; their
+    bare mentions in the same text are found too.  What a check rejects is
+    searched for other entities."""
+    out, at = [], 0
+    while m := _PATTERN.search(text, at):
+        kind, end = m.lastgroup, m.end()
         if kind in ("titled", "family"):
             out += _names(m)
         elif kind == "iban":
-            if iban_rest(m[0].replace(" ", "")) == 1:
-                out.append((m.start(), m.end(), kind))
-        elif kind == "phone":
-            if 7 <= sum(c.isdigit() for c in m[0]) <= 15:
-                out.append((m.start(), m.end(), kind))
-        else:
-            out.append((m.start(), m.end(), kind))
+            end = iban_end(m)
+        elif kind == "phone" and not 7 <= sum(c.isdigit() for c in m[0]) <= 15:
+            end = None
+        if end is not None and kind not in ("titled", "family"):
+            out.append((m.start(), end, kind))
+        at = m.start() + 1 if end is None else end
+    return _with_mentions(text, out)
+
+
+def _with_mentions(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Adds the bare mentions of the names' parts, before and after the names.
+    Initials and function words (``De``, ``La``) are no mentions."""
+    parts: dict[str, str] = {}
+    for a, b, kind in found:
+        if kind in ("male", "female", "surname") and b - a > 1:
+            parts.setdefault(plain_name(text[a:b]), kind)
+    for word in WORD_BINS:
+        parts.pop(word, None)
+    if not parts:
+        return found
+    out, at = [], 0
+    for span in [*found, (len(text), len(text), "")]:
+        for m in _MENTION.finditer(text, at, span[0]):
+            whole = _POSSESSIVE.sub("", m[0])
+            if plain_name(whole) in parts:
+                out.append((m.start(), m.start() + len(whole), parts[plain_name(whole)]))
+                continue
+            start = m.start()
+            for piece in whole.split("-"):
+                bare = _POSSESSIVE.sub("", piece)
+                if plain_name(bare) in parts:
+                    out.append((start, start + len(bare), parts[plain_name(bare)]))
+                start += len(piece) + 1
+        if span[2]:
+            out.append(span)
+        at = span[1]
     return out
 
 
 def _names(m: re.Match) -> list[tuple[int, int, str]]:
     if m["given"]:
-        return [(*m.span("given"), _GENDER[m["given"].lower()]), (*m.span("family"), "surname")]
+        return [(*m.span("given"), _GENDER[plain_name(m["given"])]), _named(m.start("family"), m["family"], "surname")]
     start, words = m.start("titled"), m["titled"].split(" ")
     if len(words) == 1:
-        return [(start, m.end("titled"), "surname")]
-    first = words[0]
-    kind = _GENDER.get(first.lower()) or ("female" if m["title"] in FEMALE_TITLES else "male" if m["title"] in MALE_TITLES else "surname")
-    return [(start, start + len(first), kind), (start + len(first) + 1, m.end("titled"), "surname")]
+        return [_named(start, words[0], "surname")]
+    first, title = words[0], plain_name(m["title"])
+    kind = _GENDER.get(plain_name(first)) or ("female" if title in _FEMALE else "male" if title in _MALE else "surname")
+    return [_named(start, first, kind), _named(start + len(first) + 1, words[1], "surname")]
+
+
+def _named(start: int, word: str, kind: str) -> tuple[int, int, str]:
+    """The span of a name without its possessive ending."""
+    return start, start + len(_POSSESSIVE.sub("", word)), kind
 
 
 def normal(kind: str, value: str) -> str:
@@ -126,7 +220,7 @@ def normal(kind: str, value: str) -> str:
         return "".join(c for c in value if c.isdigit() or c == "+")
     if kind == "iban":
         return value.replace(" ", "")
-    return value.lower()
+    return plain_name(value) if kind in ("male", "female", "surname") else value.lower()
 
 
 # -- surrogates ---------------------------------------------------------------
@@ -148,7 +242,7 @@ class _Draw:
 
 def script_of(value: str) -> str:
     c = next((c for c in value if c.isalpha()), "a")
-    return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
+    return "cyrillic" if "Ѐ" <= c <= "ӿ" else "armenian" if "Ա" <= c <= "և" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
 
 
 def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = DEFAULT_KEY) -> str:
