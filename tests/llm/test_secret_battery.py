@@ -67,3 +67,28 @@ def test_general_form_spans_and_redaction(spark):
     base, spans = sb.scan_text(a["text"])
     assert sb.redact(a["text"], spans) == "key [random] end [assign]"
     assert sb.scan(df.limit(0)).count() == 0
+
+
+def test_letter_only_and_base32_keys():
+    rng = random.Random(5)
+
+    def share(alphabet, size, n=300):
+        keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(n)]
+        return sum(bool(sb.random_spans(f"some words {k} more words", [])) for k in keys) / n
+
+    assert share(string.ascii_lowercase, 32) > 0.9 and share(string.ascii_uppercase, 40) > 0.9
+    assert share(string.ascii_letters, 32) > 0.9
+    assert share(sb.BASE32, 32) > 0.9 and share(sb.BASE32, 20) > 0.8 and share(sb.BASE32_LOWER, 32) > 0.9
+    plain = ["internationalizationantidisestablishmentarianism", "getElementsByClassNameFromDocumentRoot", "SRV_HTTPS_CONFIG_MANAGER_PATH",
+             "donaudampfschifffahrtsgesellschaft", "epajarjestelmallisyydellansakaan", "/usr/local/lib/python/site-packages",
+             "llanfairpwllgwyngyllgogerych", "ACGTTGCATGCCGATTACGGATCTAGCTAGGATCCA", "abcdefghijklmnopqrstuvwxyz"]
+    assert not any(sb.random_spans(f"text {w} text", []) for w in plain)
+
+
+def test_base_spans_are_cut_out_of_candidates():
+    key, digest = "hJ8sK2mQ9xZ4vB7nL1pW6tR3yE5uC0aD", "0123456789abcdef01234567"
+    text = f"{key}/{digest}+{key[::-1]}"
+    base, spans = sb.scan_text(text)
+    assert [k for _, _, k in base] == ["hex"] and [k for _, _, k in spans] == ["random", "hex", "random"]
+    assert all(b <= c for (_, b, _), (c, _, _) in zip(spans, spans[1:]))
+    assert key[:31] in text[spans[0][0]: spans[0][1]] and key[::-1][1:] in text[spans[2][0]: spans[2][1]]

@@ -2,20 +2,20 @@
 
 Base spans come from three patterns (an assignment to a secret's name, an
 access key, a long hexadecimal run).  Every other candidate, a run of at least
-``least`` characters of an encoding alphabet with a digit in it, is put to
+``least`` characters of an encoding alphabet that is no mere number, is put to
 three tests under the encoding inferred from its characters: chi-squared
 uniformity over the alphabet, runs above and below the alphabet's middle, and
 serial correlation of neighbours.  A random key passes all three; words,
 numbers in sequence and padded or repeated strings fail at least one.  The
-candidates that pass get a p-value for being words or a pattern, which falls
-with length; Benjamini-Hochberg control within the text, weighted by length,
+candidates that pass get a p-value for being words or a pattern, from the changes
+of kind and from the letter pairs, which falls with length; Benjamini-Hochberg control within the text, weighted by length,
 decides which are reported.
 
 All work is row by row in the tasks, without any shuffle.
 
 Cases: a null or empty text has no spans; very long texts are scanned whole;
-spans never overlap within a kind; a method span that overlaps a base span is
-not reported again; repeated rows give equal results; a table without rows
+spans never overlap within a kind; base spans are cut out of the candidates, what
+is left of one is tested by itself; repeated rows give equal results; a table without rows
 gives none; a column with the name of a result column is replaced.
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,16 +40,53 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 # Encoding alphabets, narrowest first.
 HEX_LOWER = "0123456789abcdef"
 HEX_UPPER = "0123456789ABCDEF"
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE32_LOWER = "abcdefghijklmnopqrstuvwxyz234567"
 UPPER_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_DIGITS = "0123456789abcdefghijklmnopqrstuvwxyz"
+LETTERS = UPPER + LOWER
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 BASE64_URL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
-ENCODINGS = (HEX_LOWER, HEX_UPPER, BASE32, UPPER_DIGITS, LOWER_DIGITS, BASE62, BASE64, BASE64_URL)
+ENCODINGS = (HEX_LOWER, HEX_UPPER, LOWER, UPPER, BASE32, BASE32_LOWER, UPPER_DIGITS, LOWER_DIGITS, LETTERS, BASE62, BASE64,
+             BASE64_URL)
 _SETS = tuple(frozenset(a) for a in ENCODINGS)
 _PLACES = tuple({c: k for k, c in enumerate(a)} for a in ENCODINGS)
-_DIGIT = re.compile(r"[0-9]")
+# log2 of how much likelier than by chance a letter (column) follows
+# another (row) in words, in halves from Q = 0; from the words of Python's own
+# modules and the pieces of a public multilingual tokenizer.
+LETTER_PAIRS = """
+JQSQILPJQHNTRTFQFUSUONMLOJ
+TNOMUJKKTPIUMLSNISRNTIHIPJ
+TGOKTJHTRGRRLJVKIQNTQIHGMH
+SMMPWMLIVKHPLMSLHQRNRLKJNG
+RLRTPONJMHJRQULPLUTRKOMQLH
+SJLMTTLIVHHRLLTLJSPQRIJIOH
+RKLKWLPSTHHRNRRLHTRNRKIHLK
+VLKLVKIIUHJNNNUIHQNRQHJHOH
+QOSQROQGHIKRQVTOHPSSHPEMCO
+UMONVMMMQMPMMNUOMMQMUMMMNM
+RLNOWMOLUJLRKQQNKOTPPLPJNK
+TKLPVLJHUFKTKLTMFIQQQMIFSH
+VQJMWKIHTGJMQLTUFJPNQHHFMF
+SJSTTOUJRINMJORLHISUOOHGLH
+MOQRLNOJNGNRSVPREURQRPQKKH
+UILMULJPRFJTJKTRIUPSQHJFOF
+MMMNMMMMNMMOMPNNNPONXMMMMM
+TKOPVLOITENNPPTMFQSRPMKFPH
+QIRLULKRTGNONLRRJKSVRJLHOH
+TIOLVLGSVFGOMKSMETRQPILHQI
+QQQPROPGQGISSUMRFUTTIJGJII
+VJKJXKKJUIIKMKRKIKKKKIKIJI
+VKMOUMJRUJKOKSTLJSRNLKNLMJ
+QNTNTPLOTKKPOKOUKMOVMMLOPL
+POQPSOMMRKKRSSQUKPTSKMOKMM
+TMMMXMMMTLLNONSMLNMOOLNMPP""".split()
+PAIR_MEAN, PAIR_SPREAD = 0.4, 1.6  # of a pair in words: below the usual 1.1, for names, abbreviations and other languages
+LEAST_PAIRS = 10
+_LETTER_RUN = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[A-Z]+")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 
 
@@ -109,22 +147,59 @@ def randomness_tests(value: str, encoding: int) -> tuple[float, float, float]:
     return uniform, runs_p, serial
 
 
-def language_p(value: str, encoding: int) -> float:
-    """p-value of the hypothesis that the value is words, a number or a pattern:
-    small if lower case, upper case and digits take turns far more often than
-    in such text.  One of little variety for its length is a pattern (1.0)."""
-    n = len(value)
+def _kind_shares(alphabet: str) -> list[float]:
+    """Shares of digits, lower and upper case among the alphabet's letters and digits."""
+    kinds = [0 if c.isdigit() else 1 if c.islower() else 2 for c in alphabet if c.isalnum()]
+    return [kinds.count(k) / len(kinds) for k in range(3)]
+
+
+#: Changes of kind from one character to the next: random text of each encoding.
+_RANDOM_CHANGES = tuple(1 - sum(p * p for p in _kind_shares(a)) for a in ENCODINGS)
+
+
+def _binomial_tail(k: int, n: int, p: float) -> float:
+    """P(at least k of n)."""
+    if k <= 0:
+        return 1.0
+    if n > 200:
+        return math.erfc((k - 0.5 - n * p) / math.sqrt(2 * n * p * (1 - p))) / 2
+    return min(1.0, sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k, n + 1)))
+
+
+def changes_p(value: str, encoding: int) -> float:
+    """p-value of the changes between lower case, upper case and digits: words,
+    numbers and names have one in eight places at most where all three kinds are
+    written, and in proportion fewer where the encoding has fewer.  Names in
+    camel case change too: values without a digit are left to the letter pairs."""
     # Marks between words are no change of kind.
     kinds = [0 if c.isdigit() else 1 if c.islower() else 2 for c in value if c.isalnum()]
-    present = len(set(kinds))
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    # Language changes kind rarely: one change in eight places at most.
-    mean, spread = (n - 1) / 8, math.sqrt((n - 1) * 7 / 64)
-    z = (changes - mean) / spread
-    mixed = math.erfc(z / math.sqrt(2)) / 2
-    size = len(ENCODINGS[encoding])
+    if len(set(kinds)) < 2 or 0 not in kinds:
+        return 1.0
+    rate = _RANDOM_CHANGES[encoding] / _RANDOM_CHANGES[ENCODINGS.index(BASE62)] / 8
+    return _binomial_tail(sum(a != b for a, b in zip(kinds, kinds[1:])), len(kinds) - 1, rate)
+
+
+def pairs_p(value: str) -> float:
+    """p-value of the letter pairs: small if they are far less likely in words
+    than those of words are.  Too few pairs tell nothing (1.0)."""
+    total, n = 0.0, 0
+    for m in _LETTER_RUN.finditer(value):
+        places = [ord(c) - 97 for c in m[0].lower()]
+        total += sum(ord(LETTER_PAIRS[a][b]) - 81 for a, b in zip(places, places[1:])) / 2
+        n += len(places) - 1
+    if n < LEAST_PAIRS:
+        return 1.0
+    return math.erfc((PAIR_MEAN - total / n) * math.sqrt(n) / PAIR_SPREAD / math.sqrt(2)) / 2
+
+
+def language_p(value: str, encoding: int) -> float:
+    """p-value of the hypothesis that the value is words, a number or a pattern:
+    small if its kinds of characters change or its letters follow each other as
+    in no such text; twice the smaller of the two tests.  One of little variety
+    for its length is a pattern (1.0)."""
+    n, size = len(value), len(ENCODINGS[encoding])
     variety = len(set(value)) / (size * (1 - (1 - 1 / size) ** n))  # of what random text would have
-    return 1.0 if present < 2 or variety < 0.65 else mixed
+    return 1.0 if variety < 0.65 else min(1.0, 2 * min(changes_p(value, encoding), pairs_p(value)))
 
 
 def discoveries(p_values: list[float], lengths: list[int], rate: float, least: int) -> list[bool]:
@@ -156,26 +231,35 @@ def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     return out
 
 
+def _left_over(text: str, blocks: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The candidates without the blocks, in pieces."""
+    at = 0  # both lists go by place: blocks that end before a candidate are behind
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(blocks) and blocks[at][1] <= start:
+            at += 1
+        k = at
+        while k < len(blocks) and blocks[k][0] < end:
+            if blocks[k][0] > start:
+                yield start, blocks[k][0]
+            start = max(start, blocks[k][1])
+            k += 1
+        if start < end:
+            yield start, end
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], least: int = 20, rate: float = 0.01,
                  alpha: float = 0.001) -> list[tuple[int, int, str]]:
     """(start, end, ``random``) of the candidates that the battery reports."""
     found, p_values = [], []
-    if not _DIGIT.search(text):
-        return found
-    at = 0  # both lists go by place: spans that end before a candidate are behind
-    blocks = merged(taken)
-    for m in _CANDIDATE.finditer(text):
-        while at < len(blocks) and blocks[at][1] <= m.start():
-            at += 1
-        if at < len(blocks) and blocks[at][0] < m.end():
-            continue
-        value = m.group().rstrip("=")
-        if len(value) < least or not any(c.isdigit() for c in value) or value.isdigit():
+    for start, end in _left_over(text, merged(taken)):
+        value = text[start:end].rstrip("=")
+        if len(value) < least or value.isdigit():
             continue
         encoding = infer_encoding(value)
         if encoding is None or min(randomness_tests(value, encoding)) < alpha / 3:
             continue
-        found.append((m.start(), m.end(), "random"))
+        found.append((start, end, "random"))
         p_values.append(language_p(value, encoding))
     keep = discoveries(p_values, [b - a for a, b, _ in found], rate, least)
     return [s for s, k in zip(found, keep, strict=True) if k]
