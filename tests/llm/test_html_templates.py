@@ -75,3 +75,24 @@ def test_classes_group_equal_vectors(spark):
     assert {"s/html/body/nav", "e/html/body/nav", "s/html/body/footer"} <= next(c for c in classes.values() if "s/html" in c)
     assert {frozenset(c) for c in classes.values()} == {
         frozenset(t for r in found for t in [r["token"]] if "/p" not in t), frozenset({"s/html/body/p", "e/html/body/p"})}
+
+
+def test_self_closed_and_unclosed_elements_keep_what_follows():
+    def text(inner):
+        return ht.extract_text(f"<html><body><article><p>one</p>{inner}</article><div>out</div></body></html>", None)
+
+    assert text("<svg width='1' /><p>two</p>") == text("<math/><p>two</p>") == text("<svg><path d=''/></svg><p>two</p>") == "one two"
+    assert text("<svg><path d=''><p>two</p>") == "one two"
+    for name in ("button", "select", "object"):
+        assert text(f"<div><{name}>x<b>y</b></div><p>two</p>") == "one two"
+        assert text(f"<p><{name}>x</p><p>two</p>") == "one two"
+    assert text("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then</p>") == "one if x=2 then"
+    assert text("<button>a<button>b</button><p>two</p>") == "one two"
+    assert text("<p>tw<svg><path/></svg>o</p>") == "one two"
+
+
+def test_titles_as_ids_inside_an_article():
+    page = ("<article><h2 id='related-work'>Related work</h2><section id='social-impact'><p>a</p></section>"
+            "<section id=comments><p>b</p></section><section class='comment-list'><p>c</p></section>"
+            "<div id='share-buttons'>d</div><div class='ad-slot'>e</div></article>")
+    assert ht.extract_text(page, None) == "Related work a"

@@ -19,7 +19,8 @@ character references decoded, white space inside a block one space.
 Hosts of too few pages to deduce a template, and pages that miss their host's
 template, are read with the element rules alone.
 
-Cases: a null or empty page has the empty text; pages without any markup are
+Cases: a null or empty page has the empty text; the text of formulas stays,
+drawings, buttons, selections and objects are furniture; pages without any markup are
 one block; broken markup never fails, unclosed elements end with their parent;
 repeated rows are extracted alike; a null url is a host of its own; a table
 without rows gives none; columns with the name of a result column are replaced.
@@ -39,18 +40,25 @@ from .common import record_batch, text_slices
 
 # HTML elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+FOREIGN = frozenset(("svg", "math"))
+HTML_AGAIN = frozenset("foreignobject desc mtext mi mo mn ms annotation-xml".split())  # HTML within foreign elements
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul
 br""".split())
 CLOSES_P = BLOCKS - {"br"}
 FURNITURE = frozenset("nav header footer aside form head menu dialog".split())
+INLINE_FURNITURE = frozenset("svg object select button annotation annotation-xml".split())
 CONTENT = frozenset(("article", "main"))
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 FURNITURE_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 consent cookie cookies disclaimer footer header masthead menu modal nav navbar navigation newsletter notice notification
 pagination popup promo promoted recommended related replies reply respond share sharing sidebar skip social sponsor
 sponsored subscribe subscription toolbar widget""".split())
+#: Words that leave a furniture word's meaning: ``comment-list``, but not ``related-work``.
+PLAIN_NAMES = frozenset("""area articles bar block box button buttons container content form inner item items links list outer
+posts section signup slot stories thread wrapper""".split())
 LAYOUT_NAMES = frozenset("layout wrapper container page grid open enabled".split())
 DEPTH, PATH_DEPTH = 512, 64  # of nested elements, and of those that tell tokens apart
 
@@ -70,9 +78,14 @@ class Token:
         self.text, self.furniture, self.content = text, furniture, content
 
 
-def _is_furniture(name: str, attributes: str) -> int:
-    """2 if the element, its role or the first word of a class or id says so, 1
-    if another word does (``with-sidebar``: perhaps a wrapper), else 0."""
+def _is_furniture(name: str, attributes: str, article: bool = False) -> int:
+    """3 for what stands in a line (buttons, drawings), 2 if the element, its role or the first word of a class or id says so, 1
+    if another word does (``with-sidebar``: perhaps a wrapper), else 0.  Inside
+    an article ids are mostly titles (``related-work``): there an id, or a class
+    of a heading or section, must say so in all its words, and a heading's id
+    says nothing."""
+    if name in INLINE_FURNITURE:
+        return 3
     if name in FURNITURE:
         return 2
     if not attributes or name in ("html", "body", "article", "main"):
@@ -83,8 +96,13 @@ def _is_furniture(name: str, attributes: str) -> int:
         if key == "role" and value in FURNITURE_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return 2
         if key in ("class", "id"):
+            titles = article and (key == "id" or name in HEADINGS or name == "section")
+            if titles and key == "id" and name in HEADINGS:
+                continue
             for words in map(_NAME.findall, value.split()):
                 if any(w in FURNITURE_NAMES for w in words):
+                    if titles and not FURNITURE_NAMES | PLAIN_NAMES >= {*words}:
+                        continue
                     by_name = max(by_name, 2 if words[0] in FURNITURE_NAMES and not LAYOUT_NAMES & {*words} else 1)
     return by_name
 
@@ -95,16 +113,17 @@ def tokens(page: str) -> list[Token]:
     out: list[Token] = []
     open_: list[tuple[str, int, bool, str]] = []  # name, in furniture, in an article, path
     path = ""
-    at, n = 0, len(page)
+    at, n, foreign = 0, len(page), 0
 
     def state():
         return open_[-1][1:3] if open_ else (0, False)
 
     def close_to(k: int):
-        nonlocal path
+        nonlocal path, foreign
         while len(open_) > k:
             inside = state()
             name, _, _, path = open_.pop()
+            foreign -= name in FOREIGN
             out.append(Token("end", name, path, "", *inside))
 
     while at < n:
@@ -125,6 +144,14 @@ def tokens(page: str) -> list[Token]:
             elif name == "p":
                 out.append(Token("end", "p", path, "", *state()))
             continue
+        if foreign and name in BLOCKS:  # HTML ends an open svg or math
+            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] in FOREIGN or open_[k][0] in HTML_AGAIN), None)
+            if k is not None and open_[k][0] in FOREIGN:
+                close_to(k)
+        if name in ("select", "button"):  # these do not nest
+            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
+            if k is not None:
+                close_to(k)
         if name in CLOSES_P:  # a block ends an open paragraph
             k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == "p"), None)
             if k is not None and not any(x[0] in CLOSES_P - {"p"} for x in open_[k + 1:]):
@@ -145,13 +172,14 @@ def tokens(page: str) -> list[Token]:
             at = end.end() if end else n
             continue
         inside, article = state()
-        furniture = max(inside, _is_furniture(name, attributes))
+        furniture = max(inside, _is_furniture(name, attributes, article))
         if name in CONTENT and not article and furniture == 1:
             furniture = 0  # a wrapper's class name (``with-sidebar``) says nothing of the article in it
         out.append(Token("start", name, path, "", furniture, article or name in CONTENT))
         if name not in VOID and not attributes.rstrip().endswith("/") and len(open_) < DEPTH:
             open_.append((name, furniture, article or name in CONTENT, path))
             path = f"{path}/{name}" if len(open_) <= PATH_DEPTH else path
+            foreign += name in FOREIGN
     close_to(0)
     return out
 
@@ -260,7 +288,7 @@ def blocks_of(run: list[Token], pending: list[str], out: list[str], article: boo
         if t.kind == "text":
             if not t.furniture and (t.content or not article):
                 pending.append(html_lib.unescape(t.text))
-        elif t.name in BLOCKS or t.furniture:
+        elif t.name in BLOCKS or t.furniture in (1, 2):
             _close(pending, out)
 
 
