@@ -96,3 +96,26 @@ def test_titles_as_ids_inside_an_article():
             "<section id=comments><p>b</p></section><section class='comment-list'><p>c</p></section>"
             "<div id='share-buttons'>d</div><div class='ad-slot'>e</div></article>")
     assert ht.extract_text(page, None) == "Related work a"
+
+
+def test_repeated_text_in_neutral_elements_is_template(spark):
+    def page(k):
+        return (f"<html><body><div class=c7>Start Contact</div><div class=c1><p>story {k}</p><p>{'same ' if k % 2 else 'other '}</p></div>"
+                f"<div class=c7>We use biscuits</div><div class=c7>Buy now</div></body></html>")
+
+    rows = [(f"http://divs/{k}", page(k)) for k in range(8)] + [(f"http://copies/{k}", page(1)) for k in range(8)]
+    rows += [(f"http://few/{k}", page(k)) for k in range(2)]
+    rows += [(f"http://alone/{k}", "<html><body><div>only this</div>" + "<i></i>" * k + "</body></html>") for k in range(4)]
+    got = {r["url"]: r["text"] for r in ht.extract(spark.createDataFrame(rows, "url string, html string")).collect()}
+    for k in range(8):
+        assert got[f"http://divs/{k}"] == f"story {k} {'same' if k % 2 else 'other'}"
+        assert got[f"http://copies/{k}"] == "Start Contact story 1 same We use biscuits Buy now"  # one distinct page tells nothing
+    assert got["http://few/0"] == "Start Contact story 0 other We use biscuits Buy now"
+    assert {got[f"http://alone/{k}"] for k in range(4)} == {"only this"}
+
+
+def test_pieces_out_of_order_stay():
+    assert ht.in_order([]) == [] and ht.in_order([3, 0, 1, 1, 2]) == [1, 2, 3, 4]
+    pieces = [t for t in ht.tokens("<p>c</p><p>a</p><p>x</p><p>b</p>") if t.kind == "text"]
+    a, b, c = (ht._key(pieces[k]) for k in (1, 3, 0))
+    assert ht.extract_text("<p>c</p><p>a</p><p>x</p><p>b</p>", None, {a: (1, 0), b: (1, 1), c: (1, 2)}) == "c x"

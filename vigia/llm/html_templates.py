@@ -1,14 +1,19 @@
 """HTML extraction by equivalence-class template deduction.
 
 Every page is read as tokens: tags, each with its path of open elements, and
-words.  Tag tokens that occur equally often on every page of a host have equal
-occurrence vectors; they form an equivalence class.  The vectors are never
-gathered: a token's vector is summed up in a 128-bit fingerprint (two sums over
-the host's pages of a page hash times the count there), so a host of any size
-needs one grouped sum, aggregated before the shuffle.  A class is valid if
-enough pages have it, its tokens come in one order and nest: a class that lies
-between two tokens of another becomes its child.  The valid classes are the
-host's template; what lies between template tokens are slots.
+pieces of text (what stands between two tags), each with its path.  Tag tokens
+that occur equally often on every page of a host have equal occurrence vectors;
+they form an equivalence class.  The vectors are never gathered: a token's
+vector is summed up in a 128-bit fingerprint (two sums over the host's distinct
+pages of a page hash times the count there), so a host of any size needs grouped
+sums only, aggregated before the shuffle.  A class of tags is valid if enough
+pages have it and its tokens nest.  A piece of text that nearly all distinct
+pages of the host have at the same path belongs to the template too.  The valid
+classes are the host's template; what lies between template tokens are slots.
+
+The template's text is dropped from every page, unless that leaves nothing;
+pieces of one class that stand out of the template's order on a page are text of
+that page and stay.
 
 A slot keeps the element it lies in.  Slots of menus, headers, footers,
 sidebars, notices, adverts, forms and comments (by element, role or class name)
@@ -28,8 +33,11 @@ without rows gives none; columns with the name of a result column are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
+import math
 import re
+from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,8 +193,9 @@ def tokens(page: str) -> list[Token]:
 
 
 def _key(t: Token) -> str:
-    """What a tag token is told apart by: its kind, name and path."""
-    return f"{t.kind[0]}{t.path}/{t.name}"
+    """What a token is told apart by: its kind, path and name, or its text's hash."""
+    name = hashlib.sha256(" ".join(t.text.split()).encode()).hexdigest()[:24] if t.kind == "text" else t.name
+    return f"{t.kind[0]}{t.path}/{name}"
 
 
 # -- templates ----------------------------------------------------------------
@@ -196,8 +205,9 @@ _COUNT = T.StructType([
     T.StructField("page", T.LongType()), T.StructField("n", T.LongType()), T.StructField("place", T.DoubleType())])
 
 
-def _count_tokens(schema: T.StructType, html: str):
-    """Of each page its distinct tag tokens, with their count and mean place."""
+def _count_tokens(schema: T.StructType, html: str, texts: bool):
+    """Of each page its distinct tag tokens, with ``texts`` also its pieces of
+    text that are no furniture anyway, with their count and first place."""
 
     def run(batches):
         for batch in batches:
@@ -207,7 +217,7 @@ def _count_tokens(schema: T.StructType, html: str):
                                             part.column(html).to_pylist(), strict=True):
                     found: dict[str, list[int]] = {}
                     for k, t in enumerate(tokens(text or "")):
-                        if t.kind != "text":
+                        if t.kind != "text" or texts and not t.furniture and t.text.strip():
                             found.setdefault(_key(t), []).append(k)
                     size = max(1, max((p[-1] for p in found.values()), default=1))
                     rows += [(host, key, page, len(p), p[0] / size) for key, p in found.items()]
@@ -216,43 +226,55 @@ def _count_tokens(schema: T.StructType, html: str):
     return run
 
 
-def token_classes(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+def token_classes(pages: DataFrame, html: str = "html", url: str = "url", texts: bool = False, least_pages: int = 1) -> DataFrame:
     """(host, token, class, pages, share): the equivalence class of every tag
-    token of every host, with the share of the host's pages that have it."""
-    rows = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(url, html).alias("page"), F.col(html).alias(html))
-    counts = rows.mapInArrow(_count_tokens(_COUNT, html), _COUNT)
+    token of every host, with the share of the host's distinct pages that have
+    it; with ``texts`` also of the pieces of text on ``least_pages`` pages."""
+    rows = pages.select(host_of(F.col(url)).alias("host"), F.xxhash64(html).alias("page"), F.col(html).alias(html))
+    counts = (rows.mapInArrow(_count_tokens(_COUNT, html, texts), _COUNT)
+              .groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("place").alias("place")))  # copies count once
     big = "decimal(38,0)"
     # Equal vectors have equal sums; different ones almost never, twice over.
     vectors = counts.groupBy("host", "token").agg(
         F.sum(F.xxhash64("page").cast(big) * F.col("n").cast("decimal(9,0)")).alias("a"),
         F.sum(F.xxhash64(F.col("page"), F.lit(7)).cast(big) * F.col("n").cast("decimal(9,0)")).alias("b"),
         F.count(F.lit(1)).alias("pages"), F.avg("place").alias("place"))
-    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    vectors = vectors.filter(~_is_text() | (F.col("pages") >= least_pages))
+    hosts = rows.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     return (vectors.join(hosts, "host")
             .select("host", "token", F.xxhash64("a", "b").alias("class"), "pages", "place",
                     (F.col("pages") / F.col("host_pages")).alias("share"), "host_pages"))
 
 
-def templates(pages: DataFrame, html: str = "html", url: str = "url", least_share: float = 0.5, least_pages: int = 3,
-              least_tokens: int = 2) -> DataFrame:
-    """(host, template): the tag tokens of a host's valid classes in order.
+def _is_text() -> Column:
+    return F.col("token").startswith("t")
+
 
-    Valid: on ``least_share`` of at least ``least_pages`` pages, with at least
-    ``least_tokens`` tokens.  Classes nest by their paths: a class counts if the
-    elements that its tokens lie in belong to valid classes too."""
-    found = reliable_checkpoint(token_classes(pages, html, url), "token-classes")  # read twice below
-    sizes = found.groupBy("host", "class").agg(F.count(F.lit(1)).alias("tokens"))
-    valid = (found.join(sizes, ["host", "class"])
-             .filter((F.col("share") >= least_share) & (F.col("host_pages") >= least_pages) & (F.col("tokens") >= least_tokens)))
-    # A template has as many tokens as pages have paths, whatever the host's size.
-    return (valid.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("t"))
-            .select("host", F.col("t.token").alias("template")))
+def templates(pages: DataFrame, html: str = "html", url: str = "url", least_share: float = 0.5, least_pages: int = 3,
+              least_tokens: int = 2, text_share: float = 0.9) -> DataFrame:
+    """(host, template, classes): the tokens of a host's valid classes in order,
+    with their classes.
+
+    Valid: on ``least_share`` of at least ``least_pages`` distinct pages, with at
+    least ``least_tokens`` tag tokens; a piece of text on ``text_share`` of them.
+    Classes nest by their paths: a class counts if the elements that its tokens
+    lie in belong to valid classes too."""
+    every = token_classes(pages, html, url, True, math.ceil(least_pages * text_share)).filter(
+        F.col("share") >= F.when(_is_text(), text_share).otherwise(least_share))
+    found = reliable_checkpoint(every.filter(F.col("host_pages") >= least_pages), "token-classes")  # read twice below
+    tags = found.filter(~_is_text())
+    sizes = tags.groupBy("host", "class").agg(F.count(F.lit(1)).alias("tokens"))
+    valid = tags.join(sizes, ["host", "class"]).filter(F.col("tokens") >= least_tokens).select(tags.columns)
+    # A template has as many tokens as pages have paths and repeated pieces, whatever the host's size.
+    return (valid.unionByName(found.filter(_is_text())).groupBy("host")
+            .agg(F.sort_array(F.collect_list(F.struct("place", "token", "class"))).alias("t"))
+            .select("host", F.col("t.token").alias("template"), F.col("t.class").alias("classes")))
 
 
 def nested(template: list[str]) -> set[str]:
     """Tokens of the classes that nest: both tags of an element, in a parent
     that is in the template itself."""
-    keys = set(template)
+    keys = {k for k in template if k[0] != "t"}
     out = set()
     for key in sorted(keys, key=len):
         parent = key[1:].rpartition("/")[0]
@@ -300,8 +322,38 @@ def _close(pending: list[str], out: list[str]) -> None:
         pending.clear()
 
 
-def extract_text(page: str | None, template: set[str] | None) -> str:
-    """The article of a page.  Slots outside the template's article elements
+def in_order(ranks: list[int]) -> list[int]:
+    """Places of a longest run of the ranks that never falls."""
+    ends: list[int] = []  # ranks that end the best run of each length
+    last: list[int] = []
+    before = []
+    for k, rank in enumerate(ranks):
+        at = bisect_right(ends, rank)
+        before.append(last[at - 1] if at else -1)
+        ends[at: at + 1], last[at: at + 1] = [rank], [k]
+    out, k = [], last[-1] if last else -1
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return out[::-1]
+
+
+def drop_texts(found: list[Token], texts: dict[str, tuple[int, int]]) -> None:
+    """Empties the pieces that are the template's: of each class those in its order."""
+    classes: dict[int, list[tuple[int, Token]]] = {}
+    for t in found:
+        if t.kind == "text" and not t.furniture and t.text.strip():
+            known = texts.get(_key(t))
+            if known is not None:
+                classes.setdefault(known[0], []).append((known[1], t))
+    for pieces in classes.values():
+        for k in in_order([rank for rank, _ in pieces]):
+            pieces[k][1].text = ""
+
+
+def extract_text(page: str | None, template: set[str] | None, texts: dict[str, tuple[int, int]] | None = None) -> str:
+    """The article of a page without the template's ``texts`` (class and rank by
+    token), unless nothing else is there.  Slots outside the template's article elements
     are furniture; without a template, or without an article in the page, the
     element rules alone decide."""
     if not page:
@@ -309,6 +361,8 @@ def extract_text(page: str | None, template: set[str] | None) -> str:
     parts = slots(page, template or set())
     has_slots = any(inside for _, inside in parts)
     has_article = has_slots or any(t.content and t.kind == "text" and not t.furniture for run, _ in parts for t in run)
+    if texts:
+        drop_texts([t for run, _ in parts for t in run], texts)
     pending: list[str] = []
     out: list[str] = []
     for run, inside in parts:
@@ -317,6 +371,8 @@ def extract_text(page: str | None, template: set[str] | None) -> str:
             continue
         blocks_of(run, pending, out, has_article)
     _close(pending, out)
+    if texts and not out:
+        return extract_text(page, template)
     return " ".join(out)
 
 
@@ -331,26 +387,27 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keep_html: b
     The templates (a few hundred tokens a host) are written first, so that the
     join to the pages by host knows their size: it is a broadcast below Spark's
     bound, else a shuffle whose large hosts adaptive execution splits."""
-    pages = pages.drop(*(c for c in ("text", "n_chars", "_template", "_host") if c != html))
+    pages = pages.drop(*(c for c in ("text", "n_chars", "_template", "_classes", "_host") if c != html))
     known = reliable_checkpoint(templates(pages, html, url, **options), "templates")
-    known = known.withColumnRenamed("host", "_host").withColumnRenamed("template", "_template")
+    known = known.withColumnRenamed("host", "_host").withColumnsRenamed({"template": "_template", "classes": "_classes"})
     rows = pages.withColumn("_host", host_of(F.col(url))).join(known, "_host", "left").drop("_host")
     kept = [f for f in pages.schema.fields if keep_html or f.name != html]
     schema = T.StructType([*kept, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches):
-        seen: dict[str, set[str]] = {}
+        seen: dict[tuple, tuple[set[str], dict[str, tuple[int, int]]]] = {}
         for batch in batches:
             for part in text_slices(batch, html, 1 << 20):
                 texts = []
-                for page, template in zip(part.column(html).to_pylist(), part.column("_template"), strict=True):
-                    template = template.as_py() or []
-                    mark = "\n".join(template)
+                for page, template, classes in zip(part.column(html).to_pylist(), part.column("_template"), part.column("_classes"),
+                                                   strict=True):
+                    mark = tuple(template.as_py() or []), tuple(classes.as_py() or [])
                     if mark not in seen:
                         if len(seen) > 1000:
                             seen.clear()
-                        seen[mark] = nested(template)
-                    texts.append(extract_text(page, seen[mark]))
+                        seen[mark] = nested(list(mark[0])), {
+                            t: (c, k) for k, (t, c) in enumerate(zip(*mark, strict=True)) if t[0] == "t"}
+                    texts.append(extract_text(page, *seen[mark]))
                 yield record_batch(schema, [part.column(f.name) for f in kept] + [texts, [len(t) for t in texts]])
 
     return rows.mapInArrow(run, schema)
