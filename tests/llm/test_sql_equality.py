@@ -5,7 +5,7 @@ import pytest
 
 from vigia.llm import queries as q
 
-TABLES = ("documents", "benchmark", "pages", "labels")
+TABLES = ("documents", "benchmark", "pages", "labels", "conversations")
 
 
 def rows_of(df):
@@ -43,6 +43,12 @@ def test_edge_rows_equal_sql(spark, tmpdir_path):
                              "words": [1] * 15, "contamination": ["c"] * 15}), f"{tmpdir_path}/documents.parquet")
     pq.write_table(pa.table({"item_id": pa.array([1, 2, 2, None, 3], pa.int64()),
                              "text": ["K1 k2, k3", texts[10], None, "one two", ""]}), f"{tmpdir_path}/benchmark.parquet")
+    roles = ["user", "assistant", None, "system", "", "tool"]
+    said = ["Hi.", None, "", "cut", " \n", "Hi.", "So?", "Hi.\r\n"]
+    pq.write_table(pa.table({"conv_id": pa.array([None if k % 9 == 8 else k % 9 for k in range(90)], pa.int64()),
+                             "turn": pa.array([None if k % 7 == 6 else k // 9 - 2 for k in range(90)], pa.int64()),
+                             "role": [roles[k * k % 6] for k in range(90)], "text": [said[k * 5 % 8] for k in range(90)],
+                             "audit": ["x"] * 90, "part": [1] * 90}), f"{tmpdir_path}/conversations.parquet")
     for t in ("pages", "labels"):
         pq.write_table(pa.table({"x": [1]}), f"{tmpdir_path}/{t}.parquet")
     for name, sql in q.oracle_sql().items():

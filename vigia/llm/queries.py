@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
-from . import html_templates, pii_surrogates, quality_gbt, quality_rules, secret_battery, sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup
+from . import (conversation_repair, html_templates, lexical_search, pii_surrogates, quality_gbt, quality_rules, secret_battery,
+               sentencepiece_bpe, simhash_variants, sql, substring_dedup, suffix_dedup, toxicity_fm)
 from .decontaminate import mark_contamination
 
 
@@ -78,6 +79,26 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    cut = conversation_repair.blocks(conversation_repair.damage(conversations))
+    walked = conversation_repair.walk(cut)
+    found = conversation_repair.report(conversations, cut, walked)
+    return conversation_repair.with_digests(found, conversation_repair.repaired(cut, walked))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    machine = toxicity_fm.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return (toxicity_fm.score(docs, machine, keep_text=False)
+            .select("doc_id", toxicity_fm.held_out().alias("held_out"), "score", "predicted"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 read_table(spark, sf_dir, "benchmark", "item_id", "text"), k=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -90,6 +111,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_suffix_array_dedup": op9_suffix_array_dedup,
         "op10_simhash_near_dedup": op10_simhash_near_dedup,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_toxicity": op12_toxicity,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
@@ -98,4 +122,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": sql.quality_rules_sql(),
         "op6_substring_dedup": sql.SUBSTRING_DEDUP,
         "op8_benchmark_decontamination": sql.DECONTAMINATION,
+        "op11_conversation_repair": sql.CONVERSATION_REPAIR,
+        "op13_lexical_search": sql.LEXICAL_SEARCH,
     }
