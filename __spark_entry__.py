@@ -21,13 +21,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import queries as oq  # noqa: E402
 from oracle.cdc import AUDIT_CUTOFF, CDC_ORACLE  # noqa: E402
 from oracle.etl import ETL_ORACLE  # noqa: E402
+from oracle.changes import CHANGES_ORACLE  # noqa: E402
 from oracle.loaded import LOADED_ORACLE  # noqa: E402
 from oracle.quality import QUALITY_ORACLE  # noqa: E402
 from vigia.operators import quality  # noqa: E402
+from vigia.operators import audit, keys, reshape  # noqa: E402
 from vigia.plans import etl  # noqa: E402
-from vigia.plans import cdc  # noqa: E402
+from vigia.plans import cdc, cube  # noqa: E402
 from vigia.plans import dashboard as dash  # noqa: E402
 from vigia.plans import flat as flat_plan  # noqa: E402
+from vigia.plans import indicator_state as state  # noqa: E402
 from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
 from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
@@ -122,12 +125,138 @@ def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
 def q_audit_notificacao(spark: SparkSession, sf: str) -> DataFrame:
     """U2 on a curated table: notificacao as loaded on AS_OF versus today's
     table after the purge of soft-deleted rows (inserts and deletes)."""
-    from vigia.operators.audit import audit_diff
     t = _tables(spark, sf)
     old = ind.snapshot_as_of(t, oq.AS_OF)["notificacao"]
     new = quality.delete_notifications(
         t, t["notificacao"].filter(F.col("excluido") == F.lit(True)))["notificacao"]
-    return audit_diff(old, new, ["notificacao_id"], "notificacao", with_meta=False)
+    return audit.audit_diff(old, new, ["notificacao_id"], "notificacao", with_meta=False)
+
+
+def _versions(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Two versions of the model: as it stood on AS_OF, with results and
+    classifications still to come, and today's without the soft-deleted rows."""
+    t = _tables(spark, sf)
+    gone = t["notificacao"].filter(F.col("excluido") == F.lit(True))
+    return ind.tables_as_of(t, oq.AS_OF), quality.delete_notifications(t, gone)
+
+
+def _audit_of(name: str, with_changes: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        old, new = _versions(spark, sf)
+        return audit.audit_tables(old, new, [name], with_meta=False, with_changes=with_changes)
+    return run
+
+
+def q_audit_changed_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each set of columns is changed by the updates of the three
+    audited tables."""
+    old, new = _versions(spark, sf)
+    log = audit.audit_tables(old, new, with_meta=False, with_changes=True)
+    return (log.filter("operacao = 'U'").groupBy("tabela_afetada", F.array_join(audit.CHANGED, ",").alias("colunas"))
+            .agg(F.count(F.lit(1)).alias("linhas")))
+
+
+def q_audit_purge(spark: SparkSession, sf: str) -> DataFrame:
+    """U2 + C6: the D rows of the purge, notifications and audited children."""
+    t = _tables(spark, sf)
+    return audit.purge_log(t, t["notificacao"].filter(F.col("excluido") == F.lit(True)), with_meta=False)
+
+
+def q_audit_log_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of the three audited tables appended as one batch and the
+    purge's as another, the second delivered twice; rows of the written log."""
+    old, new = _versions(spark, sf)
+    path = scratch_path(spark, "log")
+    catalog.append_log(audit.audit_tables(old, new, with_meta=False), path, "versoes")
+    for _ in range(2):
+        catalog.append_log(q_audit_purge(spark, sf), path, "expurgo")
+    log = catalog.read_log(spark, path)
+    return log.groupBy("tabela_afetada", "operacao", audit.logged_key().alias("notificacao_id")).agg(F.count(F.lit(1)).alias("linhas"))
+
+
+def q_upsert_by_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """U1 + Q2 by deltas: the daily state of the older version, moved to today's
+    by the change of the notifications that the log names, rolled up by month."""
+    old, new = _versions(spark, sf)
+    held = reliable_checkpoint(state.daily_counts(old), "daily-counts")
+    change = state.delta(old, new, state.change_log(old, new))
+    return state.rollup(reliable_checkpoint(state.apply_delta(held, change), "daily-counts"), monthly=True)
+
+
+def q_indicators_by_period(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 + Q2 for a table of overlapping periods (90 and 365 days from every
+    month of the data), from prefix sums over the daily state."""
+    t = _tables(spark, sf)
+    return state.period_indicators(reliable_checkpoint(state.daily_counts(t), "daily-counts"), state.rolling_periods(t))
+
+
+_CUBE: dict[tuple, DataFrame] = {}
+
+
+def _on_cube(fn) -> Callable[[SparkSession, str], DataFrame]:
+    """A dashboard tab under the filter of oq, from the cube alone."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        key = (id(spark), id(spark.sparkContext), sf)
+        if key not in _CUBE or spark.sparkContext._jsc is None:
+            _CUBE.clear()
+            path = scratch_path(spark, "cube")
+            cube.write_cube(_flat_table(spark, sf), path)
+            _CUBE[key] = spark.read.parquet(path)
+        return fn(_CUBE[key], start=oq.FILTER_START, end=oq.FILTER_END, municipios=oq.FILTER_MUNICIPIOS)
+    return run
+
+
+_REJECTS: dict[tuple, dict] = {}
+
+
+def _faulty_load(spark: SparkSession, sf: str) -> dict:
+    key = (id(spark), id(spark.sparkContext), sf)
+    if key not in _REJECTS or spark.sparkContext._jsc is None:
+        _REJECTS.clear()
+        _REJECTS[key] = etl.etl_stages(spark, raw_notifications(spark, sf, faults=True))
+    return _REJECTS[key]
+
+
+def q_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """C5 before the cast: the raw rows that a load puts aside, with the reasons."""
+    return _faulty_load(spark, sf)["rejected"].select(
+        "notificacao_id", "source_id", F.array_join("motivos", ",").alias("motivos"))
+
+
+def q_symptom_ids_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 over two loads: the dictionary of the file's first half, written, then
+    extended by the second half."""
+    accepted = _etl_run(spark, sf)[0]["accepted"]
+    items = reshape.explode_list(accepted, "notificacao_id", "sintomas", etl.SYMPTOM_SEP, "nome", with_position=True)
+    half = (accepted.agg(F.max("notificacao_id")).first()[0] or 0) // 2
+    order = ["notificacao_id", "pos"]
+    first = reliable_checkpoint(keys.dense_ids_by_first_appearance(
+        items.filter(F.col("notificacao_id") <= half), "nome", order, "sintoma_id"), "symptom-ids")
+    return keys.extend_ids(first, items.filter(F.col("notificacao_id") > half), "nome", order, "sintoma_id")
+
+
+def q_quality_report_kpi_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Q31 on the derived tables: the KPI table and the audit log."""
+    t = _tables(spark, sf)
+    old, new = _versions(spark, sf)
+    return quality.quality_report({
+        "municipio": t["municipio"], "indicadores_regionais": ind.regional_indicators(t, monthly=True, with_timestamp=False),
+        "log_alteracoes": audit.audit_tables(old, new, ["notificacao", "dados_clinicos"], with_meta=False)})
+
+
+def q_view_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """The analytic view read by its name in SQL."""
+    views.register_analytic_views(_tables(spark, sf))
+    return spark.sql("SELECT * FROM vw_casos_por_municipio")
+
+
+def _ranked(order: list, source: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: keys.with_rank(source(spark, sf), order)
+
+
+def q_notification_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Notifications whose flags were not provided get the declared defaults."""
+    return quality.with_defaults(_tables(spark, sf)["notificacao"].drop("excluido", "validado"), "notificacao")
 
 
 def q_audit_snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,8 +315,7 @@ def q_upsert_indicators(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf)
     stale = ind.regional_indicators(ind.snapshot_as_of(t, oq.AS_OF), monthly=True,
                                     with_timestamp=False)
-    fresh = (ind.regional_indicators(t, monthly=True, with_timestamp=False)
-             .filter(F.col("periodo_inicio") >= F.lit(oq.RECOMPUTE_START).cast("date")))
+    fresh = ind.regional_indicators(t, oq.RECOMPUTE_START, None, monthly=True, with_timestamp=False)
     return ind.upsert(stale, fresh)
 
 
@@ -204,7 +332,7 @@ def q_flat_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The feature table exported as CSV and read back."""
     flat = _flat(spark, sf)
     path = scratch_path(spark, "flat-csv")
-    export_csv(flat, path)
+    export_csv(catalog.require_non_empty(flat), path)
     return read_flat(spark, path, flat.schema)
 
 
@@ -281,6 +409,41 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "audit_events_log": q_audit_events_log,
         "audit_stream_events": q_audit_stream_events,
         "audit_stream_batches": q_audit_stream_batches,
+        "audit_testes": _audit_of("teste_laboratorial"),
+        "audit_clinicos": _audit_of("dados_clinicos"),
+        "audit_purge": q_audit_purge,
+        "audit_changed_columns": q_audit_changed_columns,
+        "audit_log_batches": q_audit_log_batches,
+        # indicators kept by deltas, and for any periods
+        "upsert_by_delta": q_upsert_by_delta,
+        "indicators_by_period": q_indicators_by_period,
+        # dashboard tabs under a filter, from the cube
+        "cube_headline": _on_cube(cube.headline),
+        "cube_monthly_rate": _on_cube(cube.monthly_rate),
+        "cube_top_municipalities": _on_cube(lambda c, **f: cube.top_municipalities(c, 10, **f)),
+        "cube_dist_sex": _on_cube(lambda c, **f: cube.distribution(c, "sexo", **f)),
+        "cube_dist_age_band": _on_cube(lambda c, **f: cube.distribution(c, "faixa_etaria", **f)),
+        "cube_dist_race": _on_cube(lambda c, **f: cube.distribution(c, "raca_cor", 10, **f)),
+        "cube_vaccine_status_counts": _on_cube(cube.vaccine_status_counts),
+        "cube_vaccine_status_x_target": _on_cube(cube.vaccine_status_x_target),
+        "cube_rate_by_vaccine_status": _on_cube(cube.rate_by_vaccine_status),
+        "cube_top_vaccine_makers": _on_cube(lambda c, **f: cube.distribution(c, "fabricantes_vacina", 10, **f)),
+        "cube_test_metrics": _on_cube(cube.test_metrics),
+        "cube_top_test_types": _on_cube(lambda c, **f: cube.distribution(c, "tipos_testes_lista", 10, name="tipo_teste", **f)),
+        "cube_dist_test_result": _on_cube(lambda c, **f: cube.distribution(c, "resultado_teste_agregado", **f)),
+        # ordered outputs with their rank
+        "frequent_symptoms_ordered": _ranked(
+            [F.desc("frequencia_em_confirmados"), "sintoma"], lambda s, sf: views.frequent_symptoms(_tables(s, sf))),
+        "facet_municipalities_ordered": _ranked(["municipio_nome"], _on_flat(dash.facet_municipalities)),
+        "vaccine_status_x_target_ordered": _ranked(["status_vacinal", "target_confirmado"], _on_flat(dash.vaccine_status_x_target)),
+        # constraints of derived tables, defaults, views by name
+        "quality_report_kpi_log": q_quality_report_kpi_log,
+        "notification_defaults": q_notification_defaults,
+        "cases_by_municipality_view": q_view_by_name,
+        # rejected rows and dictionaries of a load
+        "load_rejects": q_load_rejects,
+        "load_balance": lambda s, sf: etl.load_balance(_faulty_load(s, sf)),
+        "symptom_ids_two_loads": q_symptom_ids_two_loads,
         # raw-file loader (Q1)
         "etl_name_map": q_etl_name_map,
         "etl_municipio": _etl_table("municipio"),
@@ -305,4 +468,5 @@ def oracle_sql() -> dict[str, str]:
     llm = llm_queries.oracle_sql() if llm_queries else {}
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
         llm["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return {**llm, **oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE, **LOADED_ORACLE}
+    return {**llm, **oq.ORACLE, **ETL_ORACLE, **QUALITY_ORACLE, **CDC_ORACLE, **LOADED_ORACLE,
+            **CHANGES_ORACLE}

@@ -45,3 +45,22 @@ def dense_ids_by_first_appearance(items: DataFrame, name_col: str, order: list[s
              .agg(F.min(F.struct(*[F.col(o) for o in order])).alias("_appear")))
     ranked = with_file_order_id(first.orderBy("_appear"), id_col, start=start)
     return ranked.select(F.col(id_col).cast("int").alias(id_col), name_col)
+
+
+def extend_ids(known: DataFrame, items: DataFrame, name_col: str, order: list[str], id_col: str) -> DataFrame:
+    """K1 over several loads: the dictionary ``known`` (id_col, name_col) with the
+    names that a later load brings.  Given ids stay; new names are numbered from
+    the largest id on, by first appearance.  Loading files one after the other
+    gives the ids that one load of all of them would give."""
+    top = known.agg(F.max(id_col)).first()[0] or 0  # one number
+    names = known.select(F.col(name_col).alias("_known")).distinct()
+    fresh = items.join(names, F.col(name_col) == F.col("_known"), "left_anti")
+    new = dense_ids_by_first_appearance(fresh, name_col, order, id_col, start=top + 1)
+    return known.select(id_col, name_col).unionByName(new.select(id_col, name_col))
+
+
+def with_rank(df: DataFrame, order: list, name: str = "ordem") -> DataFrame:
+    """The rows with their place 1, 2, ... in an order that tells all rows apart:
+    a distributed sort, numbered by counts and offsets of its partitions."""
+    from ..sources.raw import with_file_order_id
+    return with_file_order_id(df.orderBy(*order), name)

@@ -34,7 +34,13 @@ VARCHAR_LIMITS = {
     "teste_laboratorial": {"tipo_teste": 150, "fabricante_teste": 255, "resultado_teste": 150,
                            "estado_teste": 100},
     "vacina_aplicada": {"laboratorio": 200, "lote": 100},
+    "condicao": {"nome": 200},
+    "log_alteracoes": {"tabela_afetada": 50, "operacao": 1, "usuario_db": 50},
 }
+DECIMAL_COLUMNS = {"indicadores_regionais": {  # (digits, of them after the point)
+    "taxa_positividade": (5, 2), "tempo_medio_sintomas_teste": (5, 1),
+    "perc_prof_saude_infectados": (5, 2), "media_doses_vacina": (4, 2)}}
+NOT_NULL = {"log_alteracoes": ["tabela_afetada", "operacao"]}
 SMALLINT_COLUMNS = {"dados_demograficos": ["idade"], "teste_laboratorial": ["numero_sequencial"],
                     "vacina_aplicada": ["dose_numero"]}
 SMALLINT_RANGE = (-32768, 32767)
@@ -43,8 +49,10 @@ PRIMARY_KEYS = {
     "dados_demograficos": ["notificacao_id"], "dados_clinicos": ["notificacao_id"],
     "dados_epidemiologicos": ["notificacao_id"], "dados_gestao_estrategia": ["notificacao_id"],
     "sintoma": ["sintoma_id"], "notificacao_sintoma": ["notificacao_id", "sintoma_id"],
+    "condicao": ["condicao_id"], "notificacao_condicao": ["notificacao_id", "condicao_id"],
 }
-UNIQUE_KEYS = {"sintoma": ["nome"]}
+UNIQUE_KEYS = {"sintoma": ["nome"], "condicao": ["nome"],
+               "indicadores_regionais": ["municipio_ibge", "periodo_inicio", "periodo_fim"]}
 FOREIGN_KEYS = [  # (child, fk columns, parent, pk columns)
     ("municipio", ["estado_ibge"], "estado", ["estado_ibge"]),
     ("notificacao", ["municipio_notificacao_ibge"], "municipio", ["municipio_ibge"]),
@@ -57,6 +65,9 @@ FOREIGN_KEYS = [  # (child, fk columns, parent, pk columns)
     ("dados_gestao_estrategia", ["notificacao_id"], "notificacao", ["notificacao_id"]),
     ("notificacao_sintoma", ["notificacao_id"], "notificacao", ["notificacao_id"]),
     ("notificacao_sintoma", ["sintoma_id"], "sintoma", ["sintoma_id"]),
+    ("notificacao_condicao", ["notificacao_id"], "notificacao", ["notificacao_id"]),
+    ("notificacao_condicao", ["condicao_id"], "condicao", ["condicao_id"]),
+    ("indicadores_regionais", ["municipio_ibge"], "municipio", ["municipio_ibge"]),
     ("teste_laboratorial", ["notificacao_id"], "notificacao", ["notificacao_id"]),
     ("vacina_aplicada", ["notificacao_id"], "notificacao", ["notificacao_id"]),
 ]
@@ -116,7 +127,10 @@ def _bound_checks(table: str, df: DataFrame) -> list[tuple[str, str, Column]]:
     for c in SMALLINT_COLUMNS.get(table, []):
         if c in df.columns:
             checks.append(("faixa_smallint", c, F.count_if((F.col(c) < lo) | (F.col(c) > hi))))
-    for c in PRIMARY_KEYS.get(table, []):
+    for c, (digits, after) in DECIMAL_COLUMNS.get(table, {}).items():
+        if c in df.columns:
+            checks.append(("faixa_decimal", c, F.count_if(F.abs(F.round(c, after)) >= 10 ** (digits - after))))
+    for c in [*PRIMARY_KEYS.get(table, []), *NOT_NULL.get(table, [])]:
         if c in df.columns:
             checks.append(("nao_nulo", c, F.count_if(F.col(c).isNull())))
     return checks
@@ -133,7 +147,7 @@ def dq_bounds(table: str, df: DataFrame, dims: dict[str, DataFrame] | None = Non
     checks = _bound_checks(table, df)
     j = df
     for i, (child, fk, parent, pk) in enumerate(FOREIGN_KEYS):
-        if child != table or not dims or parent not in dims:
+        if child != table or not dims or parent not in dims or not set(fk) <= set(df.columns):
             continue
         keys = (dims[parent].select(*[F.col(c).alias(f"_fk{i}_{c}") for c in pk]).distinct()
                 .withColumn(f"_fk{i}_hit", F.lit(True)))
@@ -188,7 +202,7 @@ def notification_children_checks(tables: dict[str, DataFrame], parent: str = "no
     return fk_rows.unionByName(pk_rows).unionByName(parent_pk)
 
 
-DIMENSIONS = ["estado", "municipio", "sintoma"]
+DIMENSIONS = ["estado", "municipio", "sintoma", "condicao"]
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:

@@ -8,20 +8,22 @@ Steps, all as DataFrame transformations over the whole file:
    municipalities (W1, J5) and repair missing / invalid codes (J4);
 4. municipality dimension from both columns, first occurrence per code,
    residence before notification (E1, W1), valid codes of known states only;
-5. notifications whose municipality is in the dimension (J1); the same row
-   filter restricts every satellite (J2);
+5. notifications whose municipality is in the dimension (J1) and whose values
+   fit their columns; the same row filter restricts every satellite (J2), and
+   the other rows are kept with the reasons against them (``rejects``);
 6. satellites, symptom vocabulary with ids by first appearance (K1) and the
    notification-symptom bridge (R3, J6, W2), test and dose slots (R1, R2).
 
 Materialised (a table written to the shared checkpoint folder): the
-provisional row positions before numbering, then the small municipality
-dimension and the accepted rows, which ten outputs read.  Row ids must not
-change if a task is re-run after an executor loss.
+provisional row positions before numbering, the place columns, from which the
+recovery map and the municipality dimension are made, the small dimension, and
+the judged rows, which ten outputs read.  Row ids must not change if a task is
+re-run after an executor loss.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import as_int, as_smallint, clean_boolean, clean_code
@@ -33,6 +35,7 @@ from ..operators.keys import dense_ids_by_first_appearance, distinct_pairs, firs
 from ..operators.reshape import explode_list, rename_select, unpivot_doses, unpivot_tests
 from ..session import reliable_checkpoint
 from ..sources.raw import with_file_order_id
+from .rejects import reasons
 
 # --- fixed values: raw date columns and curated column names --------------------
 DATE_COLUMNS = ["dataNotificacao", "dataInicioSintomas", "dataEncerramento",
@@ -98,20 +101,39 @@ def municipality_dim(rec: DataFrame) -> DataFrame:
     return dim.filter(valid_ibge("municipio_ibge") & F.col("estado_ibge").isin(*UF_CODES))
 
 
-def etl_stages(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dict[str, DataFrame]:
+PLACE_COLUMNS = ["notificacao_id", "municipio", "municipioIBGE", "municipioNotificacao", "municipioNotificacaoIBGE"]
+
+
+def etl_stages(spark: SparkSession, raw: DataFrame, stable: bool = False) -> dict:
     """The loader's intermediate frames: numbered/typed rows, recovery map,
-    municipality dimension and the accepted rows (materialised once: ten
-    outputs read them, and the ids in them must not change on a re-run)."""
+    municipality dimension, and the judged rows, written once: the accepted ones
+    (ten outputs read them, and the ids in them must not change on a re-run) and
+    the rejected ones with their reasons (``motivos``).  ``contagem`` holds the
+    numbers of both, observed in the pass that writes them."""
     typed = number_rows(raw, stable=stable)
-    name_map = reliable_checkpoint(recovery_map(typed), "name-map")
-    rec = recover_codes(typed, name_map)
-    municipio = reliable_checkpoint(municipality_dim(rec))
-    valid_ids = municipio.select("municipio_ibge").distinct()
-    not_code = _code_as_int("municipioNotificacaoIBGE")
-    accepted = reliable_checkpoint(
-        rec.withColumn("_mun_not", not_code)
-        .join(valid_ids, F.col("_mun_not") == F.col("municipio_ibge"), "left_semi"))
-    return {"typed": typed, "name_map": name_map, "municipio": municipio, "accepted": accepted}
+    # The map and the dimension need five slim columns: the wide rows are read
+    # once for them and once to be judged.
+    places = reliable_checkpoint(typed.select(*PLACE_COLUMNS), "places")
+    name_map = reliable_checkpoint(recovery_map(places), "name-map")
+    municipio = reliable_checkpoint(municipality_dim(reliable_checkpoint(recover_codes(places, name_map), "recovered-places")))
+    valid_ids = municipio.select(F.col("municipio_ibge").alias("_known_mun")).distinct()
+    rec = recover_codes(typed, name_map).withColumn("_mun_not", _code_as_int("municipioNotificacaoIBGE"))
+    judged = (rec.join(valid_ids, F.col("_mun_not") == F.col("_known_mun"), "left")
+              .withColumn("motivos", reasons(F.col("_known_mun").isNotNull())).drop("_known_mun"))
+    fine = F.size("motivos") == 0
+    seen = Observation("carga")
+    judged = reliable_checkpoint(judged.observe(
+        seen, F.count(F.lit(1)).alias("linhas"), F.count_if(fine).alias("aceitas"), F.count_if(~fine).alias("rejeitadas")), "judged")
+    return {"typed": typed, "name_map": name_map, "municipio": municipio, "accepted": judged.filter(fine).drop("motivos"),
+            "rejected": judged.filter(~fine), "contagem": dict(seen.get)}
+
+
+def load_balance(stages: dict) -> DataFrame:
+    """Rows of a load by what became of them: accepted, and each reason (a row
+    with two reasons counts for both)."""
+    accepted = stages["accepted"].agg(F.lit("aceita").alias("motivo"), F.count(F.lit(1)).alias("linhas"))
+    return accepted.unionByName(
+        stages["rejected"].select(F.explode("motivos").alias("motivo")).groupBy("motivo").agg(F.count(F.lit(1)).alias("linhas")))
 
 
 def etl_normalise(spark: SparkSession, raw: DataFrame, stable: bool = False,
@@ -176,7 +198,12 @@ def etl_normalise(spark: SparkSession, raw: DataFrame, stable: bool = False,
 
 
 def load(spark: SparkSession, raw_path: str, out_base: str) -> dict[str, str]:
-    """The loader end to end: read raw CSV files, normalise, write every table."""
+    """The loader end to end: read raw CSV files, normalise, write every table,
+    and the rejected rows beside them."""
     from ..sources.catalog import write_tables
     from ..sources.raw import read_raw
-    return write_tables(etl_normalise(spark, read_raw(spark, raw_path)), out_base)
+    stages = etl_stages(spark, read_raw(spark, raw_path))
+    out = write_tables(etl_normalise(spark, None, stages=stages), out_base)
+    out["rejeitadas"] = f"{out_base.rstrip('/')}/rejeitadas"
+    stages["rejected"].write.mode("overwrite").parquet(out["rejeitadas"])
+    return out

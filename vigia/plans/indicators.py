@@ -24,6 +24,7 @@ from ..functions.numeric import exact_ratio
 from ..functions.predicates import is_confirmed, is_sim_ci, on_or_after, positive_by_code
 
 KEYS = ["municipio_ibge", "periodo_inicio", "periodo_fim"]
+COUNTS = ["n_testes", "n_positivos", "soma_dias", "n_dias", "n_confirmados", "n_saude", "n_doses", "n_notificacoes"]
 MEASURES = ["taxa_positividade", "tempo_medio_sintomas_teste",
             "perc_prof_saude_infectados", "media_doses_vacina"]
 
@@ -41,11 +42,13 @@ def _in_months(df: DataFrame, inicio, fim) -> DataFrame:
     return df
 
 
-def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
+def _period_notifications(t, inicio, fim, monthly: bool, daily: bool = False) -> DataFrame:
     n = t["notificacao"].filter(F.col("municipio_notificacao_ibge").isNotNull())
     if inicio is not None or fim is not None:
         n = _in_months(n.filter(in_period("data_notificacao", inicio, fim)), inicio, fim)
-    if monthly:
+    if daily:
+        ini = end = F.col("data_notificacao")
+    elif monthly:
         ini = F.trunc("data_notificacao", "month")
         end = F.last_day("data_notificacao")
     else:
@@ -56,8 +59,10 @@ def _period_notifications(t, inicio, fim, monthly: bool) -> DataFrame:
                     ini.alias("periodo_inicio"), end.alias("periodo_fim"))
 
 
-def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bool = False) -> DataFrame:
-    """Integer numerators/denominators of the four indicators per group.
+def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bool = False,
+                     daily: bool = False) -> DataFrame:
+    """Integer numerators/denominators of the four indicators per group: the
+    municipality and the period, or each month, or each day of notification.
 
     Plan shape: the period's notifications take their clinical and demographic
     rows (each table is read once), then their tests, which are reduced to one
@@ -67,7 +72,7 @@ def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bo
     folders of all five.  The result feeds a single aggregation by
     (municipality[, month]): rows that reach the final shuffle are partially
     aggregated per task, so a hot municipality costs one partial row per task."""
-    n = _period_notifications(t, inicio, fim, monthly)
+    n = _period_notifications(t, inicio, fim, monthly, daily)
     clin = _in_months(t["dados_clinicos"], inicio, fim).select(
         "notificacao_id", "data_inicio_sintomas",
         is_confirmed("classificacao_final").alias("_conf"), F.lit(True).alias("_has_clin"))
@@ -119,7 +124,11 @@ def regional_indicators(t: dict[str, DataFrame], inicio=None, fim=None, monthly:
     at once (periodo_inicio/fim = month bounds) instead of one fixed period.
     Rounding is half-up on the exact quotient, as a DECIMAL assignment does.
     """
-    counts = indicator_counts(t, inicio, fim, monthly)
+    return rates(indicator_counts(t, inicio, fim, monthly), with_timestamp)
+
+
+def rates(counts: DataFrame, with_timestamp: bool = False) -> DataFrame:
+    """The four indicators from their counts."""
     zero2, zero1 = F.lit(0).cast("decimal(5,2)"), F.lit(0).cast("decimal(5,1)")
     out = counts.select(
         *KEYS,
@@ -175,6 +184,26 @@ def snapshot_as_of(t: dict[str, DataFrame], as_of) -> dict[str, DataFrame]:
     return out
 
 
+def tables_as_of(t: dict[str, DataFrame], as_of, result_days: int = 10) -> dict[str, DataFrame]:
+    """``snapshot_as_of`` with what comes late: a test's result is known
+    ``result_days`` days after the sample, a case's classification and outcome
+    once one of its results is.  Children exist with their notification."""
+    d = F.lit(as_of).cast("date")
+    out = snapshot_as_of(t, as_of)
+    ids = out["notificacao"].select("notificacao_id")
+    known = F.date_add("data_coleta", result_days) <= d
+    tests = out["teste_laboratorial"].join(ids, "notificacao_id", "left_semi")
+    out["vacina_aplicada"] = out["vacina_aplicada"].join(ids, "notificacao_id", "left_semi")
+    out["teste_laboratorial"] = tests.withColumn("resultado_teste", F.when(known, F.col("resultado_teste")))
+    closed = tests.filter(known).select("notificacao_id").distinct().withColumn("_known", F.lit(True))
+    clinical = t["dados_clinicos"].join(ids, "notificacao_id", "left_semi").join(closed, "notificacao_id", "left")
+    out["dados_clinicos"] = clinical.select(*[
+        F.when(F.col("_known"), F.col(c)).alias(c) if c in ("classificacao_final", "evolucao_caso") else F.col(c)
+        for c in t["dados_clinicos"].columns])
+    out["dados_demograficos"] = t["dados_demograficos"].join(ids, "notificacao_id", "left_semi")
+    return out
+
+
 def calcular_indicadores(spark, t: dict[str, DataFrame], inicio, fim, table_path: str | None = None,
                          out_path: str | None = None) -> DataFrame:
     """The KPI procedure as one call: compute every municipality's indicators

@@ -131,6 +131,23 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Append audit rows, partitioned by affected table."""
-    df.write.mode("append").partitionBy("tabela_afetada").parquet(path)
+LOG_BATCH = "lote_carga"
+
+
+def append_log(df: DataFrame, path: str, batch: str | int | None = None) -> None:
+    """Append audit rows, partitioned by affected table.
+
+    With a ``batch`` (a load's or micro-batch's name) the rows go to the folders
+    of (table, batch) and replace what is there: a batch that is repeated after
+    a failure leaves the log as one run does.  Rows without one are appended."""
+    if batch is None:
+        df.write.mode("append").partitionBy("tabela_afetada").parquet(path)
+        return
+    (df.withColumn(LOG_BATCH, F.lit(str(batch))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("tabela_afetada", LOG_BATCH).parquet(path))
+
+
+def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """The audit log with the columns that were appended."""
+    reader = spark.read.option("recursiveFileLookup", "false")
+    return (reader.schema(schema) if schema is not None else reader).parquet(path).drop(LOG_BATCH)

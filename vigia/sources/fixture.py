@@ -169,7 +169,7 @@ def domain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     # Surrogate symptom ids of the test data are a deterministic function of
     # the name (no global numbering, no join back); the names are what every
     # query reports, and the quality report checks the ids stay unique.
-    sid = F.hash("nome").alias("sintoma_id")
+    sid = F.xxhash64("nome").alias("sintoma_id")
     sintoma = symptom_names.select("nome").distinct().select(sid, "nome")
     notificacao_sintoma = symptom_names.select("notificacao_id", sid)
 
@@ -194,7 +194,7 @@ UNKNOWN_PLACE = "Desconhecido"
 # ------------------------------------------------------------------------------
 
 
-def raw_notifications(spark: SparkSession, sf_dir: str, free_text: bool = False) -> DataFrame:
+def raw_notifications(spark: SparkSession, sf_dir: str, free_text: bool = False, faults: bool = False) -> DataFrame:
     """The notification table as a raw file would carry it: one wide row of
     57 text fields per order, in order-key order (the "file order").  An order
     that has a line number more than once takes as many rows as that number
@@ -203,6 +203,9 @@ def raw_notifications(spark: SparkSession, sf_dir: str, free_text: bool = False)
     ``free_text`` fills the free-text symptoms field: the text of the document
     whose id is the order key, between quotes, with a backslash at its end.
 
+    ``faults`` writes values that their columns cannot hold, by rules on the
+    order key: ages and test counts beyond the range, texts beyond the length.
+
     Values are written the way real exports mix them, by fixed rules on the
     order key: three date layouts, codes as '1.0' floats, blank municipality
     codes to be recovered from the name, an unknown municipality that the
@@ -308,6 +311,12 @@ def raw_notifications(spark: SparkSession, sf_dir: str, free_text: bool = False)
         "origem": F.lit(ORIGIN),
         "sintomas": F.when(key % 8 == 5, F.concat(F.col("_s"), F.lit(","))).otherwise(F.col("_s")),
     }
+    if faults:
+        fields["idade"] = F.when(key % 97 == 5, F.lit("70000")).when(key % 97 == 6, F.lit("-40000.5")).otherwise(fields["idade"])
+        fields["totalTestesRealizados"] = F.when(key % 103 == 11, F.lit("3e9")).otherwise(fields["totalTestesRealizados"])
+        fields["racaCor"] = F.when(key % 101 == 7, F.repeat(fields["racaCor"], 9)).otherwise(fields["racaCor"])
+        fields["sintomas"] = F.when(key % 89 == 3, F.concat_ws(", ", fields["sintomas"], F.repeat(F.lit("x"), 201))).otherwise(fields["sintomas"])
+        fields["codigoEstrategiaCovid"] = F.when(key % 107 == 2, F.repeat(F.lit("9a"), 51)).otherwise(fields["codigoEstrategiaCovid"])
     from .raw import RAW_COLUMNS
     cols = [fields[c].cast("string").alias(c) if c in fields else F.col(c) for c in RAW_COLUMNS]
     return base.orderBy("o_orderkey", "_r").select(*cols)

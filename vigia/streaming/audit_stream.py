@@ -1,12 +1,13 @@
 """Streaming change audit (U3): change-event files in, audit-log rows out.
 
 Structured Streaming reads new event files as they arrive; ``foreachBatch``
-turns each micro-batch into log rows, using a per-key state table (the last
+turns each micro-batch into log rows, using a per-key state (the last
 operation and image of every key) for the old image of a key's first change
-in the batch.  Both outputs are written per batch id with overwrite, so a
-batch replayed after a failure rewrites the same folders (exactly-once
-effect), and the stream's own checkpoint lives in the shared checkpoint
-folder of the cluster.
+in the batch.  The log is appended by batch id and replaces what that id has
+written before; the state is versioned by batch id and rewrites only the
+buckets that the batch touches (``key_state``).  A batch replayed after a
+failure therefore has the effect of one, and the stream's own checkpoint lives
+in the shared checkpoint folder of the cluster.
 """
 
 from __future__ import annotations
@@ -17,17 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.audit import LOG_COLUMNS
 from ..operators.sequence import previous_by_key
 from ..plans import cdc
 from ..session import checkpoint_dir
+from ..sources import catalog
+from ..sources.catalog import append_log
+from .key_state import KeyState
 
 
-def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
-    """Log rows of one micro-batch and the key state after it."""
+def _batch_log(batch: DataFrame, state: DataFrame | None):
+    """Log rows of one micro-batch, and the state rows of its buckets after it
+    (``state``: the rows of these buckets before it)."""
     ev = batch.select(cdc.KEY, *cdc.ORDER, cdc.event_op().alias("_op"),
                       cdc.event_image(batch).alias("_image"), F.lit(1).alias("_grp"))
-    # Only the state of keys present in this batch takes part in the log;
-    # the state of every other key is carried over unchanged.
+    # Only the state of keys present in this batch takes part in the log.
     touched = None if state is None else state.select(*ev.columns).join(
         ev.select(cdc.KEY).distinct(), cdc.KEY, "left_semi")
     rows = ev if touched is None else touched.unionByName(ev)
@@ -39,27 +44,20 @@ def _batch_log(spark: SparkSession, batch: DataFrame, state: DataFrame | None):
         F.when(F.col("_op") != "I", old).alias("dados_antigos"),
         F.when(F.col("_op") != "D", F.col("_image")).alias("dados_novos")))
     # New state: each key's latest row; state rows sort before batch rows.
-    latest = rows.groupBy(cdc.KEY).agg(F.max_by(F.struct(*rows.columns),
-                                                F.struct("_grp", *cdc.ORDER)).alias("_s"))
-    updated = latest.select(*[F.col(f"_s.{c}").alias(c) for c in rows.columns]).withColumn("_grp", F.lit(0))
-    if state is None:
-        return log, updated
-    untouched = state.select(*ev.columns).join(ev.select(cdc.KEY).distinct(), cdc.KEY, "left_anti")
-    return log, untouched.unionByName(updated)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    both = ev if state is None else state.select(*ev.columns).unionByName(ev)
+    latest = both.groupBy(cdc.KEY).agg(F.max_by(F.struct(*ev.columns), F.struct("_grp", *cdc.ORDER)).alias("_s"))
+    updated = latest.select(*[F.col(f"_s.{c}").alias(c) for c in ev.columns]).withColumn("_grp", F.lit(0))
+    return log, updated
 
 
 def audit_stream(spark: SparkSession, source_dir: str, log_path: str, state_path: str | None = None,
                  checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                 glob: str | None = None, available_now: bool = True) -> StreamingQuery:
+                 glob: str | None = None, available_now: bool = True, buckets: int = 64) -> StreamingQuery:
     """Start the audit stream over the event files in ``source_dir``.
 
     ``available_now`` processes what is there and stops (batch-like runs and
-    tests); otherwise it keeps polling.  Returns the StreamingQuery."""
+    tests); otherwise it keeps polling.  ``buckets``: of the key state, fixed by
+    the first batch (some MB of state a bucket).  Returns the StreamingQuery."""
     checkpoint = checkpoint or f"{checkpoint_dir(spark)}/streams/audit-{uuid.uuid4().hex[:8]}/checkpoint"
     # The key state belongs to the stream: a restart from the same checkpoint
     # finds it again.
@@ -75,13 +73,14 @@ def audit_stream(spark: SparkSession, source_dir: str, log_path: str, state_path
         sr = sr.option("pathGlobFilter", glob)
     stream = sr.parquet(source_dir)
 
+    keys = KeyState(spark, state_path, cdc.KEY, buckets)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # A missing or unreadable state fails the batch: old images would be lost.
-        state = spark.read.parquet(f"{state_path}/v={batch_id - 1}") if batch_id > 0 else None
-        log, new_state = _batch_log(spark, batch, state)
-        log.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-        new_state.write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
-        _remove(spark, f"{state_path}/v={batch_id - 2}")  # a replay needs the last version only
+        # A missing or unreadable manifest fails the batch: old images would be lost.
+        touched = keys.touched(batch, batch_id)
+        log, state = _batch_log(batch, keys.read(batch_id - 1, touched) if batch_id > 0 else None)
+        append_log(log, log_path, batch_id)
+        keys.write(state, batch_id, touched)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -89,11 +88,8 @@ def audit_stream(spark: SparkSession, source_dir: str, log_path: str, state_path
 
 
 def read_log(spark: SparkSession, log_path: str, with_meta: bool = False) -> DataFrame:
-    df = spark.read.parquet(log_path)
-    cols = ["tabela_afetada", "operacao", "dados_antigos", "dados_novos"]
-    if with_meta:
-        cols = ["tabela_afetada", "operacao", "usuario_db", "data_hora", "dados_antigos", "dados_novos"]
-    return df.select(*cols)
+    df = catalog.read_log(spark, log_path)
+    return df.select(*[c for c in LOG_COLUMNS if with_meta or c not in ("usuario_db", "data_hora")])
 
 
 def run_in_batches(spark: SparkSession, events: DataFrame, batches: int = 4) -> DataFrame:
