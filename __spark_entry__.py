@@ -25,7 +25,7 @@ from oracle.changes import CHANGES_ORACLE  # noqa: E402
 from oracle.loaded import LOADED_ORACLE  # noqa: E402
 from oracle.quality import QUALITY_ORACLE  # noqa: E402
 from vigia.operators import quality  # noqa: E402
-from vigia.operators import audit, keys, reshape  # noqa: E402
+from vigia.operators import aggregates, audit, keys, reshape  # noqa: E402
 from vigia.plans import etl  # noqa: E402
 from vigia.plans import cdc, cube  # noqa: E402
 from vigia.plans import dashboard as dash  # noqa: E402
@@ -99,13 +99,26 @@ def q_etl_name_map(spark: SparkSession, sf: str) -> DataFrame:
     return _etl_run(spark, sf)[0]["name_map"]
 
 
-def q_etl_csv_clinicos(spark: SparkSession, sf: str) -> DataFrame:
+CSV_TABLES = {
+    "clinicos": "dados_clinicos", "municipio": "municipio", "notificacao": "notificacao", "demograficos": "dados_demograficos",
+    "gestao": "dados_gestao_estrategia", "epidemiologicos": "dados_epidemiologicos", "sintoma": "sintoma",
+    "notificacao_sintoma": "notificacao_sintoma", "testes": "teste_laboratorial", "vacinas": "vacina_aplicada"}
+_CSV: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _csv_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """Q1 from real CSV files: the raw rows, with the documents' whole texts as
     free text (quotes, commas, line ends, backslashes), written as CSV files
-    and loaded through the reader."""
-    path = scratch_path(spark, "raw-csv")
-    write_raw(raw_notifications(spark, sf, free_text=True), path)
-    return etl.etl_normalise(spark, read_raw(spark, path))["dados_clinicos"]
+    and loaded through the reader, once per session and folder."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        key = (id(spark), id(spark.sparkContext), sf)
+        if key not in _CSV or spark.sparkContext._jsc is None:
+            _CSV.clear()
+            path = scratch_path(spark, "raw-csv")
+            write_raw(raw_notifications(spark, sf, free_text=True), path)
+            _CSV[key] = etl.etl_normalise(spark, read_raw(spark, path))
+        return _CSV[key][name]
+    return run
 
 
 def q_purge_excluded(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,6 +257,20 @@ def q_quality_report_kpi_log(spark: SparkSession, sf: str) -> DataFrame:
         "log_alteracoes": audit.audit_tables(old, new, ["notificacao", "dados_clinicos"], with_meta=False)})
 
 
+def q_distinct_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct sources of notifications by year, exactly and from the
+    union of monthly sketches by place; whether the estimate is within three
+    standard errors."""
+    n = _tables(spark, sf)["notificacao"]
+    n = n.select("source_id", "municipio_notificacao_ibge", F.date_format("data_notificacao", "yyyy-MM").alias("mes"))
+    held = reliable_checkpoint(aggregates.distinct_sketches(n, ["municipio_notificacao_ibge", "mes"], "source_id"), "sketches")
+    year = F.substring("mes", 1, 4).alias("ano")
+    estimated = aggregates.distinct_from_sketches(held.select(year, "esboco"), ["ano"])
+    exact = n.groupBy(year).agg(F.count_distinct("source_id").alias("fontes"))
+    near = F.abs(F.col("distintos") - F.col("fontes")) <= 3 * aggregates.SKETCH_ERROR * F.col("fontes")
+    return exact.join(estimated, "ano").select("ano", "fontes", near.alias("dentro_do_limite"))
+
+
 def q_view_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """The analytic view read by its name in SQL."""
     views.register_analytic_views(_tables(spark, sf))
@@ -437,6 +464,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "facet_municipalities_ordered": _ranked(["municipio_nome"], _on_flat(dash.facet_municipalities)),
         "vaccine_status_x_target_ordered": _ranked(["status_vacinal", "target_confirmado"], _on_flat(dash.vaccine_status_x_target)),
         # constraints of derived tables, defaults, views by name
+        "distinct_sources": q_distinct_sources,
         "quality_report_kpi_log": q_quality_report_kpi_log,
         "notification_defaults": q_notification_defaults,
         "cases_by_municipality_view": q_view_by_name,
@@ -456,7 +484,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "etl_notificacao_sintoma": _etl_table("notificacao_sintoma"),
         "etl_testes": _etl_table("teste_laboratorial"),
         "etl_vacinas": _etl_table("vacina_aplicada"),
-        "etl_csv_clinicos": q_etl_csv_clinicos,
+        **{f"etl_csv_{short}": _csv_table(name) for short, name in CSV_TABLES.items()},
         # analytics over the loader's output (raw -> load -> view / KPI)
         "etl_cases_by_municipality": lambda s, sf: views.cases_by_municipality(_etl(s, sf)),
         "etl_regional_indicators_monthly": lambda s, sf: ind.regional_indicators(

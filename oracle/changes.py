@@ -171,6 +171,9 @@ CHANGES_ORACLE = {
     "vaccine_status_x_target_ordered": _in_order(ORACLE["vaccine_status_x_target"], "status_vacinal, target_confirmado"),
     "quality_report_kpi_log": with_ctes(
         LOGS + indicator_ctes("", None, None, True) + [("log", "SELECT * FROM log_n UNION ALL SELECT * FROM log_c")], _kpi_log_report()),
+    "distinct_sources": with_ctes([], """
+        SELECT strftime(data_notificacao, '%Y') AS ano, COUNT(DISTINCT source_id) AS fontes, TRUE AS dentro_do_limite
+        FROM notificacao GROUP BY 1"""),
     "notification_defaults": with_ctes([], "SELECT * REPLACE (FALSE AS excluido, FALSE AS validado) FROM notificacao"),
     "cases_by_municipality_view": CASES_BY_MUNICIPALITY,
     "load_rejects": with_ctes(_judged(), "SELECT * FROM judged WHERE motivos <> ''"),

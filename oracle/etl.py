@@ -248,7 +248,8 @@ _TEXT_CTES = [(name, body.replace(
     "CAST(NULL AS VARCHAR) AS outrosSintomas",
     "(SELECT '\"' || x.text || '\", \\' FROM documents x WHERE x.doc_id = o.o_orderkey) AS outrosSintomas"))
     for name, body in ETL_CTES]
-ETL_ORACLE["etl_csv_clinicos"] = with_ctes(_TEXT_CTES, ETL_BODIES["etl_clinicos"])
+ETL_ORACLE.update({name.replace("etl_", "etl_csv_", 1): with_ctes(_TEXT_CTES, body) for name, body in ETL_BODIES.items()
+                   if name != "etl_name_map"})
 
 
 def _estado_values() -> str:

@@ -99,3 +99,19 @@ def corr_matrix(df: DataFrame, cols: dict[str, str], digits: int | None = None)
             rows.append(f"'{names[i]}', '{names[j]}', r_{a}_{b}")
     stack = f"stack({len(rows)}, {', '.join(rows)}) as (var1, var2, r)"
     return wide.selectExpr(stack)
+
+
+#: Relative standard error of a distinct count from a sketch of 2^14 registers.
+SKETCH_BITS, SKETCH_ERROR = 14, 1.04 / 2 ** 7
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], c: str, name: str = "esboco") -> DataFrame:
+    """A15 at scale: a mergeable distinct-count sketch of a column for each group
+    (fixed size, so a group costs the same whatever its rows)."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(name))
+
+
+def distinct_from_sketches(sketches: DataFrame, keys: list[str], name: str = "esboco", out: str = "distintos") -> DataFrame:
+    """Distinct counts of coarser groups from the sketches of finer ones, without
+    the rows: the union of sketches is the sketch of the union."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg(name)).alias(out))

@@ -2,8 +2,8 @@
 
 A relational store rejects a violating row at insert time; on files the
 constraints become reports computed over whole tables: duplicate keys
-(grouped counts), orphans (anti joins), nulls and length / range bounds (one
-aggregation pass per table with a conditional count per rule).
+(grouped counts), orphans (anti joins), nulls and length / range bounds, and
+all of them together in one report that reads each table once.
 """
 
 from __future__ import annotations
@@ -118,133 +118,89 @@ def dq_orphans(child: DataFrame, parent: DataFrame, fk: list[str], pk: list[str]
 
 
 
-def _bound_checks(table: str, df: DataFrame) -> list[tuple[str, str, Column]]:
-    checks = []
-    for c, n in VARCHAR_LIMITS.get(table, {}).items():
-        if c in df.columns:
-            checks.append(("tamanho", c, F.count_if(F.length(c) > n)))
-    lo, hi = SMALLINT_RANGE
-    for c in SMALLINT_COLUMNS.get(table, []):
-        if c in df.columns:
-            checks.append(("faixa_smallint", c, F.count_if((F.col(c) < lo) | (F.col(c) > hi))))
-    for c, (digits, after) in DECIMAL_COLUMNS.get(table, {}).items():
-        if c in df.columns:
-            checks.append(("faixa_decimal", c, F.count_if(F.abs(F.round(c, after)) >= 10 ** (digits - after))))
-    for c in [*PRIMARY_KEYS.get(table, []), *NOT_NULL.get(table, [])]:
-        if c in df.columns:
-            checks.append(("nao_nulo", c, F.count_if(F.col(c).isNull())))
-    return checks
-
-
-def dq_bounds(table: str, df: DataFrame, dims: dict[str, DataFrame] | None = None) -> DataFrame | None:
-    """C5 (+C4 on key columns, +C2 against dimensions): violation counts of
-    every declared bound of a table in a single pass, one output row per rule.
-
-    References to dimension tables (states, municipalities, symptom names)
-    are checked in the same pass: the table is left-joined to each
-    dimension's distinct keys (small, broadcast by the planner when measured
-    under the threshold), so the table is read once for all its rules."""
-    checks = _bound_checks(table, df)
-    j = df
-    for i, (child, fk, parent, pk) in enumerate(FOREIGN_KEYS):
-        if child != table or not dims or parent not in dims or not set(fk) <= set(df.columns):
-            continue
-        keys = (dims[parent].select(*[F.col(c).alias(f"_fk{i}_{c}") for c in pk]).distinct()
-                .withColumn(f"_fk{i}_hit", F.lit(True)))
-        cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(f"_fk{i}_{b}") for a, b in zip(fk, pk)])
-        j = j.join(keys, cond, "left")
-        present = reduce(lambda a, b: a & b, [F.col(a).isNotNull() for a in fk])
-        checks.append(("chave_estrangeira", ",".join(fk),
-                       F.count_if(present & F.col(f"_fk{i}_hit").isNull())))
+def _bounds(table: str, df: DataFrame) -> list[tuple[str, str, Column]]:
+    """(check, column, violated) of the declared lengths, ranges and NOT NULLs."""
+    has = [c for c in df.columns]
+    low, high = SMALLINT_RANGE
+    out = [("tamanho", c, F.length(c) > n) for c, n in VARCHAR_LIMITS.get(table, {}).items() if c in has]
+    out += [("faixa_smallint", c, (F.col(c) < low) | (F.col(c) > high)) for c in SMALLINT_COLUMNS.get(table, []) if c in has]
+    out += [("faixa_decimal", c, F.abs(F.round(c, after)) >= 10 ** (digits - after))
+            for c, (digits, after) in DECIMAL_COLUMNS.get(table, {}).items() if c in has]
+    out += [("nao_nulo", c, F.col(c).isNull()) for c in [*PRIMARY_KEYS.get(table, []), *NOT_NULL.get(table, [])] if c in has]
+    return out
+
+
+def dq_bounds(table: str, df: DataFrame) -> DataFrame | None:
+    """Violation counts of every declared bound of one table, in one pass."""
+    checks = _bounds(table, df)
     if not checks:
         return None
-    wide = j.agg(*[expr.alias(f"c{i}") for i, (_, _, expr) in enumerate(checks)])
+    wide = df.agg(*[F.count_if(violated).alias(f"c{i}") for i, (_, _, violated) in enumerate(checks)])
     rows = ", ".join(f"'{kind}', '{table}', '{col}', c{i}" for i, (kind, col, _) in enumerate(checks))
     return wide.selectExpr(f"stack({len(checks)}, {rows}) as (verificacao, tabela, colunas, violacoes)")
 
 
-def _row(kind: str, table: str, cols: list[str], count_df: DataFrame) -> DataFrame:
-    return count_df.select(F.lit(kind).alias("verificacao"), F.lit(table).alias("tabela"),
-                           F.lit(",".join(cols)).alias("colunas"), "violacoes")
+def _key(columns: list[str]) -> Column:
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
 
 
-def notification_children_checks(tables: dict[str, DataFrame], parent: str = "notificacao",
-                                 key: str = "notificacao_id") -> DataFrame | None:
-    """C1 + C2 for every child keyed by notificacao_id, in one keyed pass.
+def _present(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
-    Each child's keys are counted per (table, key) first (partial aggregation
-    before the shuffle), the small per-key counts of all children are joined
-    once to the parent's distinct keys, and one aggregation per table yields
-    both the duplicate-key count (where the key is the primary key) and the
-    orphan-row count."""
-    children = [(c, [k for k in PRIMARY_KEYS.get(c, [])] == [key])
-                for c, fk, p, _ in FOREIGN_KEYS if p == parent and fk == [key] and c in tables]
-    if not children or parent not in tables:
-        return None
-    keyed = reduce(lambda a, b: a.unionByName(b), [
-        tables[c].groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .select(F.lit(c).alias("tabela"), F.lit(pk).alias("_pk"), key, "_n")
-        for c, pk in children])
-    parent_keys = tables[parent].groupBy(key).agg(F.count(F.lit(1)).alias("_pn"))
-    parent_pk = _row("chave_primaria", parent, [key], parent_keys.agg(
-        F.count_if(F.col("_pn") > 1).alias("violacoes")))
-    parents = parent_keys.select(key, F.lit(True).alias("_has_parent"))
-    j = keyed.join(parents, key, "left")
-    per_table = j.groupBy("tabela", "_pk").agg(
-        F.count_if(F.col("_n") > 1).alias("_dups"),
-        F.coalesce(F.sum(F.when(F.col(key).isNotNull() & F.col("_has_parent").isNull(), F.col("_n"))),
-                   F.lit(0).cast("bigint")).alias("_orphans"))
-    fk_rows = per_table.select(F.lit("chave_estrangeira").alias("verificacao"), "tabela",
-                               F.lit(key).alias("colunas"), F.col("_orphans").alias("violacoes"))
-    pk_rows = per_table.filter(F.col("_pk")).select(
-        F.lit("chave_primaria").alias("verificacao"), "tabela", F.lit(key).alias("colunas"),
-        F.col("_dups").alias("violacoes"))
-    return fk_rows.unionByName(pk_rows).unionByName(parent_pk)
-
-
-DIMENSIONS = ["estado", "municipio", "sintoma", "condicao"]
+
+BOUND, PARENT = -1, -1
 
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Q31: every declared constraint of the model as a row (check, table,
     columns, violations).
 
-    Passes: one per table for its bounds, nulls and references to dimensions;
-    one keyed pass for the notification key (its uniqueness and the seven
-    children's uniqueness / orphans); a grouped count for the remaining keys
-    (dimension keys, the symptom bridge, the symptom name)."""
-    parts = []
-    done_pk, done_fk = set(), set()
-    combined = notification_children_checks(tables)
-    if combined is not None:
-        parts.append(combined)
-        done_pk.add("notificacao")
-        for c, fk, p, _ in FOREIGN_KEYS:
-            if p == "notificacao" and fk == ["notificacao_id"] and c in tables:
-                done_fk.add((c, tuple(fk)))
-                if PRIMARY_KEYS.get(c) == ["notificacao_id"]:
-                    done_pk.add(c)
-    dims = {d: tables[d] for d in DIMENSIONS if d in tables}
-    for c, fk, p, _ in FOREIGN_KEYS:
-        if p in dims and c in tables:
-            done_fk.add((c, tuple(fk)))
-    for table, keys in PRIMARY_KEYS.items():
-        if table in tables and table not in done_pk:
-            dup = dq_unique(tables[table], keys)
-            parts.append(_row("chave_primaria", table, keys, dup.agg(F.count(F.lit(1)).alias("violacoes"))))
-    for table, keys in UNIQUE_KEYS.items():
-        if table in tables:
-            dup = dq_unique(tables[table], keys, nulls="distinct")
-            parts.append(_row("unico", table, keys, dup.agg(F.count(F.lit(1)).alias("violacoes"))))
+    Each table is read once.  A row gives a record (key domain, side, key) for
+    its primary or unique key, one for each reference that it makes, and one
+    for each bound that it breaks.  The records of all tables are counted
+    together by domain and key, partially where they lie: a key that its own
+    side has more than once is a duplicate, the rows of a reference whose key
+    the parent's side lacks are orphans."""
+    checks: list[tuple[str, str, str]] = []  # (check, table, columns) by number
+    records: dict[str, list[Column]] = {name: [] for name in tables}
+    domains: dict[tuple, int] = {}            # (table, key columns) -> number of its uniqueness check
+
+    def add(kind: str, table: str, columns: list[str]) -> int:
+        checks.append((kind, table, ",".join(columns)))
+        return len(checks) - 1
+
+    def record(domain: int, side: int, key: Column) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), F.lit(side).alias("side"), key.alias("key"))
+
+    for kind, declared in (("chave_primaria", PRIMARY_KEYS), ("unico", UNIQUE_KEYS)):
+        for table, columns in declared.items():
+            if table in tables and set(columns) <= set(tables[table].columns):
+                n = domains[(table, tuple(columns))] = add(kind, table, columns)
+                own = record(n, PARENT, _key(columns))
+                records[table].append(own if kind == "chave_primaria" else F.when(_present(columns), own))
     for child, fk, parent, pk in FOREIGN_KEYS:
-        if child in tables and parent in tables and (child, tuple(fk)) not in done_fk:
-            o = dq_orphans(tables[child], tables[parent], fk, pk)
-            parts.append(_row("chave_estrangeira", child, fk, o.agg(F.count(F.lit(1)).alias("violacoes"))))
+        if child in tables and (parent, tuple(pk)) in domains and set(fk) <= set(tables[child].columns):
+            n = add("chave_estrangeira", child, fk)
+            records[child].append(F.when(_present(fk), record(domains[(parent, tuple(pk))], n, _key(fk))))
     for table, df in tables.items():
-        b = dq_bounds(table, df, dims)
-        if b is not None:
-            parts.append(b)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        for kind, column, violated in _bounds(table, df):
+            n = add(kind, table, [column])
+            records[table].append(F.when(violated, record(BOUND, n, F.lit(None).cast("string"))))
+
+    spark = next(iter(tables.values())).sparkSession
+    parts = [df.select(F.inline(F.array_compact(F.array(*records[t])))) for t, df in tables.items() if records[t]]
+    counted = (reduce(lambda a, b: a.unionByName(b), parts).groupBy("domain", "side", "key").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("domain", "key").agg(
+                   F.sum(F.when((F.col("domain") != BOUND) & (F.col("side") == PARENT), F.col("n"))).alias("own"),
+                   # At most one entry a check that refers to this domain.
+                   F.collect_list(F.when((F.col("domain") == BOUND) | (F.col("side") != PARENT), F.struct("side", "n"))).alias("others")))
+    found = counted.select(F.inline(F.array_compact(F.concat(
+        F.array(F.when(F.col("own") > 1, F.struct(F.col("domain").alias("check"), F.lit(1).cast("long").alias("n")))),
+        F.when(F.col("own").isNull(), F.transform("others", lambda x: F.struct(x["side"].alias("check"), x["n"].alias("n"))))
+         .otherwise(F.array().cast("array<struct<check:int,n:bigint>>"))))))
+    totals = found.groupBy("check").agg(F.sum("n").alias("n"))
+    listed = spark.createDataFrame([(i, *c) for i, c in enumerate(checks)], "check int, verificacao string, tabela string, colunas string")
+    return listed.join(totals, "check", "left").select("verificacao", "tabela", "colunas", F.coalesce("n", F.lit(0)).alias("violacoes"))
 
 
 def delete_notifications(tables: dict[str, DataFrame], ids: DataFrame) -> dict[str, DataFrame]:

@@ -60,13 +60,21 @@ def _header(spark: SparkSession, path: str, sep: str, multiline: bool) -> list[s
     return spark.read.options(header=True, sep=sep, multiLine=multiline, inferSchema=False, **QUOTING).csv(path).columns
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file that a read of ``path`` takes (listing only)."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
 def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
-             multiline: bool = True, with_source: bool = True, malformed: str = "fail") -> DataFrame:
+             multiline: bool = True, with_source: bool = True, malformed: str = "fail",
+             max_file_bytes: int = 2 << 30) -> DataFrame:
     """S1 + S2: header CSV, every column a string, NA tokens -> null.
 
-    With ``multiLine`` a quoted newline stays inside its record, but a file is
-    then read by one task: feed many files (one per day / source) for
-    parallelism.  Columns are matched by header name; ``columns`` (default:
+    With ``multiline`` a quoted newline stays inside its record, but a file is
+    then read by one task: feed many files (one per day / source).  A file of
+    more than ``max_file_bytes`` is refused with the two ways on: cut it into
+    files, or ``multiline=False``, which splits files among tasks and is right
+    where no field holds a line end.  Columns are matched by header name; ``columns`` (default:
     the 57 consumed ones) are selected after the read, missing ones as null.
     ``with_source`` keeps each row's file path and split start (from the
     ``_metadata`` column) so rows can be numbered in (file, line) order.
@@ -78,6 +86,11 @@ def read_raw(spark: SparkSession, path: str, columns=None, sep: str = ",",
     """
     if malformed not in ("fail", "keep"):
         raise ValueError("malformed is 'fail' or 'keep'")
+    if multiline:
+        size = largest_file(spark, path)
+        if size > max_file_bytes:
+            raise ValueError(f"the largest file under {path} has {size} bytes and would be read by one task: cut it into "
+                             f"files of at most {max_file_bytes} bytes, or read with multiline=False if no field holds a line end")
     present = _header(spark, path, sep, multiline)
     schema = string_schema([*present, MALFORMED])
     df = (spark.read.schema(schema).options(
