@@ -1,21 +1,21 @@
 """Quality rules with distribution divergence, DataFrame functions only.
 
 Every text gets base counts (words, symbols, repeated lines and three-word
-windows) and two histograms: of character classes and of common function
-words.  Summed over all documents of a language they give that language's
-references.  A document is kept if the base rules hold and, where it is long
-enough to tell, its Jensen-Shannon distance to the nearest reference is within
-a bound for both histograms.
+windows) and two histograms: of character classes, and of common function words
+with one more bin for all other words.  Summed over all documents of a language
+they are that language's references.  A document is kept if the base rules hold
+and, where it is long enough to tell (characters for the one, words for the
+other), its Jensen-Shannon distance to the reference of its own language is
+within a bound for both histograms.
 
-The histograms are written once to the shared checkpoint folder; the
-references (one row a language, of the fixed languages only) are read back
-into the plan as constants.
+The histograms are written once to the shared checkpoint folder; the references
+(one row a language) are written too and joined by their measured size.
 
 Cases: a null or empty text has no words and fails the base rules; a document
-below the length guards is judged by the base rules alone; a language without
-documents gives no reference, and without any reference nothing is rejected
-for its distance; a null language takes part in no reference but is judged
-like any other; repeated rows are judged alike; a table without rows gives
+below the length guards is judged by the base rules alone, as are a null
+language and, for its words, a language without listed function words; every
+language of the table has a character reference, so text of any script is held
+against its like; repeated rows are judged alike; a table without rows gives
 none; extra columns play no part.
 """
 
@@ -109,60 +109,57 @@ def _codes(words: Column) -> Column:
     return F.array_join(F.transform(few, lambda w: F.element_at(known, F.lower(w))), "")
 
 
-def _shares(hist: Column, least: float = 0.0) -> Column:
-    total = F.aggregate(hist, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(hist, lambda x: F.when(total > least, x / total).otherwise(0.0))
+def _total(hist: str) -> Column:
+    return F.aggregate(hist, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def js_distance(p: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of shares to a reference."""
+def js_distance(hist: Column, total: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of a histogram's shares to
+    reference shares, both arrays of doubles of the same bins."""
     def part(x, y):
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
 
-    terms = F.zip_with(p, F.array(*[F.lit(float(q)) for q in reference]), lambda x, y: part(x, y) + part(y, x))
-    total = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    terms = F.zip_with(F.transform(hist, lambda x: x / total), reference, lambda x, y: part(x, y) + part(y, x))
+    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2, F.lit(0.0)))
 
 
-def references(counts: DataFrame, languages: tuple[str, ...] = tuple(COMMON_WORDS)) -> dict[str, tuple[list, list]]:
-    """Of each language the shares of both histograms over all its documents."""
-    sizes = {"chars": len(CHAR_CLASSES) + 1, "common": len(WORD_BINS)}
-    sums = [F.sum(F.get(c, F.lit(k))).alias(f"{c}_{k}") for c, n in sizes.items() for k in range(n)]
-    out = {}
-    for row in counts.filter(F.col("lang").isin(*languages)).groupBy("lang").agg(*sums).collect():  # a row a language
-        both = [[float(row[f"{c}_{k}"] or 0) for k in range(n)] for c, n in sizes.items()]
-        out[row["lang"]] = tuple([x / max(sum(h), 1.0) for x in h] for h in both)
-    return dict(sorted(out.items()))
+def references(counts: DataFrame) -> DataFrame:
+    """Of each language (column ref_lang) the shares of both histograms over all
+    its documents; no word shares for a language without listed words."""
+    sizes = {"chars": len(CHAR_CLASSES) + 1, "common": len(WORD_BINS) + 1}
+    sums = counts.filter(F.col("lang").isNotNull()).groupBy("lang").agg(
+        *[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(n)]).alias(c) for c, n in sizes.items()])
+    for c in sizes:
+        sums = _barrier(sums, f"{c}_total", _total(c))
 
+    def shares(c: str) -> Column:
+        return F.when(F.col(f"{c}_total") > 0, F.transform(c, lambda x: x / F.col(f"{c}_total")))
 
-def judge(docs: DataFrame, char_limit: float = 0.32, word_limit: float = 0.60, least_chars: int = 200,
-          least_common: int = 30, least_words: int = 50, repeat_percent: int = 50, **columns) -> DataFrame:
+    return sums.select(F.col("lang").alias("ref_lang"), shares("chars").alias("chars_ref"),
+                       F.when(F.col("lang").isin(*COMMON_WORDS), shares("common")).alias("common_ref"))
+
+
+def judge(docs: DataFrame, char_limit: float = 0.32, word_limit: float = 0.33, least_chars: int = 200,
+          least_judged: int = 100, least_words: int = 50, repeat_percent: int = 50, **columns) -> DataFrame:
     """Base counts, ``base_failed``, both distances and ``kept``, a row a document."""
     spaced = base_counts(docs, **columns)
-    # The last character bin held the whole length: make it the rest.
+    # The last bins are the rest: of the characters, of the words.
     rest = F.get("chars", F.lit(len(CHAR_CLASSES))) - F.aggregate(
         F.slice("chars", 1, len(CHAR_CLASSES)), F.lit(0), lambda a, x: a + x)
-    counts = reliable_checkpoint(
-        spaced.withColumn("chars", F.concat(F.slice("chars", 1, len(CHAR_CLASSES)), F.array(rest))), "quality-counts")
-    known = references(counts)
-
-    def nearest(hist: str, which: int) -> Column:
-        refs = [r[which] for r in known.values() if sum(r[which]) > 0]
-        if not refs:
-            return F.lit(None).cast("double")
-        each = [js_distance(F.col(f"{hist}_shares"), r) for r in refs]
-        return each[0] if len(each) == 1 else F.least(*each)
-
-    df = counts
-    for hist in ("chars", "common"):
-        df = _barrier(df, f"{hist}_shares", _shares(F.transform(hist, lambda x: x.cast("double"))))
-    n_common = F.aggregate("common", F.lit(0), lambda a, x: a + x)
-    n_chars = F.aggregate("chars", F.lit(0), lambda a, x: a + x)
+    other = F.col("n_words").cast("int") - F.aggregate("common", F.lit(0), lambda a, x: a + x)
+    spaced = spaced.withColumns({"chars": F.concat(F.slice("chars", 1, len(CHAR_CLASSES)), F.array(rest)),
+                                 "common": F.concat("common", F.array(other))})
+    counts = reliable_checkpoint(spaced, "quality-counts")
+    known = reliable_checkpoint(references(counts), "quality-references")
+    # Few bytes a row but some work: as many tasks as the session's shuffles have.
+    spread = counts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = spread.join(known, F.col("lang") == F.col("ref_lang"), "left")
+    df = _barrier(df, "n_chars", _total("chars"))
+    far = {"char_distance": ("chars", F.col("n_chars"), least_chars), "word_distance": ("common", F.col("n_words"), least_judged)}
     df = df.withColumns({
         "base_failed": (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words")),
-        "char_distance": F.when(n_chars >= least_chars, nearest("chars", 0)),
-        "word_distance": F.when(n_common >= least_common, nearest("common", 1)),
-    })
+        **{name: F.when((total >= least) & F.col(f"{hist}_ref").isNotNull(), js_distance(F.col(hist), total, F.col(f"{hist}_ref")))
+           for name, (hist, total, least) in far.items()}})
     fits = (F.coalesce(F.col("char_distance") <= char_limit, F.lit(True))
             & F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)))
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

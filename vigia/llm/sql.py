@@ -16,8 +16,8 @@ def _class_count(pattern: str) -> str:
     return f"length(t) - length(regexp_replace(t, '{quoted}', '', 'g'))"
 
 
-def quality_rules_sql(char_limit: float = 0.32, word_limit: float = 0.60, least_chars: int = 200,
-                      least_common: int = 30) -> str:
+def quality_rules_sql(char_limit: float = 0.32, word_limit: float = 0.33, least_chars: int = 200,
+                      least_judged: int = 100) -> str:
     classes = ", ".join(_class_count(c) for c in CHAR_CLASSES)
     return f"""
 WITH d AS MATERIALIZED (
@@ -38,27 +38,27 @@ chars AS (
   SELECT r, lang, k, c::DOUBLE AS c FROM (
     SELECT r, lang, unnest(list_append(counts, n_chars - list_sum(counts))) AS c,
            unnest(range({len(CHAR_CLASSES) + 1})) AS k FROM base)),
-common AS (
+listed AS (
   SELECT r, lang, x AS k, count(*)::DOUBLE AS c FROM (SELECT r, lang, lower(unnest(w)) AS x FROM d)
   WHERE x IN ({_quoted(WORD_BINS)}) GROUP BY ALL),
+common AS (
+  SELECT * FROM listed UNION ALL
+  SELECT r, lang, ' other' AS k, n_words - coalesce((SELECT sum(l.c) FROM listed l WHERE l.r = base.r), 0) AS c FROM base),
 bins AS (
-  SELECT 'chars' AS h, r, lang, k::VARCHAR AS k, c FROM chars UNION ALL SELECT 'common', r, lang, k, c FROM common),
-shares AS (SELECT h, r, k, c / sum(c) OVER (PARTITION BY h, r) AS p FROM bins WHERE c > 0),
-totals AS (SELECT h, lang, k, sum(c) AS c FROM bins WHERE lang IN ({_quoted(COMMON_WORDS)}) GROUP BY ALL HAVING sum(c) > 0),
+  SELECT 'chars' AS h, r, lang, k::VARCHAR AS k, c FROM chars
+  UNION ALL SELECT 'common', r, lang, k, c FROM common WHERE lang IN ({_quoted(COMMON_WORDS)})),
+shares AS (SELECT h, r, lang, k, c / sum(c) OVER (PARTITION BY h, r) AS p FROM bins WHERE c > 0),
+totals AS (SELECT h, lang, k, sum(c) AS c FROM bins WHERE lang IS NOT NULL GROUP BY ALL HAVING sum(c) > 0),
 refs AS (SELECT h, lang, k, c / sum(c) OVER (PARTITION BY h, lang) AS q FROM totals),
 -- sum over all bins of q log2(2q/(p+q)) is 1 where p = 0: start from the whole and correct the document's bins
-parts AS (
-  SELECT s.h, s.r, f.lang,
-         sum(s.p * log2(2 * s.p / (s.p + coalesce(q.q, 0)))
-             + CASE WHEN q.q > 0 THEN q.q * log2(2 * q.q / (s.p + q.q)) ELSE 0 END) + 1 - sum(coalesce(q.q, 0)) AS js
-  FROM shares s JOIN (SELECT DISTINCT h, lang FROM refs) f USING (h)
-  LEFT JOIN refs q ON q.h = s.h AND q.lang = f.lang AND q.k = s.k GROUP BY ALL),
-nearest AS (SELECT h, r, sqrt(greatest(min(js) / 2, 0)) AS distance FROM parts GROUP BY ALL),
+distances AS (
+  SELECT h, r, sqrt(greatest((sum(p * log2(2 * p / (p + q)) + q * log2(2 * q / (p + q))) + 1 - sum(q)) / 2, 0)) AS distance
+  FROM shares JOIN refs USING (h, lang, k) GROUP BY ALL),
 judged AS (
   SELECT b.*, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
          CASE WHEN n_chars >= {least_chars} THEN c.distance END AS char_distance,
-         CASE WHEN (SELECT sum(m.c) FROM common m WHERE m.r = b.r) >= {least_common} THEN o.distance END AS word_distance
-  FROM base b LEFT JOIN nearest c ON c.r = b.r AND c.h = 'chars' LEFT JOIN nearest o ON o.r = b.r AND o.h = 'common')
+         CASE WHEN n_words >= {least_judged} THEN o.distance END AS word_distance
+  FROM base b LEFT JOIN distances c ON c.r = b.r AND c.h = 'chars' LEFT JOIN distances o ON o.r = b.r AND o.h = 'common')
 SELECT doc_id, n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(char_distance <= {char_limit}, true) AND coalesce(word_distance <= {word_limit}, true) AS kept
 FROM judged"""
