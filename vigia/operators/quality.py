@@ -141,7 +141,11 @@ def dq_bounds(table: str, df: DataFrame) -> DataFrame | None:
 
 
 def _key(columns: list[str]) -> Column:
-    return F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
+    """A key as one text: of several columns, each with its length before it."""
+    texts = [F.col(c).cast("string") for c in columns]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
 def _present(columns: list[str]) -> Column:
