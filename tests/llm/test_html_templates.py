@@ -119,3 +119,21 @@ def test_pieces_out_of_order_stay():
     pieces = [t for t in ht.tokens("<p>c</p><p>a</p><p>x</p><p>b</p>") if t.kind == "text"]
     a, b, c = (ht._key(pieces[k]) for k in (1, 3, 0))
     assert ht.extract_text("<p>c</p><p>a</p><p>x</p><p>b</p>", None, {a: (1, 0), b: (1, 1), c: (1, 2)}) == "c x"
+
+
+def test_furniture_at_any_depth():
+    for depth in (10, 505, 520, 5000):
+        page = "<div>" * depth + "<nav>MENU TEXT</nav><p>article text</p><aside>ADVERT</aside>" + "</div>" * depth
+        assert ht.extract_text(page, None) == "article text"
+    # Unclosed and stray tags at depth take no longer than their number.
+    assert ht.extract_text("<div>" * 30_000 + "</span></li>" * 30_000 + "<svg><foreignObject>" + "<div>" * 20_000 + "x", None) == ""
+    assert ht.extract_text("<b>" * 20_000 + "<li>x</li>" * 5_000, None).startswith("x x")
+
+
+def test_what_all_articles_say_stays(spark):
+    rows = [(i, f"http://h/{i}", f"<body><div>Same line</div><article><p>Page {'abcdefghijkl'[i] * 9}.</p><p>Conclusion</p></article></body>")
+            for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Page {'abcdefghijkl'[i] * 9}. Conclusion" for i in range(12)}
+    # A page that lies in one form keeps its article.
+    assert ht.extract_text("<form><nav>menu</nav><main><p>text</p></main><input></form>", None) == "text"

@@ -7,9 +7,10 @@ they form an equivalence class.  The vectors are never gathered: a token's
 vector is summed up in a 128-bit fingerprint (two sums over the host's distinct
 pages of a page hash times the count there), so a host of any size needs grouped
 sums only, aggregated before the shuffle.  A class of tags is valid if enough
-pages have it and its tokens nest.  A piece of text that nearly all distinct
-pages of the host have at the same path belongs to the template too.  The valid
-classes are the host's template; what lies between template tokens are slots.
+pages have it and its tokens nest.  A piece of text outside articles that
+nearly all distinct pages of the host have at the same path belongs to the
+template too.  The valid classes are the host's template; what lies between
+template tokens are slots.
 
 The template's text is dropped from every page, unless that leaves nothing;
 pieces of one class that stand out of the template's order on a page are text of
@@ -38,6 +39,7 @@ import html as html_lib
 import math
 import re
 from bisect import bisect_right
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +70,7 @@ sponsored subscribe subscription toolbar widget""".split())
 PLAIN_NAMES = frozenset("""area articles bar block box button buttons container content form inner item items links list outer
 posts section signup slot stories thread wrapper""".split())
 LAYOUT_NAMES = frozenset("layout wrapper container page grid open enabled".split())
-DEPTH, PATH_DEPTH = 512, 64  # of nested elements, and of those that tell tokens apart
+PATH_DEPTH = 64  # elements whose names a path spells out; those below are one hash of theirs
 
 _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<bogus>[!?][^>]*(?:>|\Z))|(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)"
                   r"(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|/[^>]*(?:>|\Z))", re.DOTALL)
@@ -95,7 +97,7 @@ def _is_furniture(name: str, attributes: str, article: bool = False) -> int:
     if name in INLINE_FURNITURE:
         return 3
     if name in FURNITURE:
-        return 2
+        return 1 if name == "form" else 2  # some servers put the whole page, article and all, in a form
     if not attributes or name in ("html", "body", "article", "main"):
         return 0
     by_name = 0
@@ -119,19 +121,21 @@ def tokens(page: str) -> list[Token]:
     """The page's tokens in order.  Raw elements (scripts, styles) are one tag
     token without their content."""
     out: list[Token] = []
-    open_: list[tuple[str, int, bool, str]] = []  # name, in furniture, in an article, path
+    # Name, in furniture, in an article, path; which open element is the nearest drawing, formula or HTML inside one.
+    open_: list[tuple[str, int, bool, str, int]] = []
     path = ""
-    at, n, foreign = 0, len(page), 0
+    at, n = 0, len(page)
+    named: Counter[str] = Counter()  # open elements by name: no search for what is not open
 
     def state():
         return open_[-1][1:3] if open_ else (0, False)
 
     def close_to(k: int):
-        nonlocal path, foreign
+        nonlocal path
         while len(open_) > k:
             inside = state()
-            name, _, _, path = open_.pop()
-            foreign -= name in FOREIGN
+            name, _, _, path, _ = open_.pop()
+            named[name] -= 1
             out.append(Token("end", name, path, "", *inside))
 
     while at < n:
@@ -146,21 +150,20 @@ def tokens(page: str) -> list[Token]:
             continue
         name, attributes = m["name"].lower(), m["attributes"] or ""
         if m["close"]:
-            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
+            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None) if named[name] else None
             if k is not None:
                 close_to(k)
             elif name == "p":
                 out.append(Token("end", "p", path, "", *state()))
             continue
-        if foreign and name in BLOCKS:  # HTML ends an open svg or math
-            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] in FOREIGN or open_[k][0] in HTML_AGAIN), None)
-            if k is not None and open_[k][0] in FOREIGN:
-                close_to(k)
-        if name in ("select", "button"):  # these do not nest
+        edge = open_[-1][4] if open_ else -1
+        if name in BLOCKS and edge >= 0 and open_[edge][0] in FOREIGN:  # HTML ends an open svg or math
+            close_to(edge)
+        if name in ("select", "button") and named[name]:  # these do not nest
             k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
             if k is not None:
                 close_to(k)
-        if name in CLOSES_P:  # a block ends an open paragraph
+        if name in CLOSES_P and named["p"]:  # a block ends an open paragraph
             k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == "p"), None)
             if k is not None and not any(x[0] in CLOSES_P - {"p"} for x in open_[k + 1:]):
                 close_to(k)
@@ -168,7 +171,7 @@ def tokens(page: str) -> list[Token]:
             same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(name, (name,))
             stop = {"li": ("ul", "ol", "menu"), "tr": ("table", "tbody", "thead", "tfoot"),
                     "td": ("tr",), "th": ("tr",)}.get(name, ("dl", "select"))
-            for k in range(len(open_) - 1, -1, -1):
+            for k in range(len(open_) - 1, -1, -1) if any(named[x] for x in same) else ():
                 if open_[k][0] in same:
                     close_to(k)
                     break
@@ -184,14 +187,22 @@ def tokens(page: str) -> list[Token]:
         if name in CONTENT and not article and furniture == 1:
             furniture = 0  # a wrapper's class name (``with-sidebar``) says nothing of the article in it
         out.append(Token("start", name, path, "", furniture, article or name in CONTENT))
-        if name not in VOID and not attributes.rstrip().endswith("/") and len(open_) < DEPTH:
-            open_.append((name, furniture, article or name in CONTENT, path))
-            path = f"{path}/{name}" if len(open_) <= PATH_DEPTH else path
-            foreign += name in FOREIGN
+        if name not in VOID and not attributes.rstrip().endswith("/"):
+            edge = len(open_) if name in FOREIGN or name in HTML_AGAIN else open_[-1][4] if open_ else -1
+            open_.append((name, furniture, article or name in CONTENT, path, edge))
+            named[name] += 1
+            path = f"{path}/{name}" if len(open_) <= PATH_DEPTH else _deeper(path, name)
     close_to(0)
     return out
 
 
+def _deeper(path: str, name: str) -> str:
+    """The path of an element below ``PATH_DEPTH``: the spelled-out part and a
+    hash of all that follows."""
+    spelled = path.partition("/~")[0]
+    return f"{spelled}/~{hashlib.sha256(f'{path}/{name}'.encode()).hexdigest()[:16]}"
+
+
 def _key(t: Token) -> str:
     """What a token is told apart by: its kind, path and name, or its text's hash."""
     name = hashlib.sha256(" ".join(t.text.split()).encode()).hexdigest()[:24] if t.kind == "text" else t.name
@@ -207,7 +218,8 @@ _COUNT = T.StructType([
 
 def _count_tokens(schema: T.StructType, html: str, texts: bool):
     """Of each page its distinct tag tokens, with ``texts`` also its pieces of
-    text that are no furniture anyway, with their count and first place."""
+    text that neither are furniture anyway nor lie in an article, with their
+    count and first place."""
 
     def run(batches):
         for batch in batches:
@@ -217,7 +229,7 @@ def _count_tokens(schema: T.StructType, html: str, texts: bool):
                                             part.column(html).to_pylist(), strict=True):
                     found: dict[str, list[int]] = {}
                     for k, t in enumerate(tokens(text or "")):
-                        if t.kind != "text" or texts and not t.furniture and t.text.strip():
+                        if t.kind != "text" or texts and not t.furniture and not t.content and t.text.strip():
                             found.setdefault(_key(t), []).append(k)
                     size = max(1, max((p[-1] for p in found.values()), default=1))
                     rows += [(host, key, page, len(p), p[0] / size) for key, p in found.items()]
@@ -339,10 +351,11 @@ def in_order(ranks: list[int]) -> list[int]:
 
 
 def drop_texts(found: list[Token], texts: dict[str, tuple[int, int]]) -> None:
-    """Empties the pieces that are the template's: of each class those in its order."""
+    """Empties the pieces outside articles that are the template's: of each class
+    those in its order.  What pages say alike inside their articles is theirs."""
     classes: dict[int, list[tuple[int, Token]]] = {}
     for t in found:
-        if t.kind == "text" and not t.furniture and t.text.strip():
+        if t.kind == "text" and not t.furniture and not t.content and t.text.strip():
             known = texts.get(_key(t))
             if known is not None:
                 classes.setdefault(known[0], []).append((known[1], t))
