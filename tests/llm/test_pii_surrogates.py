@@ -129,3 +129,14 @@ def test_bare_mentions_capitals_and_all_letters(spark):
     first, last, first_again, last_again = p.plain_name(out.replace(",", "")).split()[-4:]
     assert first == first_again and last == last_again
     assert found("Mr De La Cruz. De la casa, La vida") == [("De", "male"), ("La", "surname")]
+
+
+def test_long_unbroken_runs_take_linear_time():
+    import time
+    for run in ("a" * 5_000_000, "a@" + "b" * 5_000_000, "a1b2" * 1_000_000, "x-y_z." * 500_000, "9" * 2_000_000):
+        start = time.perf_counter()
+        p.find_entities(run)
+        assert time.perf_counter() - start < 20
+    at = "..-joe.x@mail.example.org"
+    assert [(at[a:b], k) for a, b, k in p.find_entities(at)] == [("joe.x@mail.example.org", "email")]
+    assert [(k, "see a@b@c.org,x@y"[a:b]) for a, b, k in p.find_entities("see a@b@c.org,x@y")] == [("email", "b@c.org")]

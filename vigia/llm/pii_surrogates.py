@@ -103,7 +103,8 @@ _TITLES = "|".join(t for t in _writings(MALE_TITLES + FEMALE_TITLES + OTHER_TITL
 _NAMES = "|".join(map(re.escape, _writings(MALE_NAMES + FEMALE_NAMES)))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _PATTERN = re.compile(
-    rf"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{{2,}})"
+    # A run of address characters is tried once, from its start: linear on runs without an at sign.
+    rf"(?<![A-Za-z0-9._%+-])[._%+-]*+(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{{2,}})"
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])"
     rf"|(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\d|\.\d)"
     r"|(?<![\d-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
@@ -162,7 +163,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
         elif kind == "phone" and not 7 <= sum(c.isdigit() for c in m[0]) <= 15:
             end = None
         if end is not None and kind not in ("titled", "family"):
-            out.append((m.start(), end, kind))
+            out.append((m.start(kind), end, kind))
         at = m.start() + 1 if end is None else end
     return _with_mentions(text, out)
 
