@@ -277,8 +277,10 @@ def q_view_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql("SELECT * FROM vw_casos_por_municipio")
 
 
-def _ranked(order: list, source: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: keys.with_rank(source(spark, sf), order)
+def _ranked(order: list[str], source: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The rows with their place in the order of the columns (``-``: falling)."""
+    return lambda spark, sf: keys.with_rank(
+        source(spark, sf), [F.col(c[1:]).desc() if c[0] == "-" else F.col(c).asc() for c in order])
 
 
 def q_notification_defaults(spark: SparkSession, sf: str) -> DataFrame:
@@ -460,7 +462,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cube_dist_test_result": _on_cube(lambda c, **f: cube.distribution(c, "resultado_teste_agregado", **f)),
         # ordered outputs with their rank
         "frequent_symptoms_ordered": _ranked(
-            [F.desc("frequencia_em_confirmados"), "sintoma"], lambda s, sf: views.frequent_symptoms(_tables(s, sf))),
+            ["-frequencia_em_confirmados", "sintoma"], lambda s, sf: views.frequent_symptoms(_tables(s, sf))),
         "facet_municipalities_ordered": _ranked(["municipio_nome"], _on_flat(dash.facet_municipalities)),
         "vaccine_status_x_target_ordered": _ranked(["status_vacinal", "target_confirmado"], _on_flat(dash.vaccine_status_x_target)),
         # constraints of derived tables, defaults, views by name
