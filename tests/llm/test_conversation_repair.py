@@ -162,11 +162,17 @@ def test_against_lists(spark, most_rows):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
     cut = cr.blocks(cr.damage(table), most_rows=most_rows)
     walked = cr.walk(cut)
-    out = cr.with_digests(cr.report(table, cut, walked), cr.repaired(cut, walked)).collect()
+    out = cr.with_digests(cr.report(table, cut, walked), cut, walked).collect()
     got = {r["conv_id"]: (r["gaps"], r["blank"], r["duplicate"], r["truncated"], r["illegal"], r["cost"], r["audit"],
                           r["repaired_sha256"]) for r in out}
     assert len(out) == len(got) and got == expected(rows)
     assert max(cut.selectExpr("max(length(codes))").first()) <= most_rows
+    # Conversations of one block inside a partition are repaired there, the others by the two passes: the same rows.
+    assert 0 < cut.filter("audit is not null").count() < cut.count()
+    lines = {}
+    for r in cr.repaired(cut, walked).orderBy("part", "seq", "place").collect():
+        lines.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
+    assert all(hashlib.sha256("\n".join(lines.get(c, [])).encode()).hexdigest() == v[-1] for c, v in got.items())
 
 
 def test_query_edge_cases(spark, tmpdir_path):

@@ -23,9 +23,10 @@ block.
 
 In Spark, no task holds a conversation: rows are range-partitioned by
 (conversation, turn, role, text hash) and cut into blocks of bounded rows and
-bytes, written once with a code byte a row.  The backward and the forward pass
-stream over the blocks of a conversation (code bytes, not texts) with four
-numbers of state.  Equal rows that repeat in a conversation are counted before
+bytes, written once with a code byte a row.  A conversation that lies in one
+block inside a partition, as most do, is repaired there.  The others are open:
+the backward and the forward pass stream over their blocks (code bytes, not
+texts) with four numbers of state.  Equal rows that repeat in a conversation are counted before
 the rows are dealt, so that copies never meet in one task.
 
 Cases: a null conversation id is a conversation; null turns come first; rows of
@@ -202,7 +203,8 @@ def _block_schema(conv: T.DataType, turn: T.DataType) -> T.StructType:
         T.StructField("roles", T.ArrayType(T.StringType())), T.StructField("texts", T.ArrayType(T.StringType())),
         T.StructField("blank", T.LongType()), T.StructField("duplicate", T.LongType()),
         T.StructField("truncated", T.LongType()), T.StructField("illegal", T.LongType()),
-        T.StructField("turns", T.LongType()), T.StructField("first_turn", turn), T.StructField("last_turn", turn)])
+        T.StructField("turns", T.LongType()), T.StructField("first_turn", turn), T.StructField("last_turn", turn),
+        T.StructField("audit", T.StringType()), T.StructField("cost", T.LongType())])  # of a block that is a whole conversation
 
 
 def blocks(rows: DataFrame, most_rows: int = 1024, most_bytes: int = 1 << 20) -> DataFrame:
@@ -236,7 +238,7 @@ def blocks(rows: DataFrame, most_rows: int = 1024, most_bytes: int = 1 << 20) ->
 
 
 def _cut(schema: T.StructType, most_rows: int, most_bytes: int):
-    def close(conv, part, seq, run):
+    def close(conv, part, seq, run, whole):
         turns, roles, texts, codes, copies = run
         faults = [c >> 2 for c in codes]
         initials = [c & 3 for c in codes]
@@ -245,37 +247,39 @@ def _cut(schema: T.StructType, most_rows: int, most_bytes: int):
         duplicate = sum((f == DUPLICATE) + k for f, k in zip(faults, copies, strict=True) if f != BLANK)
         illegal = extra + sum(pair not in IN_ORDER for pair in zip(initials, initials[1:]))
         known = [t for t in turns if t is not None]
+        audit, _, cost = forward(bytes(codes), copies if extra else None, list(END), START, True) if whole else (None, None, None)
         return (conv, part, seq, bytes(codes), copies if extra else None, roles, texts, blank, duplicate,
                 sum(f == TRUNCATED for f in faults), illegal,
                 len(known[:1]) + sum(a != b for a, b in zip(known, known[1:])),
-                known[0] if known else None, known[-1] if known else None)
+                known[0] if known else None, known[-1] if known else None, audit, cost)
 
     def run(batches):
         part, seq = TaskContext.get().partitionId(), 0
         conv, held, size = None, ([], [], [], [], []), 0
+        whole = False  # the first conversation may have begun in the partition before
         for batch in batches:
             out = []
             columns = [batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "code", "copies")]
             for c, *row in zip(*columns, strict=True):
                 if held[0] and (c != conv or len(held[0]) >= most_rows or size >= most_bytes):
-                    out.append(close(conv, part, seq, held))
-                    seq, held, size = seq + 1, ([], [], [], [], []), 0
+                    out.append(close(conv, part, seq, held, whole and c != conv))
+                    seq, held, size, whole = seq + 1, ([], [], [], [], []), 0, c != conv
                 conv = c
                 for column, value in zip(held, row, strict=True):
                     column.append(value)
                 size += len(row[2])
             if out:
                 yield record_batch(schema, [list(x) for x in zip(*out, strict=True)])
-        if held[0]:
-            yield record_batch(schema, [[x] for x in close(conv, part, seq, held)])
+        if held[0]:  # the last conversation may go on in the next partition
+            yield record_batch(schema, [[x] for x in close(conv, part, seq, held, False)])
 
     return run
 
 
 def _checkpoints(cut: DataFrame) -> DataFrame:
-    """Each block with the cost vector at its end (backward pass)."""
+    """Each block of the open conversations with the cost vector at its end (backward pass)."""
     columns = ["conv_id", "part", "seq", "codes", "copies", "illegal", "turns", "first_turn", "last_turn"]
-    slim = cut.select(*columns)
+    slim = cut.filter(F.col("audit").isNull()).select(*columns)
     schema = T.StructType([*slim.schema.fields, T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("last", T.BooleanType())])
     dealt = slim.repartition("conv_id").sortWithinPartitions(
         F.col("conv_id").asc_nulls_first(), F.col("part").desc(), F.col("seq").desc())
@@ -297,8 +301,10 @@ def _checkpoints(cut: DataFrame) -> DataFrame:
 
 
 def walk(cut: DataFrame) -> DataFrame:
-    """Each block's edits (forward pass): the state in which it is entered, the
-    edits' initials and their cost, with what adjoining blocks add to the counts."""
+    """Each block's edits: the state in which it is entered, the edits' initials
+    and their cost, with what adjoining blocks add to the counts.  Blocks that are
+    ``whole`` have them already; those of open conversations get them by the
+    forward pass."""
     marked = _checkpoints(cut)
     dealt = marked.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "part", "seq")
     schema = T.StructType([
@@ -325,7 +331,10 @@ def walk(cut: DataFrame) -> DataFrame:
             kept = [batch.column(c) for c in ("conv_id", "part", "seq")]
             yield record_batch(schema, [*kept, *(list(x) for x in zip(*out, strict=True))] if out else [*kept, *[[]] * 5])
 
-    return reliable_checkpoint(dealt.mapInArrow(run, schema), "conversation-edits")
+    open_ = reliable_checkpoint(dealt.mapInArrow(run, schema), "conversation-edits")
+    whole = cut.filter(F.col("audit").isNotNull()).select(
+        "conv_id", "part", "seq", F.lit(START).alias("state"), "audit", "cost", "illegal", "turns")
+    return whole.withColumn("whole", F.lit(True)).unionByName(open_.withColumn("whole", F.lit(False)))
 
 
 def report(conversations: DataFrame, cut: DataFrame, walked: DataFrame) -> DataFrame:
@@ -346,25 +355,45 @@ def report(conversations: DataFrame, cut: DataFrame, walked: DataFrame) -> DataF
         F.coalesce("audit", F.lit("")).alias("audit"))
 
 
-def repaired(cut: DataFrame, walked: DataFrame) -> DataFrame:
-    """The rows after the edits: conv_id, (part, seq, place) in order, role, text."""
-    schema = T.StructType([cut.schema["conv_id"], cut.schema["part"], cut.schema["seq"], T.StructField("place", T.LongType()),
-                           T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
-    both = cut.select("conv_id", "part", "seq", "codes", "copies", "roles", "texts").join(
-        walked.select("part", "seq", "state", "audit"), ["part", "seq"])
+def _left(block: dict) -> list[tuple[str, str]]:
+    """Role and text of the rows that a block's edits leave."""
+    return [(role or block["roles"][i], block["texts"][i] if i >= 0 else "")
+            for i, role in edited(block["codes"], block["copies"], block["audit"], block["state"])]
+
+
+_BLOCK = ["conv_id", "part", "seq", "codes", "copies", "roles", "texts"]
+
+
+def _whole(cut: DataFrame) -> DataFrame:
+    return cut.filter(F.col("audit").isNotNull()).select(*_BLOCK, F.lit(START).alias("state"), "audit")
+
+
+def _open(cut: DataFrame, walked: DataFrame) -> DataFrame:
+    return cut.filter(F.col("audit").isNull()).select(*_BLOCK).join(
+        walked.filter(~F.col("whole")).select("part", "seq", "state", "audit"), ["part", "seq"]).select(*_BLOCK, "state", "audit")
+
+
+def _rows(blocks_: DataFrame) -> DataFrame:
+    fields = [blocks_.schema[c] for c in ("conv_id", "part", "seq")]
+    schema = T.StructType([*fields, T.StructField("place", T.LongType()), T.StructField("role", T.StringType()),
+                           T.StructField("text", T.StringType())])
 
     def run(batches):
         for batch in batches:
             for j in range(batch.num_rows):  # a block is bounded, but for a longer row
                 b = batch.slice(j, 1).to_pylist()[0]
-                rows = [(role or b["roles"][i], b["texts"][i] if i >= 0 else "")
-                        for i, role in edited(b["codes"], b["copies"], b["audit"], b["state"])]
+                rows = _left(b)
                 if rows:
                     n = len(rows)
                     yield record_batch(schema, [[b["conv_id"]] * n, [b["part"]] * n, [b["seq"]] * n, list(range(n)),
                                                 [r for r, _ in rows], [t for _, t in rows]])
 
-    return both.mapInArrow(run, schema)
+    return blocks_.mapInArrow(run, schema)
+
+
+def repaired(cut: DataFrame, walked: DataFrame) -> DataFrame:
+    """The rows after the edits: conv_id, (part, seq, place) in order, role, text."""
+    return _rows(_whole(cut).unionByName(_open(cut, walked)))
 
 
 def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -401,9 +430,25 @@ def digests(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def with_digests(found: DataFrame, rows: DataFrame) -> DataFrame:
+def _block_digests(whole: DataFrame) -> DataFrame:
+    """The digests of conversations that are one block: no row leaves its task."""
+    schema = T.StructType([whole.schema["conv_id"], T.StructField("repaired_sha256", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for j in range(batch.num_rows):
+                b = batch.slice(j, 1).to_pylist()[0]
+                text = "\n".join(f"{role}:{text}" for role, text in _left(b))
+                found.append(hashlib.sha256(text.encode()).hexdigest())
+            yield record_batch(schema, [batch.column("conv_id"), found])
+
+    return whole.mapInArrow(run, schema)
+
+
+def with_digests(found: DataFrame, cut: DataFrame, walked: DataFrame) -> DataFrame:
     """The report with the digest of each conversation's repaired rows."""
-    sums = digests(rows).withColumnRenamed("conv_id", "digest_conv")
+    sums = _block_digests(_whole(cut)).unionByName(digests(_rows(_open(cut, walked)))).withColumnRenamed("conv_id", "digest_conv")
     nothing = hashlib.sha256(b"").hexdigest()
     return (found.join(sums, found["conv_id"].eqNullSafe(sums["digest_conv"]), "left").drop("digest_conv")
             .withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.lit(nothing))))
