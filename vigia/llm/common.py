@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -22,6 +23,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+def set_aside(docs: DataFrame, helpers: set[str], used: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns that have the name of a helper column renamed, and
+    how to name them again; ``used`` columns keep their names."""
+    moved = {}
+    for c in docs.columns:
+        if c in helpers and c not in used:
+            new = f"{c}_"
+            while new in docs.columns or new in helpers or new in moved.values():
+                new += "_"
+            moved[c] = new
+    return (docs.withColumnsRenamed(moved) if moved else docs), {new: c for c, new in moved.items()}
+
+
+def shards_for(docs: DataFrame, text: str, shard_bytes: int = 64 << 20) -> int:
+    """How many shards hold the texts at ``shard_bytes`` each, at least the
+    session's shuffle partitions: a shard does not grow with the input."""
+    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
+
+
 def bytes_list(column: pa.Array) -> list[bytes | None]:
     """A string column as UTF-8 bytes (nulls stay None)."""
     if pa.types.is_null(column.type):

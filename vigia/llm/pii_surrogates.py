@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint
-from .common import record_batch, text_slices
+from .common import record_batch, set_aside, text_slices
 from .quality_rules import WORD_BINS
 
 KINDS = ("email", "iban", "ip", "ssn", "card", "phone", "male", "female", "surname")
@@ -367,6 +367,7 @@ def assign(values: DataFrame, key: bytes = DEFAULT_KEY, most_rounds: int = 64, d
 
 def replace_entities(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text") -> DataFrame:
     """The documents, all columns, with surrogates for the entities of the texts."""
+    docs, names = set_aside(docs, {"_fresh", "_key"}, (text,))
     found = reliable_checkpoint(entities(docs, text), "pii-found")
     fresh = assign(found, key)
     by_text = (found.join(fresh, ["kind", "value"]).groupBy("text_key")
@@ -385,7 +386,7 @@ def replace_entities(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "tex
                     [pa.array(texts, part.column(c).type) if c == text else part.column(c) for c in schema.names],
                     names=schema.names)
 
-    return docs.filter(~hinted).unionByName(touched.mapInArrow(run, schema))
+    return docs.filter(~hinted).unionByName(touched.mapInArrow(run, schema)).withColumnsRenamed(names)
 
 
 def count_entities(text: str | None) -> int:

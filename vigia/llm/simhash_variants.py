@@ -270,7 +270,8 @@ def link_components(docs: DataFrame, shingle: int = 3, max_distance: int = 3, do
                     text: str = "text") -> DataFrame:
     """Every document's columns but the text, ``fp``, ``root`` (the component's
     smallest fingerprint) and ``component_id`` (the smallest doc_id that links
-    reach)."""
+    reach); columns of these names are replaced."""
+    docs = docs.drop(*(c for c in ("fp", "root", "component_id") if c not in (doc_id, text)))
     marked = reliable_checkpoint(fingerprints(docs, shingle, text), "fingerprints")
     nodes = reliable_checkpoint(marked.groupBy("fp").agg(F.min(doc_id).alias("low")), "nodes")
     roots = components(links(nodes, max_distance))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_list, mix64, record_batch, sha256_hex, text_slices
+from .common import bytes_list, mix64, record_batch, set_aside, sha256_hex, shards_for, text_slices
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -276,10 +276,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
     id, the two counts and ``kept_sha256``, the digest of the kept text.
 
     A hash range and a document shard are each held by one task at a time.
-    There are two ranges and one shard for each shuffle partition: the answers
-    are a row for each pair of both, so more of them would cost more rows than
-    they save memory."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    Their numbers follow the bytes of the texts (one shard and two ranges for
+    each 64 MB, for each shuffle partition at least), so neither grows with the
+    input."""
+    docs, names = set_aside(docs, {"_id", "_shard"}, (doc_id, text))
+    partitions = shards_for(docs, text)
     shards, ranges = partitions | 1, 2 * partitions
     known = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     counts = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
@@ -294,4 +295,4 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
                .groupBy("answer", "part").applyInArrow(_judge(shards), _PACKED))
     sharded = docs.withColumn("_id", known).withColumn("_shard", F.pmod("_id", F.lit(shards)).cast("int"))
     return (sharded.groupBy("_shard").cogroup(answers.groupBy("part"))
-            .applyInArrow(_cut(window, schema, doc_id, text, digests), schema))
+            .applyInArrow(_cut(window, schema, doc_id, text, digests), schema).withColumnsRenamed(names))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_list, mix64, record_batch, sha256_hex
+from .common import bytes_list, mix64, record_batch, set_aside, sha256_hex, shards_for
 from .substring_dedup import _BASE, _BASE_INVERSE, _from_planes, _planes, _powers
 
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
@@ -460,8 +460,7 @@ def repeated_bytes(docs: DataFrame, least: int = 400, text: str = "text", crowd:
     removed, what is left (with ``with_bytes``) and its SHA-256."""
     if least < GRAM:
         raise ValueError(f"least must be at least {GRAM}")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = ranges = partitions
+    shards = ranges = shards_for(docs, text)
     long = docs.select(F.col(text).alias("text")).filter(F.octet_length("text") >= least)
     sharded = long.select(F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard"), "text").mapInArrow(
         _collapse(least), _SHARDED)
@@ -478,7 +477,7 @@ def remove_repeats(docs: DataFrame, least: int = 400, text: str = "text", digest
     the bytes left of each text (cuts may fall inside a character); with
     ``digests`` ``kept_sha256`` instead and no text."""
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256" if digests else "kept"]
-    docs = docs.drop(*made)
+    docs, names = set_aside(docs.drop(*made), {"_digest", "_plain", "_n_removed", "_n_spans", "_kept", "_kept_sha256"}, (text,))
     found = repeated_bytes(docs, least, text, crowd, with_bytes=not digests).withColumnRenamed("digest", "_digest")
     found = found.select("_digest", *[F.col(c).alias(f"_{c}") for c in found.columns[1:]])
     rows = docs.withColumn("_plain", F.coalesce(F.col(text), F.lit("")).cast("binary"))
@@ -489,4 +488,4 @@ def remove_repeats(docs: DataFrame, least: int = 400, text: str = "text", digest
             else F.coalesce("_kept", "_plain").alias("kept"))
     return joined.select(*[c for c in docs.columns if not digests or c != text], "n_bytes",
                          F.coalesce("_n_removed", F.lit(0).cast("long")).alias("n_removed"),
-                         F.coalesce("_n_spans", F.lit(0).cast("long")).alias("n_spans"), last)
+                         F.coalesce("_n_spans", F.lit(0).cast("long")).alias("n_spans"), last).withColumnsRenamed(names)
