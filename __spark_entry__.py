@@ -33,7 +33,7 @@ from vigia.plans import flat as flat_plan  # noqa: E402
 from vigia.plans import indicator_state as state  # noqa: E402
 from vigia.plans import indicators as ind  # noqa: E402
 from vigia.plans import views  # noqa: E402
-from vigia.sources.fixture import raw_notifications, read_source, session_tables  # noqa: E402
+from vigia.sources.fixture import input_stamp, raw_notifications, read_source, session_tables  # noqa: E402
 from vigia.session import reliable_checkpoint, scratch_path  # noqa: E402
 from vigia.sources import catalog  # noqa: E402
 from vigia.sources.raw import export_csv, read_flat, read_raw, write_raw  # noqa: E402
@@ -59,32 +59,29 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return session_tables(spark, sf_dir)
 
 
-_FLAT: dict[tuple, DataFrame] = {}
+_HELD: dict[str, tuple[tuple, object]] = {}
 
 
-def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table's (lazy) definition, built once per session/folder."""
-    t = _tables(spark, sf_dir)
-    key = (id(t), sf_dir)
-    if key not in _FLAT:
-        _FLAT.clear()
-        _FLAT[key] = flat_plan.flat_dataset(t)
-    return _FLAT[key]
+def _once(kind: str, spark: SparkSession, sf_dir: str, build: Callable[[], object]):
+    """What ``build`` makes, once per live session and state of the input files."""
+    key = (id(spark), id(spark.sparkContext), sf_dir, input_stamp(spark, sf_dir))
+    if kind not in _HELD or _HELD[kind][0] != key:
+        _HELD[kind] = (key, build())
+    return _HELD[kind][1]
 
 
-_ETL: dict[tuple, tuple[dict[str, DataFrame], dict[str, DataFrame]]] = {}
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table's (lazy) definition."""
+    return _once("flat", spark, sf_dir, lambda: flat_plan.flat_dataset(_tables(spark, sf_dir)))
 
 
 def _etl_run(spark: SparkSession, sf_dir: str):
-    """Q1 over the raw-file view of the test data, run once per session and
-    folder: the loader materialises its numbered and accepted rows once and
-    every curated output is read from them."""
-    key = (id(spark), id(spark.sparkContext), sf_dir)
-    if key not in _ETL or spark.sparkContext._jsc is None:
-        _ETL.clear()
+    """Q1 over the raw-file view of the test data: the loader materialises its
+    numbered and judged rows once and every curated output is read from them."""
+    def build():
         stages = etl.etl_stages(spark, raw_notifications(spark, sf_dir))
-        _ETL[key] = (stages, etl.etl_normalise(spark, None, stages=stages))
-    return _ETL[key]
+        return stages, etl.etl_normalise(spark, None, stages=stages)
+    return _once("etl", spark, sf_dir, build)
 
 
 def _etl(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -103,21 +100,16 @@ CSV_TABLES = {
     "clinicos": "dados_clinicos", "municipio": "municipio", "notificacao": "notificacao", "demograficos": "dados_demograficos",
     "gestao": "dados_gestao_estrategia", "epidemiologicos": "dados_epidemiologicos", "sintoma": "sintoma",
     "notificacao_sintoma": "notificacao_sintoma", "testes": "teste_laboratorial", "vacinas": "vacina_aplicada"}
-_CSV: dict[tuple, dict[str, DataFrame]] = {}
-
-
 def _csv_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """Q1 from real CSV files: the raw rows, with the documents' whole texts as
     free text (quotes, commas, line ends, backslashes), written as CSV files
-    and loaded through the reader, once per session and folder."""
+    and loaded through the reader."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        key = (id(spark), id(spark.sparkContext), sf)
-        if key not in _CSV or spark.sparkContext._jsc is None:
-            _CSV.clear()
+        def build():
             path = scratch_path(spark, "raw-csv")
             write_raw(raw_notifications(spark, sf, free_text=True), path)
-            _CSV[key] = etl.etl_normalise(spark, read_raw(spark, path))
-        return _CSV[key][name]
+            return etl.etl_normalise(spark, read_raw(spark, path))
+        return _once("csv", spark, sf, build)[name]
     return run
 
 
@@ -203,31 +195,19 @@ def q_indicators_by_period(spark: SparkSession, sf: str) -> DataFrame:
     return state.period_indicators(reliable_checkpoint(state.daily_counts(t), "daily-counts"), state.rolling_periods(t))
 
 
-_CUBE: dict[tuple, DataFrame] = {}
-
-
 def _on_cube(fn) -> Callable[[SparkSession, str], DataFrame]:
     """A dashboard tab under the filter of oq, from the cube alone."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        key = (id(spark), id(spark.sparkContext), sf)
-        if key not in _CUBE or spark.sparkContext._jsc is None:
-            _CUBE.clear()
+        def build():
             path = scratch_path(spark, "cube")
             cube.write_cube(_flat_table(spark, sf), path)
-            _CUBE[key] = spark.read.parquet(path)
-        return fn(_CUBE[key], start=oq.FILTER_START, end=oq.FILTER_END, municipios=oq.FILTER_MUNICIPIOS)
+            return spark.read.parquet(path)
+        return fn(_once("cube", spark, sf, build), start=oq.FILTER_START, end=oq.FILTER_END, municipios=oq.FILTER_MUNICIPIOS)
     return run
 
 
-_REJECTS: dict[tuple, dict] = {}
-
-
 def _faulty_load(spark: SparkSession, sf: str) -> dict:
-    key = (id(spark), id(spark.sparkContext), sf)
-    if key not in _REJECTS or spark.sparkContext._jsc is None:
-        _REJECTS.clear()
-        _REJECTS[key] = etl.etl_stages(spark, raw_notifications(spark, sf, faults=True))
-    return _REJECTS[key]
+    return _once("faults", spark, sf, lambda: etl.etl_stages(spark, raw_notifications(spark, sf, faults=True)))
 
 
 def q_load_rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,19 +288,11 @@ def q_audit_stream_events(spark: SparkSession, sf: str) -> DataFrame:
     return run_audit_stream(spark, sf, glob="events.parquet")
 
 
-_FLAT_TABLE: dict[tuple, DataFrame] = {}
-
-
 def _flat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table written once (S11) to the shared checkpoint folder
     and read back: the dashboard's aggregates all read this table, as the
     dashboard reads the exported extract instead of re-running the joins."""
-    from vigia.sources.catalog import materialize
-    key = (id(spark), id(spark.sparkContext), sf_dir)
-    if key not in _FLAT_TABLE or spark.sparkContext._jsc is None:
-        _FLAT_TABLE.clear()
-        _FLAT_TABLE[key] = materialize(spark, _flat(spark, sf_dir), "flat")
-    return _FLAT_TABLE[key]
+    return _once("flat table", spark, sf_dir, lambda: catalog.materialize(spark, _flat(spark, sf_dir), "flat"))
 
 
 def _on_flat(fn) -> Callable[[SparkSession, str], DataFrame]:

@@ -288,3 +288,14 @@ def test_rank_is_the_order(spark):
     got = keys.with_rank(df.repartition(7), [F.desc("x")]).collect()
     assert [r.x for r in sorted(got, key=lambda r: r.ordem)] == sorted((r.x for r in got), reverse=True)
     assert sorted(r.ordem for r in got) == list(range(1, 501))
+
+
+def test_changed_input_files_are_read_again(spark, tmpdir_path):
+    import shutil
+    base = f"{tmpdir_path}/in"
+    shutil.copytree(SF_SMALL, base)
+    before = [E.queries()[q](spark, base).collect() for q in ("headline", "flat_dataset")]
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").filter("o_orderkey % 2 = 0").coalesce(1).write.parquet(f"{tmpdir_path}/half")
+    shutil.copy(next(f"{tmpdir_path}/half/{f}" for f in os.listdir(f"{tmpdir_path}/half") if f.endswith(".parquet")), f"{base}/orders.parquet")
+    after = [E.queries()[q](spark, base).collect() for q in ("headline", "flat_dataset")]
+    assert after[0][0][0] == len(after[1]) < before[0][0][0] == len(before[1])

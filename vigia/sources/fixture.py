@@ -39,6 +39,13 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """The state of the input files: names, sizes and times of change."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 # Table definitions are lazy plans; defining them once per session and folder
 # avoids re-listing files and re-analysing the same expressions for every
 # query (the data itself is read by each query, nothing is cached).
@@ -46,8 +53,8 @@ _DEFINED: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def session_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``domain_tables`` defined once per (live session, folder)."""
-    key = (id(spark), id(spark.sparkContext), sf_dir.rstrip("/"))
+    """``domain_tables`` defined once per (live session, folder and its files)."""
+    key = (id(spark), id(spark.sparkContext), sf_dir.rstrip("/"), input_stamp(spark, sf_dir))
     got = _DEFINED.get(key)
     if got is None or spark.sparkContext._jsc is None:
         got = domain_tables(spark, sf_dir)
