@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import days_between, in_period
 from ..functions.numeric import exact_ratio
 from ..functions.predicates import is_confirmed, is_sim_ci, on_or_after, positive_by_code
+from ..operators.joins import keyed
 
 KEYS = ["municipio_ibge", "periodo_inicio", "periodo_fim"]
 COUNTS = ["n_testes", "n_positivos", "soma_dias", "n_dias", "n_confirmados", "n_saude", "n_doses", "n_notificacoes"]
@@ -83,12 +84,12 @@ def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bo
         "notificacao_id", "resultado_teste", "data_coleta", F.lit(True).alias("_has_test"))
     doses = _in_months(t["vacina_aplicada"], inicio, fim).select("notificacao_id")
     if inicio is not None or fim is not None:
-        doses = doses.join(n.select("notificacao_id"), "notificacao_id", "left_semi")
+        doses = doses.join(keyed(n.select("notificacao_id")), "notificacao_id", "left_semi")
 
     zero = F.lit(0).cast("bigint")
-    base = n.join(clin, "notificacao_id", "left").join(demo, "notificacao_id", "left")
+    base = n.join(keyed(clin), "notificacao_id", "left").join(keyed(demo), "notificacao_id", "left")
     timed = F.col("_has_clin") & on_or_after("data_coleta", "data_inicio_sintomas")
-    per_notification = (base.join(tests, "notificacao_id", "left").groupBy(*base.columns).agg(
+    per_notification = (base.join(keyed(tests), "notificacao_id", "left").groupBy(*base.columns).agg(
         F.count("_has_test").alias("_t"),
         F.count_if(positive_by_code("resultado_teste")).alias("_p"),
         F.coalesce(F.sum(F.when(timed, days_between("data_coleta", "data_inicio_sintomas"))
@@ -96,7 +97,7 @@ def indicator_counts(t: dict[str, DataFrame], inicio=None, fim=None, monthly: bo
         F.count_if(timed).alias("_nd")))
     per_dose = doses.groupBy("notificacao_id").agg(F.count(F.lit(1)).alias("_doses"))
 
-    j = per_notification.join(per_dose, "notificacao_id", "left")
+    j = per_notification.join(keyed(per_dose), "notificacao_id", "left")
     valid = F.col("excluido") == F.lit(False)
     confirmed = F.col("_has_clin") & F.col("_has_demo") & F.col("_conf")
     nz = lambda c: F.coalesce(F.col(c), zero)
@@ -190,13 +191,13 @@ def tables_as_of(t: dict[str, DataFrame], as_of, result_days: int = 10) -> dict[
     once one of its results is.  Children exist with their notification."""
     d = F.lit(as_of).cast("date")
     out = snapshot_as_of(t, as_of)
-    ids = out["notificacao"].select("notificacao_id")
+    ids = keyed(out["notificacao"].select("notificacao_id"))
     known = F.date_add("data_coleta", result_days) <= d
     tests = out["teste_laboratorial"].join(ids, "notificacao_id", "left_semi")
     out["vacina_aplicada"] = out["vacina_aplicada"].join(ids, "notificacao_id", "left_semi")
     out["teste_laboratorial"] = tests.withColumn("resultado_teste", F.when(known, F.col("resultado_teste")))
     closed = tests.filter(known).select("notificacao_id").distinct().withColumn("_known", F.lit(True))
-    clinical = t["dados_clinicos"].join(ids, "notificacao_id", "left_semi").join(closed, "notificacao_id", "left")
+    clinical = t["dados_clinicos"].join(ids, "notificacao_id", "left_semi").join(keyed(closed), "notificacao_id", "left")
     out["dados_clinicos"] = clinical.select(*[
         F.when(F.col("_known"), F.col(c)).alias(c) if c in ("classificacao_final", "evolucao_caso") else F.col(c)
         for c in t["dados_clinicos"].columns])
