@@ -49,3 +49,45 @@ def test_tables_of_notifications_are_not_broadcast(spark, sf, tmpdir_path):
         assert "Broadcast" not in plan(df)
         assert df.count() > 0
     assert plan(views.cases_by_municipality(t)).count("BroadcastExchange") == 2  # the two dimensions
+
+
+def test_raw_view_deals_line_items_once(spark, sf):
+    raw = fixture.raw_notifications(spark, sf)
+    dealt = [x for x in plan(raw).splitlines() if "hashpartitioning" in x and ("l_linenumber" in x or "_r#" in x)]
+    assert dealt == []
+    rows = raw.collect()
+    assert len(rows) == 61
+    one, again = [r for r in rows if r.codigoTipoTeste1 is not None and r.source_id == "1"][:2]
+    assert (one.codigoTipoTeste1, one.codigoFabricanteTeste1, one.codigoResultadoTeste1, one.codigoEstadoTeste1, one.dataColetaTeste1) == \
+        ("2.0", "1", "1", "F", "1995-03-04")
+    assert (again.codigoTipoTeste1, again.codigoFabricanteTeste1, again.codigoResultadoTeste1, again.codigoEstadoTeste1,
+            again.dataColetaTeste1, again.codigoTipoTeste2, again.lotePrimeiraDose) == ("3.0", "2", "2", "O", None, None, None)
+    assert (one.dataPrimeiraDose, one.codigoLaboratorioPrimeiraDose, one.lotePrimeiraDose) == ("04/03/1995", "LAB1", "1")
+
+
+def test_wide_rows_are_written_by_compiled_methods(spark, sf, monkeypatch):
+    key, seen = "spark.sql.codegen.hugeMethodLimit", {}
+    before = spark.conf.get(key)
+
+    def record(df, name="stage"):
+        seen[name] = spark.conf.get(key)
+        return session.reliable_checkpoint(df, name)
+    monkeypatch.setattr(etl, "reliable_checkpoint", record)
+    stages = etl.etl_stages(spark, fixture.raw_notifications(spark, sf))
+    assert seen["judged"] == session.COMPILED_METHOD == "8000"
+    assert spark.conf.get(key) == before
+    assert stages["contagem"]["linhas"] == 61
+
+
+def test_reasons_of_long_codes(spark):
+    texts = {"ok": "1.0", "short": "ab", "long": "a" * 101, "number": "0" * 100 + "7", "huge": "9" * 101, "none": None, "blank": ""}
+    cols = [c for c in rejects.rules() if ":" in c]
+    names = sorted({c.split(":")[1] for c in cols})
+    rows = [(k, *[v if n == "codigoEstrategiaCovid" else None for n in names]) for k, v in texts.items()]
+    df = spark.createDataFrame(rows, ", ".join(["k string", *[f"{n} string" for n in names]]))
+    judged = df.select("k", rejects.reasons(F.col("k") != "ok").alias("m"))
+    got = {r.k: r.m for r in judged.collect()}
+    place, code = rejects.UNKNOWN_PLACE, "tamanho:codigoEstrategiaCovid"
+    assert got["ok"] == [place]
+    assert got["short"] == got["number"] == got["none"] == got["blank"] == []
+    assert got["long"] == got["huge"] == [code]
