@@ -91,3 +91,19 @@ def test_reasons_of_long_codes(spark):
     assert got["ok"] == [place]
     assert got["short"] == got["number"] == got["none"] == got["blank"] == []
     assert got["long"] == got["huge"] == [code]
+
+
+def test_purge_counts_each_table_by_itself(spark, sf, monkeypatch):
+    frames = []
+
+    def record(df, name="stage"):
+        frames.append((name, plan(df)))
+        return session.reliable_checkpoint(df, name)
+    monkeypatch.setattr(E, "reliable_checkpoint", record)
+    got = {(r.tabela, r.notificacao_id): r.linhas for r in E.q_purge_excluded(spark, sf).collect()}
+    counts = [p for name, p in frames if name == "purge-counts"]
+    assert len(counts) == 8
+    for p in counts:
+        assert "Union" not in p and "REPARTITION_BY_NUM" in p
+    assert not any(i % 4 == 0 for _, i in got)
+    assert got[("teste_laboratorial", 1)] == 5 and got[("notificacao", 1)] == 1
