@@ -107,3 +107,16 @@ def test_purge_counts_each_table_by_itself(spark, sf, monkeypatch):
         assert "Union" not in p and "REPARTITION_BY_NUM" in p
     assert not any(i % 4 == 0 for _, i in got)
     assert got[("teste_laboratorial", 1)] == 5 and got[("notificacao", 1)] == 1
+
+
+def test_a_repeated_batch_is_computed_once(spark, sf, monkeypatch):
+    calls, purge = [], E.q_audit_purge
+
+    def counted(s, d):
+        calls.append(d)
+        return purge(s, d)
+    monkeypatch.setattr(E, "q_audit_purge", counted)
+    rows = E.q_audit_log_batches(spark, sf).collect()
+    assert len(calls) == 1
+    gone = [r for r in rows if r.tabela_afetada == "notificacao" and r.operacao == "D"]
+    assert {r.notificacao_id for r in gone} >= set(range(0, 60, 4))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonrow import row_json
+from .joins import keyed
 from .sequence import previous_by_key, running_total_by_key
 
 LOG_COLUMNS = ["tabela_afetada", "operacao", "usuario_db", "data_hora", "dados_antigos", "dados_novos"]
@@ -138,7 +139,7 @@ def purge_log(tables: dict[str, DataFrame], ids: DataFrame, names: list[str] = A
     notification and for every row of the audited children that goes with it.
 
     ``ids`` is any size: each table is cut to it by a semi join on the key."""
-    ids = ids.select(key).distinct()
+    ids = keyed(ids.select(key).distinct())
     parts = [df.join(ids, key, "left_semi").select(
         F.lit(n).alias("tabela_afetada"), F.lit("D").alias("operacao"), row_json(*[F.col(c) for c in df.columns]).alias("dados_antigos"),
         F.lit(None).cast("string").alias("dados_novos")) for n, df in tables.items() if n in names]
