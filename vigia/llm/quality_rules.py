@@ -39,8 +39,10 @@ COMMON_WORDS = {
 }
 WORD_BINS = tuple(sorted({w for words in COMMON_WORDS.values() for w in words}))
 # Character classes as regular expressions; what is left over (lower-case
-# letters and control characters) is one more class.
-CHAR_CLASSES = ("[A-Z]", "[0-9]", "[\\x20\\x09-\\x0D]", "[#*$%&|<>]", "[.,;:'\"()?-]", "!", "[^\\x00-\\x7F]")
+# letters and control characters) is one more class.  White space is what words
+# leave, so it is not searched again.
+SPACE_CLASS, SYMBOL_CLASS = "[\\x20\\x09-\\x0D]", "[#*$%&|<>]"
+CHAR_CLASSES = ("[A-Z]", "[0-9]", SPACE_CLASS, SYMBOL_CLASS, "[.,;:'\"()?-]", "!", "[^\\x00-\\x7F]")
 
 #: Space characters that may separate words.
 _SPACES = "\t\n\x0b\x0c\r"
@@ -52,8 +54,9 @@ def words_of(text: Column) -> Column:
 
 
 def _count(text: Column, chars: str) -> Column:
-    """Characters of the class in the text."""
-    return F.regexp_count(text, F.lit(chars))
+    """Characters of the class in the text: by what is left without its runs
+    (no string is made of each match)."""
+    return F.length(text) - F.length(F.regexp_replace(text, F.lit(f"{chars}+"), F.lit("")))
 
 
 def _barrier(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -72,7 +75,9 @@ def base_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     windows = F.when(n >= 3, F.transform(
         F.sequence(F.lit(0), n - 3),
         lambda i: F.struct(F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i"))))
-    df = _barrier(df, "sorted", F.sort_array(F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>"))))
+    # A step of its own without lambdas: Spark compiles the sort, which then boxes no key.
+    df = _barrier(df, "windows", F.coalesce(windows, F.array().cast("array<struct<h:bigint,i:int>>")))
+    df = _barrier(df, "sorted", F.sort_array("windows"))
     twice = F.filter("sorted", lambda x, k: (F.get("sorted", k - 1)["h"] == x["h"]) | F.coalesce(
         F.get("sorted", k + 1)["h"] == x["h"], F.lit(False)))
     places = F.sort_array(F.transform(twice, lambda x: x["i"]))
@@ -83,12 +88,13 @@ def base_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
     df = df.withColumns({
         "n_words": n.cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
-        "n_symbols": _count(F.col("text"), "[#*$%&|<>]").cast("long"),
+        "n_symbols": _count(F.col("text"), SYMBOL_CLASS).cast("long"),
         "n_repeat_words": covered.cast("long"),
         "codes": _codes(F.col("words")),
     })
     df = _barrier(df, "lines", lines)
-    classes = [_count(F.col("text"), c) for c in CHAR_CLASSES]
+    known = {SPACE_CLASS: F.length("text") - F.col("word_chars").cast("int"), SYMBOL_CLASS: F.col("n_symbols").cast("int")}
+    classes = [known[c] if c in known else _count(F.col("text"), c) for c in CHAR_CLASSES]
     return df.select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
@@ -151,9 +157,7 @@ def judge(docs: DataFrame, char_limit: float = 0.32, word_limit: float = 0.33, l
                                  "common": F.concat("common", F.array(other))})
     counts = reliable_checkpoint(spaced, "quality-counts")
     known = reliable_checkpoint(references(counts), "quality-references")
-    # Few bytes a row but some work: as many tasks as the session's shuffles have.
-    spread = counts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    df = spread.join(known, F.col("lang") == F.col("ref_lang"), "left")
+    df = counts.join(known, F.col("lang") == F.col("ref_lang"), "left")
     df = _barrier(df, "n_chars", _total("chars"))
     far = {"char_distance": ("chars", F.col("n_chars"), least_chars), "word_distance": ("common", F.col("n_words"), least_judged)}
     df = df.withColumns({
