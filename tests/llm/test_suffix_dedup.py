@@ -107,5 +107,30 @@ def test_suffix_array_and_groups_equal_plain_search():
         assert got == want
 
 
+def test_shared_passage_is_one_number_a_shard():
+    """A passage that all texts share sends each of its grams once from a shard,
+    and the shards are told of it once."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    passage = bytes(rng.randrange(97, 123) for _ in range(90))
+    sent = []
+    for shard in (0, 1):
+        texts = [b"%d " % rng.randrange(10**9) * rng.randrange(1, 4) + passage + b" %d" % (2 * i + shard) for i in range(300)]
+        table = pa.table({"digest": [hashlib.sha256(t).digest() for t in texts], "text": texts, "again": [False] * len(texts)})
+        gram, _, _, _ = sd._anchors_of(texts, 60)
+        rows = sd._count_grams(60, 1)((pa.scalar(shard),), table).to_pylist()
+        got = dict(zip(*(x.tolist() for x in sd._columns(rows[0], 2)), strict=True))
+        assert len(rows) == 1 and rows[0]["n"] == len(got)
+        assert got == dict(zip(*(x.tolist() for x in np.unique(gram, return_counts=True)), strict=True))
+        assert max(got.values()) >= 300
+        sent += rows
+    told = sd._twice(512)((pa.scalar(0),), pa.Table.from_pylist(sent)).to_pylist()
+    assert sorted(r["part"] for r in told) == [0, 1]
+    for r in told:
+        again, crowded = sd._columns(r, 2)
+        assert len(set(again.tolist())) == len(again) and crowded.max() == 1
+
+
 def test_empty_table(spark):
     assert sd.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
