@@ -1,5 +1,7 @@
 """Shapes that let the loader, the purge and the log grow with their tables."""
 import datetime
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +122,39 @@ def test_a_repeated_batch_is_computed_once(spark, sf, monkeypatch):
     assert len(calls) == 1
     gone = [r for r in rows if r.tabela_afetada == "notificacao" and r.operacao == "D"]
     assert {r.notificacao_id for r in gone} >= set(range(0, 60, 4))
+
+
+def shuffle_files(spark):
+    """Shuffle files on disk that no removal has reached within ten seconds."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    for _ in range(100):
+        files = found.getAllFiles()
+        left = {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+        yield left
+        time.sleep(0.1)
+
+
+def gone_but(spark, before):
+    return any(left <= before for left in shuffle_files(spark))
+
+
+def test_csv_input_takes_little_disk(spark, sf, monkeypatch):
+    texts = {1: 'a "quoted", text\nof two lines', 2: "back\\slash"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1).write.parquet(f"{sf}/documents.parquet")
+    before, seen = next(shuffle_files(spark)), {}
+
+    def record(df, path, **options):
+        seen.update(path=path, plan=plan(df), joins_gone=gone_but(spark, before))
+        write_raw(df, path, **options)
+    write_raw = E.write_raw
+    monkeypatch.setattr(E, "write_raw", record)
+    made = E.queries()["etl_csv_clinicos"](spark, sf)
+    assert "Join" not in seen["plan"] and "rangepartitioning" in seen["plan"]
+    assert seen["joins_gone"]
+    parts = [f for f in os.listdir(seen["path"]) if f.startswith("part-")]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+    rows = made.collect()
+    assert len(rows) == 60  # of 61, one of an unknown place
+    assert {r.outros_sintomas for r in rows} == {f'"{t}", \\' for t in texts.values()} | {None}
+    pairs = E.queries()["etl_csv_notificacao_sintoma"](spark, sf)
+    assert pairs.count() == pairs.distinct().count() == 3 * 60 + 6  # six lists end with a comma: an empty item
