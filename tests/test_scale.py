@@ -153,8 +153,18 @@ def test_csv_input_takes_little_disk(spark, sf, monkeypatch):
     assert seen["joins_gone"]
     parts = [f for f in os.listdir(seen["path"]) if f.startswith("part-")]
     assert parts and all(f.endswith(".csv.gz") for f in parts)
+    assert gone_but(spark, before)
     rows = made.collect()
     assert len(rows) == 60  # of 61, one of an unknown place
     assert {r.outros_sintomas for r in rows} == {f'"{t}", \\' for t in texts.values()} | {None}
     pairs = E.queries()["etl_csv_notificacao_sintoma"](spark, sf)
     assert pairs.count() == pairs.distinct().count() == 3 * 60 + 6  # six lists end with a comma: an empty item
+
+
+def test_load_leaves_no_shuffle_files(spark, sf):
+    before, codec = next(shuffle_files(spark)), spark.conf.get("spark.sql.parquet.compression.codec")
+    stages = etl.etl_stages(spark, fixture.raw_notifications(spark, sf))
+    assert gone_but(spark, before)
+    assert all(f.endswith(".zstd.parquet") for f in stages["accepted"].inputFiles())
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == codec
+    assert stages["contagem"]["linhas"] == 61
